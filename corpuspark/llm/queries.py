@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import site_lines
+from corpuspark.llm import site_lines, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -49,3 +49,19 @@ WITH lines AS (
 )
 SELECT DISTINCT article_id, line_no FROM keyed JOIN often USING (source_name, k)
 """
+
+
+def _unified(spark, sf_dir):
+    records = table(spark, sf_dir, "document_records").select(F.lit("document_records").alias("table_name"), F.col("document_id").alias("record_key"), "text")
+    lemmas = table(spark, sf_dir, "lexicon_entries").select(F.lit("lexicon_entries").alias("table_name"), F.col("entry_id").alias("record_key"), F.col("lemma").alias("text"))
+    return unicode_form.unified(records.unionByName(lemmas), "text")
+
+
+@query
+def p2_found(spark, sf_dir):
+    return _unified(spark, sf_dir).where("odd").select("table_name", "record_key").distinct()
+
+
+@query
+def p2_forms(spark, sf_dir):
+    return _unified(spark, sf_dir).select("table_name", "record_key", "form", "odd").distinct()
