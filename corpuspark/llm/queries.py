@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import site_lines, unicode_form
+from corpuspark.llm import site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -65,3 +65,14 @@ def p2_found(spark, sf_dir):
 @query
 def p2_forms(spark, sf_dir):
     return _unified(spark, sf_dir).select("table_name", "record_key", "form", "odd").distinct()
+
+
+@query
+def p3_found(spark, sf_dir):
+    return split_overlap.overlaps(table(spark, sf_dir, "document_records")).select("document_id_a", "document_id_b")
+
+
+@query
+def p3_counts(spark, sf_dir):
+    records = table(spark, sf_dir, "document_records")
+    return split_overlap.counts(records, split_overlap.overlaps(records))
