@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import site_lines, split_overlap, unicode_form
+from corpuspark.llm import leakage, site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -76,3 +76,18 @@ def p3_found(spark, sf_dir):
 def p3_counts(spark, sf_dir):
     records = table(spark, sf_dir, "document_records")
     return split_overlap.counts(records, split_overlap.overlaps(records))
+
+
+@query
+def p7_found(spark, sf_dir):
+    found = leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id")
+
+
+@query
+def p7_report(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    found = leakage.leaks(documents, table(spark, sf_dir, "eval_items"))
+    return found.join(documents.select("doc_id", "source"), "doc_id").groupBy("item_id").agg(
+        F.countDistinct("doc_id").alias("documents"), F.max("part").alias("longest"), F.array_sort(F.collect_set("source")).alias("sources")
+    )
