@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import leakage, site_lines, split_overlap, unicode_form
+from corpuspark.llm import encoding_repair, leakage, site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -91,3 +91,13 @@ def p7_report(spark, sf_dir):
     return found.join(documents.select("doc_id", "source"), "doc_id").groupBy("item_id").agg(
         F.countDistinct("doc_id").alias("documents"), F.max("part").alias("longest"), F.array_sort(F.collect_set("source")).alias("sources")
     )
+
+
+@query
+def p9_found(spark, sf_dir):
+    return encoding_repair.garbled(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+@query
+def p9_text(spark, sf_dir):
+    return encoding_repair.garbled(table(spark, sf_dir, "documents")).select("doc_id", "restored", "whole")
