@@ -28,6 +28,9 @@ AGREEING = 0.82
 INSERTED = 60
 #: Items handled in one scan of the corpus; more items take more scans, so what is broadcast stays small.
 ITEMS_PER_SCAN = 1000
+CHUNK_WORDS = 100_000
+#: Rows of the term projection gathered at once.
+GATHERED = 16_384
 _SENTENCE = re.compile(r"(?<=[.։:?!])\s+")
 
 
@@ -97,13 +100,27 @@ def latent_space(passages: list[list[int]], idf: np.ndarray, rank: int = RANK, s
     return (idf[:, None] * v).astype(np.float32), (a @ v).astype(np.float32), (a**2).sum(axis=1)
 
 
+def _chunks(batches):
+    """(ids, words of each document) in pieces of some CHUNK_WORDS words."""
+    ids, docs, n = [], [], 0
+    for pdf in batches:
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            ids.append(doc_id)
+            docs.append(words_of(text))
+            n += len(docs[-1])
+            if n >= CHUNK_WORDS:
+                yield ids, docs
+                ids, docs, n = [], [], 0
+    if ids:
+        yield ids, docs
+
+
 def _search(model):
     """(doc_id, text, items): documents with a passage that covers enough of an item's passage."""
 
     def run(batches):
         vocabulary, energy, term, queries, item_of, least, items = model.value
-        for pdf in batches:
-            docs = [words_of(text) for text in pdf["text"]]
+        for ids, docs in _chunks(batches):
             halves = np.array([max(2, -(-len(d) // HALF)) for d in docs], dtype=np.int64)
             base = np.concatenate(([0], np.cumsum(halves)))
             index, half = [], []
@@ -124,15 +141,18 @@ def _search(model):
                 continue
             need = np.zeros(base[-1], dtype=bool)
             need[starts] = need[starts + 1] = True
+            place = np.cumsum(need) - 1
             ok = need[half]
-            index, half = index[ok], half[ok]
-            heads = np.flatnonzero(np.concatenate(([True], half[1:] != half[:-1])))
-            latent = np.zeros((base[-1], term.shape[1]), dtype=np.float32)
-            latent[half[heads]] = np.add.reduceat(term[index], heads, axis=0)
+            index, half = index[ok], place[half[ok]]
+            latent = np.zeros((need.sum(), term.shape[1]), dtype=np.float32)
+            for at in range(0, len(index), GATHERED):
+                h = half[at : at + GATHERED]
+                heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+                latent[h[heads]] += np.add.reduceat(term[index[at : at + GATHERED]], heads, axis=0)
             hits: dict[int, set[int]] = {}
             owner = np.searchsorted(base, starts, side="right") - 1
             for at in range(0, len(starts), 4096):
-                s = starts[at : at + 4096]
+                s = place[starts[at : at + 4096]]
                 score = (latent[s] + latent[s + 1]) @ queries
                 for x, q in zip(*np.nonzero(score >= COVER)):
                     hits.setdefault(int(owner[at + x]), set()).add(int(item_of[q]))
@@ -142,7 +162,7 @@ def _search(model):
                 for i in found:
                     item_id, words = items[i]
                     if sum(w in have for w in words) >= STRETCH * AGREEING * len(words) and (part := stretch(docs[d], words)) >= STRETCH:
-                        out.append((pdf["doc_id"].iat[d], item_id, part))
+                        out.append((ids[d], item_id, part))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "part"])
 
     return run
