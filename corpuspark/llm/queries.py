@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import encoding_repair, leakage, site_lines, split_overlap, unicode_form
+from corpuspark.llm import encoding_repair, language, leakage, main_content, site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -101,3 +101,29 @@ def p9_found(spark, sf_dir):
 @query
 def p9_text(spark, sf_dir):
     return encoding_repair.garbled(table(spark, sf_dir, "documents")).select("doc_id", "restored", "whole")
+
+
+def _page_bodies(spark, sf_dir):
+    pages = main_content.bodies(table(spark, sf_dir, "crawl_results"), "url", "text").select(F.lit("crawl_results").alias("table_name"), "*")
+    articles = main_content.bodies(table(spark, sf_dir, "newspaper_articles"), "article_id", "content").select(F.lit("newspaper_articles").alias("table_name"), "*")
+    return pages.unionByName(articles)
+
+
+@query
+def p4_found(spark, sf_dir):
+    return _page_bodies(spark, sf_dir).select("table_name", F.col("key").alias("record_key"), F.explode("around").alias("line_no")).distinct()
+
+
+@query
+def p4_bodies(spark, sf_dir):
+    return _page_bodies(spark, sf_dir).select("table_name", F.col("key").alias("record_key"), "body").distinct()
+
+
+@query
+def p5_found(spark, sf_dir):
+    return language.wrong_labels(table(spark, sf_dir, "document_records"), table(spark, sf_dir, "text_metadata"))
+
+
+@query
+def p5_languages(spark, sf_dir):
+    return language.languages(table(spark, sf_dir, "document_records"), table(spark, sf_dir, "text_metadata"))
