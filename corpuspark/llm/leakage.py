@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from corpuspark.llm.words import words_of
+from corpuspark.llm.words import lcs, words_of
 
 HALF = 12
 RANK = 256
@@ -68,6 +68,11 @@ def stretch(document: list[str], item: list[str]) -> float:
     return best / len(item)
 
 
+def least_threes(n: int) -> int:
+    """Three-word sequences that a stretch of half of n words must share: each change or insertion ends a run and costs two."""
+    return max(1, int(STRETCH * n * AGREEING - 2 * (STRETCH * n * (1 - AGREEING) + 2)))
+
+
 def _count(vocabulary: dict[str, int]):
     def run(batches):
         seen, n = np.zeros(len(vocabulary), dtype=np.int64), 0
@@ -120,6 +125,7 @@ def _search(model):
 
     def run(batches):
         vocabulary, energy, term, queries, item_of, least, items = model.value
+        threes = [set(zip(w, w[1:], w[2:])) for _, w in items]
         for ids, docs in _chunks(batches):
             halves = np.array([max(2, -(-len(d) // HALF)) for d in docs], dtype=np.int64)
             base = np.concatenate(([0], np.cumsum(halves)))
@@ -149,20 +155,23 @@ def _search(model):
                 h = half[at : at + GATHERED]
                 heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
                 latent[h[heads]] += np.add.reduceat(term[index[at : at + GATHERED]], heads, axis=0)
-            hits: dict[int, set[int]] = {}
+            hits: dict[tuple[int, int], list[int]] = {}
             owner = np.searchsorted(base, starts, side="right") - 1
             for at in range(0, len(starts), 4096):
                 s = place[starts[at : at + 4096]]
                 score = (latent[s] + latent[s + 1]) @ queries
                 for x, q in zip(*np.nonzero(score >= COVER)):
-                    hits.setdefault(int(owner[at + x]), set()).add(int(item_of[q]))
+                    hits.setdefault((int(owner[at + x]), int(item_of[q])), []).append(int(starts[at + x]))
             out = []
-            for d, found in hits.items():
-                have = set(docs[d])
-                for i in found:
-                    item_id, words = items[i]
-                    if sum(w in have for w in words) >= STRETCH * AGREEING * len(words) and (part := stretch(docs[d], words)) >= STRETCH:
-                        out.append((ids[d], item_id, part))
+            for (d, i), found in hits.items():
+                item_id, words = items[i]
+                around = len(words) + INSERTED
+                first, last = (min(found) - base[d]) * HALF, (max(found) - base[d] + 2) * HALF
+                near = docs[d][max(0, first - around) : last + around]
+                if len(threes[i].intersection(zip(near, near[1:], near[2:]))) < least_threes(len(words)):
+                    continue
+                if lcs(words, near) >= STRETCH * AGREEING * len(words) and (part := stretch(near, words)) >= STRETCH:
+                    out.append((ids[d], item_id, part))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "part"])
 
     return run
