@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import encoding_repair, language, leakage, main_content, site_lines, split_overlap, unicode_form
+from corpuspark.llm import encoding_repair, language, leakage, main_content, scan_repair, site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -127,3 +127,13 @@ def p5_found(spark, sf_dir):
 @query
 def p5_languages(spark, sf_dir):
     return language.languages(table(spark, sf_dir, "document_records"), table(spark, sf_dir, "text_metadata"))
+
+
+@query
+def p6_found(spark, sf_dir):
+    return scan_repair.noise(table(spark, sf_dir, "archive_org_texts"))
+
+
+@query
+def p6_clean(spark, sf_dir):
+    return scan_repair.repaired(table(spark, sf_dir, "archive_org_texts"))
