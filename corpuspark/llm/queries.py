@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuspark.llm import encoding_repair, language, leakage, main_content, scan_repair, site_lines, split_overlap, unicode_form
+from corpuspark.llm import encoding_repair, language, leakage, main_content, mixing, scan_repair, site_lines, split_overlap, unicode_form
 from corpuspark.session import table
 
 QUERIES: dict = {}
@@ -137,3 +137,13 @@ def p6_found(spark, sf_dir):
 @query
 def p6_clean(spark, sf_dir):
     return scan_repair.repaired(table(spark, sf_dir, "archive_org_texts"))
+
+
+@query
+def p8_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+@query
+def p8_shares(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]

@@ -216,6 +216,17 @@ class Channel:
             return found
         if len(self.memo) > 300_000:
             self.memo.clear()
+        if "-" in key.strip("-"):  # a compound is judged by its parts
+            parts = [self.candidates(x) if x else [(x, 0.0)] for x in key.split("-")]
+            best = [max(enumerate(x), key=lambda y: y[1][1] - MARGIN * (y[0] > 0))[1] for x in parts]
+            out = [(key, sum(x[0][1] for x in parts))]
+            if any(b[0] != x[0][0] for b, x in zip(best, parts)):
+                out.append(("-".join(b[0] for b in best), sum(b[1] for b in best)))
+            self.memo[key] = out
+            return out
+        if re.fullmatch(r"\d{1,2}1ն", key):  # a day's number with its ending
+            self.memo[key] = out = [(key, -40.0), (key[:-2] + "ին", -20.0)]
+            return out
         letters = sum(map(str.isalpha, key))
         out = [(key, self.likelihood(key))]
         if letters >= 2 and not re.fullmatch(r"\d+(?:ին|[a-zа-я]{1,3})?", key) and len(key) <= 60:
