@@ -21,6 +21,14 @@ def how_many(words: Column, test) -> Column:
     return F.size(F.filter(words, test))
 
 
+def _ends(suffix: str):
+    return lambda w: F.endswith(w, F.lit(suffix))
+
+
+def _is(word: str):
+    return lambda w: w == F.lit(word)
+
+
 def ttr(words: Column) -> Column:
     """Different words per word."""
     return ratio(F.size(F.array_distinct(words)), F.size(words), 4)
@@ -68,21 +76,21 @@ def syllables(word: Column) -> Column:
 
 
 def suffix_counts(words: Column) -> list[Column]:
-    out = [how_many(words, lambda w, s=s: F.endswith(w, F.lit(s))).alias(f"suffix_{k}") for k, s in SUFFIXES.items()]
+    out = [how_many(words, _ends(s)).alias(f"suffix_{k}") for k, s in SUFFIXES.items()]
     out.append(how_many(words, lambda w: F.endswith(w, F.lit("ան")) & ~F.endswith(w, F.lit("եան"))).alias("suffix_an"))
-    out += [how_many(words, lambda w, s=s: w == s).alias(f"prefix_{k}") for k, s in PARTICLES.items()]
+    out += [how_many(words, _is(s)).alias(f"prefix_{k}") for k, s in PARTICLES.items()]
     out.append(how_many(words, lambda w: F.startswith(w, F.lit("չ")) & (F.length(w) > 1)).alias("prefix_ch"))
     return out
 
 
-def orthography(text: Column) -> list[Column]:
+def orthography(text: Column, digits: int = 2) -> list[Column]:
     """Marker counts of the classical and the reformed spelling, and their ratio."""
     count = lambda ps: sum((F.regexp_count(text, F.lit(p)) for p in ps), F.lit(0))
     c, r = count(CLASSICAL), count(REFORMED)
-    return [c.alias("classical"), r.alias("reformed"), F.round(c / F.greatest(r, F.lit(1)), 2).alias("ratio")]
+    return [c.alias("classical"), r.alias("reformed"), F.round(c / F.greatest(r, F.lit(1)), digits).alias("ratio")]
 
 
 def contamination(words: Column) -> Column:
     """Share of -um among -em and -um forms."""
-    em, um = (how_many(words, lambda w, s=s: F.endswith(w, F.lit(s))) for s in ("եմ", "ում"))
+    em, um = (how_many(words, _ends(s)) for s in ("եմ", "ում"))
     return ratio(um, em + um, 4)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpuspark.functions.text import word_shingles, words
 from corpuspark.session import cut
@@ -19,17 +19,43 @@ def first_by(df: DataFrame, group: Column, order: Column) -> DataFrame:
     return rows.join(firsts, "__g", "left").withColumn("kept", F.col("__first").isNull() | (F.col("__o") == F.col("__first"))).drop("__g", "__o", "__first")
 
 
+def _signature(bands: int, rows: int):
+    """Hashes of the MinHash bands of arrays of 64-bit shingles, a few multiplications per shingle in NumPy."""
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    mul = (random.integers(1, 1 << 62, bands * rows, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+    add = random.integers(1, 1 << 62, bands * rows, dtype=np.uint64)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def run(sets):
+        out = []
+        for x in sets:
+            h = np.asarray(x, dtype=np.int64).view(np.uint64)
+            least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
+            for at in range(0, len(h), 4096):
+                part = h[at : at + 4096, None] * mul + add
+                least = np.minimum(least, (part ^ (part >> np.uint64(29))).min(axis=0))
+            bits = least.reshape(bands, rows)
+            mixed = np.zeros(bands, dtype=np.uint64)
+            for r in range(rows):
+                mixed = (mixed ^ bits[:, r]) * np.uint64(0x9E3779B97F4A7C15)
+            out.append(mixed.view(np.int64))
+        return pd.Series(out)
+
+    return run
+
+
 def near_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", profile: str = "any", similarity: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): pairs of different texts whose five-word shingles have that Jaccard similarity, a < b.
 
-    Equal texts share one representative, the smallest key. MinHash bands find candidates, exact Jaccard decides.
+    Equal shingle sets share one representative, the smallest key. MinHash bands find candidates, exact Jaccard decides.
     """
-    prints = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), word_shingles(words(F.col(text), profile, 1)).alias("set")).where(F.size("set") > 0)
-    classes = prints.groupBy(F.xxhash64(F.sort_array("set")).alias("class")).agg(F.min_by(F.struct("key", "set"), "key").alias("x")).select("class", "x.key", "x.set")
-    classes = cut(classes)
-    seeds = range(BANDS * ROWS)
-    sign = F.array(*[F.array_min(F.transform("set", lambda x, s=s: F.xxhash64(x, F.lit(s)))) for s in seeds])
-    bands = classes.select("key", F.posexplode(F.array(*[F.xxhash64(*[sign[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])).alias("band", "h"))
+    # the words come from a generator, so that the shingles' inner loop doesn't make them again at each step
+    tokens = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.explode(F.array(words(F.col(text), profile, 1))).alias("words"))
+    prints = tokens.select("key", word_shingles(F.col("words")).alias("set")).where(F.size("set") > 0)
+    classes = cut(prints.groupBy(F.xxhash64(F.sort_array("set")).alias("class")).agg(F.min_by(F.struct("key", "set"), "key").alias("x")).select("x.key", "x.set"))
+    bands = cut(classes.select("key", F.posexplode(_signature(BANDS, ROWS)("set")).alias("band", "h")))
     left, right = bands.select(F.col("key").alias("a"), "band", "h"), bands.select(F.col("key").alias("b"), "band", "h")
     pairs = left.join(right, ["band", "h"]).where("a < b").select("a", "b").distinct()
     sides = pairs.join(classes.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a").join(classes.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
@@ -55,16 +81,3 @@ def keep_first(keys: DataFrame, pairs: DataFrame) -> DataFrame:
         if state.where("kept is null").isEmpty():
             return state
 
-
-def vector_pairs(df: DataFrame, key: str = "vec_id", vector: str = "embedding", within: float = 0.25, blocks: int = 16) -> DataFrame:
-    """(a, b, distance): pairs of vectors within a Euclidean distance, a < b, exact.
-
-    Vectors are cut into shells by norm: two vectors within the distance have norms within it, so only equal and adjacent
-    shells of that width meet. Null vectors are left out.
-    """
-    norm = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda s, x: s + x * x))
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.col(vector).alias("v"), F.floor(norm / F.lit(max(within, 1e-9))).alias("shell"))
-    near = rows.select(F.col("k").alias("b"), F.col("v").alias("vb"), F.explode(F.array(F.col("shell") - 1, F.col("shell"), F.col("shell") + 1)).alias("shell"))
-    pairs = rows.select(F.col("k").alias("a"), F.col("v").alias("va"), "shell").join(near, "shell").where("a < b")
-    gap = F.sqrt(F.aggregate(F.zip_with("va", "vb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    return pairs.select("a", "b", gap.alias("distance")).where(F.col("distance") <= within)

@@ -72,8 +72,8 @@ def binaries(spark: SparkSession, path: str) -> DataFrame:
 
 def any_date(value):
     """A date out of several written forms, null if none fits; only the year known gives its first day."""
-    text = F.trim(value)
-    forms = ["yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "d MMMM yyyy", "MMMM d, yyyy", "EEE, d MMM yyyy HH:mm:ss Z", "yyyy/MM/dd"]
+    text = F.regexp_replace(F.trim(value), r"^[A-Za-z]{3},\s*", "")
+    forms = ["yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "d MMMM yyyy", "MMMM d, yyyy", "d MMM yyyy HH:mm:ss Z", "yyyy/MM/dd"]
     iso = F.try_to_timestamp(F.regexp_extract(text, r"^(\d{4}-\d\d-\d\d)", 1), F.lit("yyyy-MM-dd"))
     year = F.try_to_timestamp(F.regexp_extract(text, r"^(\d{4})$", 1), F.lit("yyyy"))
     return F.to_date(F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in forms], year))
