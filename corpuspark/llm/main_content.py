@@ -147,7 +147,7 @@ class _Builder(HTMLParser):
         if tag not in self.VOID:
             self.open.append((tag, hidden, tag if tag in self.REGIONS or a.get("role") in ("navigation", "contentinfo", "complementary") else None))
         if tag == "li":
-            self.line = "  " * sum(x in ("ul", "ol") for x, _, _ in self.open[1:]) + "- "
+            self.line = "  " * (max(1, sum(x in ("ul", "ol") for x, _, _ in self.open)) - 1) + "- "
         if tag == "table":
             self.table.append(len(self.out))
         if tag in ("td", "th") and self.line:

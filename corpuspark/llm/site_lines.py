@@ -65,7 +65,8 @@ def boilerplate(df: DataFrame, key: str = "article_id", source: str = "source_na
     hits = lines.join(small, ["source", "h1", "h2"]).select("key", "line_no", "source", "node").distinct()
     hits = cut(hits)
     order = Window.partitionBy("key", "source").orderBy("line_no")
-    pairs = hits.withColumn("next", F.lead("node").over(order)).where("next is not null and next <> node")
+    # consecutive: the next line, or the next but an empty one
+    pairs = hits.withColumns({"next": F.lead("node").over(order), "next_no": F.lead("line_no").over(order)}).where("next_no - line_no <= 2 and next <> node")
     edges = pairs.groupBy(F.col("node").alias("a"), F.col("next").alias("b")).agg(F.countDistinct("key").alias("weight"))
     edges = cut(edges.where(F.col("weight") >= min_documents))
     labels = components(nodes.select("node").distinct(), edges)
