@@ -100,7 +100,7 @@ def share(part: Column, whole: Column) -> Column:
 def sentences(text: Column, variant: str = "marks") -> Column:
     """Sentences by one of four rules: marks, spaced, scan, lines."""
     pattern = {"marks": "[։?!:]+", "spaced": r"(?<=[։.!?])\s+", "scan": r"(?<=[.!?։])", "lines": r"[։?!:\n]+"}[variant]
-    return F.filter(F.transform(F.split(text, pattern), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, pattern), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def shingles(text: Column, k: int = 5) -> Column:

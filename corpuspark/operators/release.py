@@ -43,4 +43,4 @@ def insert_new(incoming: DataFrame, existing: DataFrame, key: str = "content_has
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """`existing` with rows of the same keys replaced by those of `incoming`."""
-    return existing.join(incoming.select(*keys).distinct(), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
+    return existing.join(incoming.select(*keys).distinct(), keys, "left_anti").select(*existing.columns).unionByName(incoming, allowMissingColumns=True)

@@ -48,7 +48,7 @@ def headed_texts(texts: DataFrame, marker: str = "BEGIN_DOCUMENT_CONTENT") -> Da
     lines = F.filter(F.split(parts[0], "\n"), lambda x: x.contains("="))
     pairs = F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.trim(F.regexp_replace(x, "^[^=]*=", "")).alias("v")))
     has = F.size(parts) > 1
-    return texts.select("path", F.when(has, F.map_from_entries(pairs)).alias("properties"), F.trim(F.when(has, parts[1]).otherwise(F.col("text"))).alias("text"))
+    return texts.select("path", F.when(has, F.map_from_entries(pairs)).alias("properties"), F.regexp_replace(F.when(has, parts[1]).otherwise(F.col("text")), r"^\s+|\s+$", "").alias("text"))
 
 
 def lexicon_forms(lexicon: DataFrame, inflections: DataFrame) -> DataFrame:
