@@ -191,3 +191,40 @@ def test_queries_equal_their_sql(spark):
         if sorted(want.columns) != sorted(got.columns) or a != b:
             wrong.append(name)
     assert not wrong
+
+
+def test_corrections(spark):
+    from corpuspark.operators import correction
+
+    counts = spark.createDataFrame([("river", 9), ("rivers", 4), ("rivr", 1), ("rver", 1), ("other", 1), ("ab", 1)], "word string, n long")
+    got = {x.word: x.correction for x in correction.corrections(counts).collect()}
+    assert got == {"rivr": "river", "rver": "river"}
+
+
+def test_clusters():
+    import numpy as np
+
+    from corpuspark.operators import clustering
+
+    r = np.random.default_rng(1)
+    data = np.concatenate([r.normal(0, 0.05, (30, 3)), r.normal(3, 0.05, (30, 3)), [[10.0, -10.0, 10.0]]])
+    labels = clustering.dbscan(data, 0.5, 4)
+    assert set(labels[:30]) == {0} and set(labels[30:60]) == {1} and labels[60] == -1
+    assert len(clustering.sweep(data)) == 15
+
+
+def test_vector_search_against_brute_force(spark):
+    import numpy as np
+
+    from corpuspark.operators import retrieval
+
+    r = np.random.default_rng(3)
+    v = r.normal(size=(60, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(60)] + [(99, None)], "vec_id long, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    got = {(x.query_id, x.vec_id) for x in retrieval.within(df.where("vec_id % 20 = 0"), df, "vec_id", "embedding", 0.9).collect()}
+    want = {(q, c) for q in (0, 20, 40) for c in range(60) if q != c and np.linalg.norm(u[q] - u[c]) <= 0.9}
+    assert got == want
+    near = retrieval.nearest(df.where("vec_id % 20 = 0"), df, "vec_id", "embedding", 3).collect()
+    assert {(x.query_id, x.vec_id) for x in near} == {(q, int(c)) for q in (0, 20, 40) for c in [i for i in np.argsort(-(u @ u[q])) if i != q][:3]}
+    assert retrieval.nearest(df.limit(0), df, "vec_id", "embedding").count() == 0
