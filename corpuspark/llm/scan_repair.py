@@ -47,6 +47,7 @@ _PAGE = re.compile(
 _ROMAN = re.compile(r"^\W*(?:[ivxl]{1,7}|[IVXL]{1,7}|[Ա-Ղ]?[Ժ-Ղ]?[Ա-Թ]?)\W*$")
 _NUMBERS = re.compile(rf"^\W*{_DIGITS}{{1,4}}(?=\s{{2,}}|\s+\D)\s+|\s+{_DIGITS}{{1,4}}\W*$")
 _PURE = re.compile("(?:[a-zà-öø-ÿœ]+(?:['’-][a-zà-öø-ÿœ]+)*|[а-яё]+(?:-[а-яё]+)*|[ա-և]+(?:[՚’-][ա-և]+)*|\\d+(?:ին|[a-zа-я]{1,3})?|\\W+)$")
+_SET_APART = re.compile(rf"^\W*(?=\S*[\dlO]){_DIGITS}{{1,4}}\s{{2,}}\S|\S\s{{2,}}(?=\S*[\dlO]){_DIGITS}{{1,4}}\W*$")
 _ENDS = re.compile(r"[.։:?!…]\W*$")
 
 
@@ -81,6 +82,10 @@ def structure(text: str, title: str | None = None, author: str | None = None) ->
             s = _NUMBERS.sub("", lines[i].strip(" \x0c\t"))
             if 6 <= len(key := skeleton(s)) and not _ENDS.search(lines[i].strip()) and s[-1] not in MARKS:
                 keys[i] = key
+    for i in keys:  # capitals throughout, or a number set apart from the words, are no running text
+        s = lines[i].strip(" \x0c\t")
+        if s.isupper() and len(s.split()) > 1 or _SET_APART.search(s):
+            kinds[i] = "running_header"
     known = [x for x in (skeleton(title or ""), skeleton(author or "")) if len(x) >= 6]
     same = defaultdict(list)
     for i, key in keys.items():
