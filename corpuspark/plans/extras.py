@@ -210,11 +210,11 @@ def lexicon_sounds(spark, d):
     return rows.select("entry_id", morphology.romanized(F.col("w")).alias("western"), morphology.romanized(F.col("w"), "eastern").alias("eastern"), morphology.difficulty(F.col("w")).alias("difficulty"), morphology.word_class(F.col("w")).alias("word_class"))
 
 
-@query("SELECT DISTINCT entry_id, trim(lemma) AS lemma, nullif(trim(translation), '') AS translation, frequency_rank, metadata['deck_name'] AS deck FROM lexicon_entries WHERE entry_id IS NOT NULL AND trim(coalesce(lemma, '')) <> '' AND trim(coalesce(translation, '')) <> ''")
+@query("SELECT DISTINCT entry_id, trim(lemma) AS lemma, nullif(trim(translation), '') AS translation, coalesce(frequency_rank, 0) AS frequency_rank, metadata['deck_name'] AS deck FROM lexicon_entries WHERE entry_id IS NOT NULL AND trim(coalesce(lemma, '')) <> '' AND trim(coalesce(translation, '')) <> ''")
 def card_rows(spark, d):
     """Entries that have all required fields, blanks as missing."""
     rows = table(spark, d, "lexicon_entries").where("entry_id is not null and trim(coalesce(lemma, '')) <> '' and trim(coalesce(translation, '')) <> ''")
-    return rows.select("entry_id", F.trim("lemma").alias("lemma"), F.trim("translation").alias("translation"), F.col("frequency_rank").try_cast("bigint").alias("frequency_rank"), F.try_element_at("metadata", F.lit("deck_name")).alias("deck")).distinct()
+    return rows.select("entry_id", F.trim("lemma").alias("lemma"), F.trim("translation").alias("translation"), F.coalesce("frequency_rank", F.lit(0)).alias("frequency_rank"), F.try_element_at("metadata", F.lit("deck_name")).alias("deck")).distinct()
 
 
 @query("""
