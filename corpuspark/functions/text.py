@@ -198,3 +198,98 @@ def title_issues(title: Column, least: int = 3, most: int = 160, ratio: float =
         (text.rlike(r"https?://|www\."), "has_url"),
     ]
     return F.filter(F.array(*[F.when(c, F.lit(x)) for c, x in checks]), lambda x: x.isNotNull())
+
+
+def _line_ratio(line: Column) -> Column:
+    return share(count_of(line, "[Ա-և]"), count_of(line, r"\p{L}"))
+
+
+def armenian_content(text: Column, least: int = 100, ratio: float = 0.35) -> Column:
+    """The Armenian part of a text: one half if only that is Armenian, else the lines that are; null if too short or too mixed."""
+    lines = F.split(text, "\n")
+    half = F.floor(F.size(lines) / 2).cast("int")
+    first = F.array_join(F.slice(lines, F.lit(1), F.greatest(half, F.lit(1))), "\n")
+    second = F.array_join(F.slice(lines, F.greatest(half, F.lit(1)) + 1, F.size(lines)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x: (F.trim(x) == "") | (_line_ratio(x) >= 0.5)), "\n")
+    out = F.when((_line_ratio(first) >= 0.5) & (_line_ratio(second) < 0.2), first).when((_line_ratio(second) >= 0.5) & (_line_ratio(first) < 0.2), second).otherwise(kept)
+    return F.when((F.length(out) >= least) & (_line_ratio(out) >= ratio), F.trim(out))
+
+
+def bilingual(text: Column, least: int = 100) -> Column:
+    """Struct of both sides of a text in two scripts, by lines; empty lines go to both. linking_id is the first 16 hex of the text's SHA-256."""
+    lines = F.split(text, "\n")
+    own = F.array_join(F.filter(lines, lambda x: (F.trim(x) == "") | (_line_ratio(x) >= 0.5)), "\n")
+    other = F.array_join(F.filter(lines, lambda x: (F.trim(x) == "") | (_line_ratio(x) < 0.5)), "\n")
+    both = (F.length(F.trim(own)) >= least) & (F.length(F.trim(other)) >= least)
+    return F.struct(both.alias("is_bilingual"), own.alias("own"), other.alias("other"), F.round(_line_ratio(text), 4).alias("ratio"), F.substring(F.sha2(text, 256), 1, 16).alias("linking_id"))
+
+
+def tri_state(text: Column, score: Column, western: float = 5.0) -> Column:
+    """Whether a text is Western: true or false with enough Armenian script, null without."""
+    return F.when(_line_ratio(text) < 0.35, F.lit(None).cast("boolean")).otherwise(score >= western)
+
+
+def acceptable_layer(text: Column, chars: int = 80, ratio: float = 0.15, newlines: int = 1) -> Column:
+    """Whether a page's own text layer will do instead of recognition."""
+    enough = (F.length(F.trim(text)) >= chars) & (_line_ratio(text) >= ratio) & (count_of(text, "\n") >= newlines)
+    return F.coalesce(enough, F.lit(False))
+
+
+def scan_punctuation(text: Column) -> Column:
+    """Spaces before signs go, runs of signs shrink, a colon after an Armenian letter becomes the full stop."""
+    out = F.regexp_replace(text, r"[ \t]+([,.։՝;!?])", "$1")
+    out = F.regexp_replace(out, r"([,։՝;])\1+", "$1")
+    return F.regexp_replace(out, r"(?<=[Ա-և]):(?=\s|$)", "։")
+
+
+def scan_quality(text: Column) -> Column:
+    """Share of letters in words of two letters and more among the characters that aren't white space."""
+    inside = F.length(F.regexp_replace(text, r"(?<!\p{L})\p{L}(?!\p{L})|[^\p{L}]", ""))
+    return F.round(share(inside, count_of(text, r"\S")), 4)
+
+
+def page_title(markup: Column, url: Column) -> Column:
+    """First level-one heading, else the title, else the URL."""
+    inner = lambda tag: F.nullif(without_tags(F.regexp_extract(markup, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
+    return F.coalesce(inner("h1"), inner("title"), url)
+
+
+def page_links(markup: Column) -> Column:
+    """Different link targets of a page, in plain form, in order."""
+    found = F.regexp_extract_all(markup, F.lit(r"""(?i)<a\b[^>]*\bhref\s*=\s*["']([^"'#\s]+)"""), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: plain_url(x)))
+
+
+def in_domains(name: Column, domains: list[str]) -> Column:
+    out = F.lit(False)
+    for d in domains:
+        out |= (name == d) | name.endswith("." + d)
+    return out
+
+
+def stated_authors(text: Column) -> Column:
+    """Names that a text states as its author's."""
+    name = r"((?:[Ա-ՖA-Z][ա-ևa-z.]*\.?\s+){1,2}[Ա-ՖA-Z][ա-ևa-z]+)"
+    found = [F.regexp_extract_all(text, F.lit(p + name), F.lit(1)) for p in (r"Հեղինակ[՝:]\s*", r"Գր(?:ած|եց)[՝:]\s*", r"(?i:author|by)[: ]\s*")]
+    return F.array_distinct(F.concat(*found))
+
+
+def author_id(name: Column) -> Column:
+    """First four letters of the last name and eight hex of the whole name's MD5."""
+    key = name_key(name)
+    return F.concat(F.substring(F.element_at(F.split(key, " "), -1), 1, 4), F.lit("_"), F.substring(F.md5(key), 1, 8))
+
+
+def first_tokens(text: Column, n: int) -> Column:
+    """Whole sentences from the start with at most n words together; the first n words where the first sentence has more."""
+    parts = F.split(text, r"(?<=[։.!?])\s+")
+    count = lambda x: F.size(F.split(F.trim(x), r"\s+"))
+    sums = F.aggregate(
+        parts,
+        F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"), F.lit(False).alias("full")),
+        lambda a, x: F.when(~a["full"] & (a["n"] + count(x) <= n), F.struct((a["n"] + count(x)).alias("n"), F.concat(a["out"], F.array(x)).alias("out"), F.lit(False).alias("full"))).otherwise(
+            F.struct(a["n"].alias("n"), a["out"].alias("out"), F.lit(True).alias("full"))
+        ),
+        lambda a: a["out"],
+    )
+    return F.when(F.size(sums) > 0, F.array_join(sums, " ")).otherwise(F.array_join(F.slice(F.split(F.trim(text), r"\s+"), 1, n), " "))

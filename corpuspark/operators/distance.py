@@ -55,3 +55,42 @@ def token_jaccard(a: Column, b: Column) -> Column:
     """Jaccard of two word sets, 1 where both are empty."""
     union = F.size(F.array_union(a, b))
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+
+
+def mapping_shift(tokens: DataFrame, mapping: DataFrame) -> DataFrame:
+    """One row (rate): share of word occurrences (word, n) that are eastern forms of the mapping (eastern)."""
+    known = mapping.select(F.col("eastern").alias("word"), F.lit(True).alias("hit")).distinct()
+    return tokens.join(known, "word", "left").agg(F.round(F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)) / F.nullif(F.sum("n"), F.lit(0)), 6).alias("rate"))
+
+
+def variant_usage(west: DataFrame, east: DataFrame, pairs: DataFrame, alpha: float = 1.0) -> DataFrame:
+    """One row (distance): mean difference in how often each side uses the first of two variants, smoothed, weighted by ln(1 + support)."""
+    def side(df, name):
+        a = df.select(F.col("word").alias("first"), F.col("n").alias(f"{name}1"))
+        b = df.select(F.col("word").alias("second"), F.col("n").alias(f"{name}2"))
+        return a, b
+
+    rows = pairs.select("first", "second")
+    for name, df in (("w", west), ("e", east)):
+        a, b = side(df, name)
+        rows = rows.join(a, "first", "left").join(b, "second", "left")
+    rows = rows.fillna(0)
+    rate = lambda s: (F.col(f"{s}1") + alpha) / (F.col(f"{s}1") + F.col(f"{s}2") + 2 * alpha)
+    weight = F.log1p(F.col("w1") + F.col("w2") + F.col("e1") + F.col("e2"))
+    return rows.agg(F.round(F.sum(F.abs(rate("w") - rate("e")) * weight) / F.nullif(F.sum(weight), F.lit(0.0)), 6).alias("distance"))
+
+
+def context_divergence(west: DataFrame, east: DataFrame) -> DataFrame:
+    """(keyword, js_bits): Jensen-Shannon divergence of two context counts (keyword, word, n), keyword by keyword."""
+    def relative(df, name):
+        total = df.groupBy("keyword").agg(F.sum("n").alias("t"))
+        return df.join(total, "keyword").select("keyword", "word", (F.col("n") / F.col("t")).alias(name))
+
+    both = relative(west, "p").join(relative(east, "q"), ["keyword", "word"], "full_outer").fillna(0.0, ["p", "q"])
+    m = (F.col("p") + F.col("q")) / 2
+    half = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log2(F.col(x) / m)).otherwise(0.0)
+    return both.groupBy("keyword").agg(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.sum(half("p") + half("q")) / 2)), 6).alias("js_bits"))
+
+
+def composite(phonetic: Column, lexical: Column, orthographic: Column) -> Column:
+    return 0.4 * phonetic + 0.4 * lexical + 0.2 * orthographic

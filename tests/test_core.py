@@ -228,3 +228,49 @@ def test_vector_search_against_brute_force(spark):
     near = retrieval.nearest(df.where("vec_id % 20 = 0"), df, "vec_id", "embedding", 3).collect()
     assert {(x.query_id, x.vec_id) for x in near} == {(q, int(c)) for q in (0, 20, 40) for c in [i for i in np.argsort(-(u @ u[q])) if i != q][:3]}
     assert retrieval.nearest(df.limit(0), df, "vec_id", "embedding").count() == 0
+
+
+def test_more_text_functions(spark):
+    t = F.col("t")
+    armenian = "\n".join(["Ան կը կարդայ գիրք մը տունին մէջ։"] * 5)
+    english = "\n".join(["She reads a book in the house now."] * 5)
+    assert one(spark, armenian + "\n" + english, X.armenian_content(t))[0] == armenian
+    assert one(spark, english, X.armenian_content(t), X.tri_state(t, F.lit(9.0)))[:] == (None, None)
+    both = one(spark, armenian + "\n" + english, X.bilingual(t))[0]
+    assert both.is_bilingual and both.own == armenian and both.other == english
+    assert one(spark, "մէջ , տուն: ան", X.scan_punctuation(t))[0] == "մէջ, տուն։ ան"
+    assert one(spark, "ab c 1", X.scan_quality(t))[0] == 0.5
+    html = "<html><title>T</title><h1>Head <b>x</b></h1><a href='http://E.org/a/'>1</a><a href=\"http://e.org/a\">2</a></html>"
+    assert one(spark, html, X.page_title(t, F.lit("u")), X.page_links(t))[:] == ("Head x", ["http://e.org/a"])
+    assert one(spark, "Հեղինակ՝ Արամ Հայկ", X.stated_authors(t))[0] == ["Արամ Հայկ"]
+    assert one(spark, "Յ. Շատ եկաւ տուն", X.stated_authors(t))[0] == []
+    assert one(spark, "One two. Three four five. Six.", X.first_tokens(t, 5), X.first_tokens(t, 1))[:] == ("One two. Three four five.", "One")
+    assert one(spark, "a.example.org", X.in_domains(t, ["example.org"]))[0]
+    assert one(spark, armenian, X.acceptable_layer(t))[0] and not one(spark, None, X.acceptable_layer(t))[0]
+
+
+def test_more_distances(spark):
+    w = spark.createDataFrame([("a", 3), ("b", 1)], "word string, n long")
+    e = spark.createDataFrame([("b", 4)], "word string, n long")
+    assert distance.mapping_shift(e, spark.createDataFrame([("a", "b")], "western string, eastern string")).first()[0] == 1.0
+    pairs = spark.createDataFrame([("a", "b")], "first string, second string")
+    assert distance.variant_usage(w, e, pairs).first()[0] == pytest.approx(4 / 6 - 1 / 6)
+    c = spark.createDataFrame([("k", "a", 2)], "keyword string, word string, n long")
+    d = spark.createDataFrame([("k", "b", 2)], "keyword string, word string, n long")
+    assert rows(distance.context_divergence(c, d)) == [("k", 1.0)] and rows(distance.context_divergence(c, c)) == [("k", 0.0)]
+
+
+def test_sinks(spark, tmp_path):
+    from corpuspark.sources import sinks
+
+    df = spark.createDataFrame([(2, "b", "x"), (1, "a", "x"), (3, "", "y"), (4, None, "y")], "doc_id long, text string, tag string")
+    sinks.export_sorted(df, str(tmp_path / "s"), "doc_id", "tag", 1)
+    assert [r.doc_id for r in spark.read.parquet(str(tmp_path / "s")).collect()] == [1, 2, 3, 4]
+    sinks.emit_clean(df, str(tmp_path / "c"), label="tag", wanted="x")
+    assert rows(spark.read.json(str(tmp_path / "c"))) == [(1, "a"), (2, "b")]
+    sinks.write_report(df, str(tmp_path / "r"))
+    assert spark.read.csv(str(tmp_path / "r"), header=True).count() == 4
+    assert sinks.replace_report(df, str(tmp_path / "p"), ["doc_id"], 2).count() == 2
+    sinks.upsert_table(df.select("doc_id", "tag"), str(tmp_path / "u"), ["doc_id"], 0)
+    sinks.upsert_table(spark.createDataFrame([(1, "new")], "doc_id long, tag string"), str(tmp_path / "u"), ["doc_id"], 1)
+    assert rows(spark.read.parquet(str(tmp_path / "u" / "v=000001")).where("doc_id = 1").select("tag")) == [("new",)]
