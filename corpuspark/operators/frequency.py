@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from corpuspark.functions.text import words
+from corpuspark.operators.order import ranked
 
 # Weight of a source in the list; a source "kind:name" falls back to its kind, others weigh 1.
 SOURCE_WEIGHTS = {
@@ -38,16 +39,6 @@ def weighted_list(counts: DataFrame, weight: Column | None = None, least: float
     return ranked(rows, ["total"], ["word"])
 
 
-def ranked(df: DataFrame, falling: list[str], rising: list[str]) -> DataFrame:
-    """Adds a running rank without a single-task window: rows are range-partitioned, numbered within, and offset by partition sizes."""
-    order = [F.col(x).desc() for x in falling] + [F.col(x).asc() for x in rising]
-    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    local = parts.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = local.groupBy("__part").agg(F.max("__at").alias("__size"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__part") < F.col("a.__part"), "left").groupBy(F.col("a.__part").alias("__part")).agg(F.coalesce(F.sum("b.__size"), F.lit(0)).alias("__before"))
-    return local.join(F.broadcast(before), "__part").withColumn("rank", (F.col("__before") + F.col("__at")).cast("bigint")).drop("__part", "__at", "__before")
-
-
 def target_weights(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, weight): target share over actual share, between 0.1 and 10; a source without a target weighs 1."""
     counts = docs.where("source is not null").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
@@ -87,7 +78,7 @@ def drift(base: DataFrame, now: DataFrame, top: int = 100, alert: float = 0.05)
     """One row: greatest and mean absolute change of relative frequency over the union of each side's top words, and an alert."""
 
     def head(df, name):
-        rel = df.withColumn(name, F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+        rel = df.crossJoin(F.broadcast(df.agg(F.sum("n").alias("all")))).withColumn(name, F.col("n") / F.col("all"))
         return rel.select("word", name).orderBy(F.desc(name), "word").limit(top)
 
     both = head(base, "p").join(head(now, "q"), "word", "full_outer")

@@ -12,10 +12,11 @@ BLOCK_QUERIES = 5_000
 
 def _blocks(queries: DataFrame, vectors: DataFrame, key: str, vector: str, choose) -> DataFrame:
     """(query_id, key, score): what `choose` keeps of the cosines of each block of queries and each batch of rows."""
-    listed = sorted((r[key], r[vector]) for r in queries.where(f"{vector} is not null").select(key, vector).toLocalIterator())
+    asked = queries.where(f"{vector} is not null").select(key, vector)
+    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     rows, out = vectors.where(f"{vector} is not null").select(key, F.col(vector).alias(key + "__v")), None
-    for at in range(0, max(1, len(listed)), BLOCK_QUERIES):
-        block = listed[at : at + BLOCK_QUERIES]
+    for n in range(blocks):  # the driver holds one block of queries at a time
+        block = sorted((r[key], r[vector]) for r in asked.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == n).toLocalIterator())
         unit = np.array([v for _, v in block], dtype=float)
         unit = unit / np.linalg.norm(unit, axis=1, keepdims=True) if len(block) else unit
         sent = vectors.sparkSession.sparkContext.broadcast((np.array([i for i, _ in block]), unit))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window
 
-from corpuspark.operators import dedup, release, retrieval
+from corpuspark.operators import dedup, order, release, retrieval
 from corpuspark.functions import text as X
 from corpuspark.plans.registry import query
 from corpuspark.session import table
@@ -59,8 +59,7 @@ def score_distribution(spark, d):
     """The median is the upper one, found from counted values, so no source is gathered in one task."""
     rows = _docs(spark, d).where("wa_score is not null and source is not null")
     values = rows.groupBy("source", "wa_score").agg(F.count(F.lit(1)).alias("n"))
-    up = Window.partitionBy("source").orderBy("wa_score")
-    ranked = values.withColumn("upto", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy("source")))
+    ranked = order.running(values, "source", "wa_score")
     return ranked.groupBy("source").agg(
         F.round(F.min("wa_score"), 6).alias("least"), F.round(F.sum(F.col("wa_score") * F.col("n")) / F.sum("n"), 6).alias("mean"),
         F.round(F.max("wa_score"), 6).alias("most"), F.round(F.min(F.when(F.col("upto") > F.floor(F.col("all") / 2), F.col("wa_score"))), 6).alias("median"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window
 
 from corpuspark.functions import morphology, text as X
-from corpuspark.operators import correction, frequency
+from corpuspark.operators import correction, frequency, order
 from corpuspark.plans.registry import query
 from corpuspark.plans.frequency import TOKENS
 from corpuspark.session import broadcast_if_small, table
@@ -46,7 +46,7 @@ SELECT source, max(n_chars) FILTER (i = n // 4) AS q1, max(n_chars) FILTER (i =
 def length_quartiles(spark, d):
     """Order statistics from counted values, so no source is gathered."""
     values = table(spark, d, "documents").where("n_chars is not null and source is not null").groupBy("source", "n_chars").agg(F.count(F.lit(1)).alias("n"))
-    r = values.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("n_chars"))).withColumn("all", F.sum("n").over(Window.partitionBy("source")))
+    r = order.running(values, "source", "n_chars")
     at = lambda k: F.min(F.when(F.col("upto") > F.floor(F.col("all") * k / 4), F.col("n_chars")))
     return r.groupBy("source").agg(at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"))
 

@@ -274,3 +274,21 @@ def test_sinks(spark, tmp_path):
     sinks.upsert_table(df.select("doc_id", "tag"), str(tmp_path / "u"), ["doc_id"], 0)
     sinks.upsert_table(spark.createDataFrame([(1, "new")], "doc_id long, tag string"), str(tmp_path / "u"), ["doc_id"], 1)
     assert rows(spark.read.parquet(str(tmp_path / "u" / "v=000001")).where("doc_id = 1").select("tag")) == [("new",)]
+
+
+def test_ranks_and_running_sums_over_partitions(spark):
+    import random
+
+    from corpuspark.operators import order
+
+    r = random.Random(2)
+    data = [(r.choice("ab"), i, r.randint(1, 5)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, v long, n long")
+    want, total = {}, {}
+    for g, v, n in sorted(data):
+        total[g] = total.get(g, 0) + n
+        want[g, v] = total[g]
+    got = {(x.g, x.v): (x.upto, x["all"]) for x in order.running(df, "g", "v").collect()}
+    assert got == {k: (x, total[k[0]]) for k, x in want.items()}
+    ranks = {x.v: x["rank"] for x in order.ranked(df, ["n"], ["v"]).collect()}
+    assert ranks == {v: i for i, (_, v) in enumerate(sorted((-n, v) for _, v, n in data), 1)}
