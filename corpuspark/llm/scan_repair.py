@@ -77,6 +77,7 @@ def structure(text: str, title: str | None = None, author: str | None = None) ->
     lines = text.split("\n")
     kinds = ["" if not x.strip(" \x0c\t") else "page_number" if _number_only(x) else "body" for x in lines]
     keys: dict[int, str] = {}
+    alike = Likeness()
     for i, k in enumerate(kinds):
         if k == "body":
             s = _NUMBERS.sub("", lines[i].strip(" \x0c\t"))
@@ -100,22 +101,35 @@ def structure(text: str, title: str | None = None, author: str | None = None) ->
     loose = [i for i in keys if i in edges or _NUMBERS.search(lines[i].strip())]
     for i in loose:  # lines at page edges that are much alike head each other's pages
         for j in loose:
-            if j > i + 4 and _alike(keys[i], keys[j]):
+            if j > i + 4 and alike(keys[i], keys[j]):
                 near.append(keys[i])
                 break
     for i, key in keys.items():
-        if any(key == x for x in near) or (i in loose or len(key) < 60) and any(_alike(key, x) for x in near):
+        if any(key == x for x in near) or (i in loose or len(key) < 60) and any(alike(key, x) for x in near):
             kinds[i] = "running_header"
     return kinds
 
 
-def _alike(a: str, b: str) -> bool:
-    if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
-        return False
-    if a == b:
-        return True
-    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
-    return m.real_quick_ratio() >= 0.85 and m.quick_ratio() >= 0.85 and m.ratio() >= 0.85
+class Likeness:
+    """Whether two keys are much alike; runs of three letters rule most pairs out before the exact ratio."""
+
+    def __init__(self):
+        self.threes: dict[str, frozenset[str]] = {}
+
+    def _runs(self, key: str) -> frozenset[str]:
+        if key not in self.threes:
+            self.threes[key] = frozenset(key[i : i + 3] for i in range(len(key) - 2))
+        return self.threes[key]
+
+    def __call__(self, a: str, b: str) -> bool:
+        if a == b:
+            return True
+        if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
+            return False
+        x, y = self._runs(a), self._runs(b)
+        if len(x & y) < 0.35 * min(len(x), len(y)):
+            return False
+        return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85
 
 
 def broken(line: str, after: str | None) -> bool:
