@@ -249,21 +249,11 @@ class Channel:
         letters = sum(map(str.isalpha, key))
         out = [(key, self.likelihood(key))]
         if letters >= 2 and not re.fullmatch(r"\d+(?:ին|[a-zа-я]{1,3})?", key) and len(key) <= 60:
-            best, beam = {key: 0.0}, {key: 0.0}
-            for _ in range(3):
-                step: dict[str, float] = {}
-                for w, cost in beam.items():
-                    for p in _PAIRS:
-                        if p[1] in w:
-                            for c in self._undone(w, p):
-                                x = cost + self.cost[p]
-                                if x > best.get(c, -99) and x > step.get(c, -99):
-                                    step[c] = x
-                beam = dict(sorted(step.items(), key=lambda x: -(x[1] + self.likelihood(x[0])))[:6])
-                if not beam:
-                    break
-                best |= beam
-            del best[key]
+            seen = self.counts.get(key, 0) if _PURE.match(key) else 0
+            if seen:  # only a word of the corpus that is far more frequent can beat one that is in it
+                best = {c: self.cost[p] for p in _PAIRS if p[1] in key for c in self._undone(key, p) if self.counts.get(c, 0) > 10 * seen}
+            else:
+                best = self._beam(key)
             if _PURE.match(key):  # letters for letters: the spelling must be the better one too
                 own = self.spelling(key) + 1
                 best = {c: x for c, x in best.items() if self.spelling(c) >= own}
@@ -271,6 +261,25 @@ class Channel:
         self.memo[key] = out
         return out
 
+    def _beam(self, key: str) -> dict[str, float]:
+        """Words up to three confusions away with the log of the channel, the likeliest six at each step."""
+        best, beam = {key: 0.0}, {key: 0.0}
+        for _ in range(3):
+            step: dict[str, float] = {}
+            for w, cost in beam.items():
+                for p in _PAIRS:
+                    if p[1] in w:
+                        for c in self._undone(w, p):
+                            x = cost + self.cost[p]
+                            if x > best.get(c, -99) and x > step.get(c, -99):
+                                step[c] = x
+            beam = dict(sorted(step.items(), key=lambda x: -(x[1] + self.likelihood(x[0])))[:6])
+            if not beam:
+                break
+            best |= beam
+        del best[key]
+        return best
+
     def pair(self, a: str, b: str) -> float:
         """A bonus for a word after another, from the corpus's pair counts."""
         if self.pairs is None:
