@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from corpuspark.llm.unicode_form import _SUSPECT, spelled
+from corpuspark.llm.unicode_form import spelled, suspect
 from corpuspark.llm.words import WORD
 from corpuspark.session import broadcast_if_small, cut
 
@@ -32,14 +32,15 @@ SWITCH = 9.0
 LEAST_WORDS = 4
 BROADCAST_SOURCES = 200_000
 MEMO_WORDS = 300_000
-_SENTENCE = re.compile(r"(?<=[.։!?…])[»”\")]*\s+|(?<=[^\W\d_]):\s+|\n+|\s[/—–|]\s")
+_SENTENCE = re.compile(r"[.։!?…:][»”\")]*\s+|\n+|\s[/—–|]\s")
 
 
 def sentences(text: str) -> list[list[str]]:
     """Words of each sentence, of the text in ordinary characters; digits alone are no words."""
-    if _SUSPECT.search(text):
+    if suspect(text):
         text = spelled(text)
-    out = [[w for w in WORD.findall(s) if not w.isdigit()] for s in _SENTENCE.split(text.replace("և", "\x01").casefold().replace("\x01", "և"))]
+    text = text.replace("և", "\x01").casefold().replace("\x01", "և")
+    out = [[w for w in WORD.findall(s) if not w.isdigit()] for s in _SENTENCE.split(text)]
     return [x for x in out if x]
 
 

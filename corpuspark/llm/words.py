@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from corpuspark.llm.unicode_form import _SUSPECT, spelled
+from corpuspark.llm.unicode_form import spelled, suspect
 
 WORD = re.compile(r"[^\W_]+")
 #: Distinct words a task remembers before it starts over.
@@ -19,7 +19,7 @@ SLICES = 64
 
 def words_of(text: str) -> list[str]:
     """The words of a text in its one form: case, punctuation, spacing and invisible differences don't count."""
-    if _SUSPECT.search(text):
+    if suspect(text):
         text = spelled(text)
     return WORD.findall(text.casefold())
 
