@@ -170,6 +170,13 @@ def repair(text: str, order: list[str] | None = None, learned: dict[str, str] |
     if order:
         reads.sort(key=lambda r: order.index(r.name) if r.name in order else len(order))
     garbled, out = "�" in text, text
+    def other():
+        return max(((sure, new) for read in BYTE_READS for new, sure in [read.repaired(out)]), key=lambda x: x[0])
+
+    if odd:  # the reading with more sure runs goes first: each finds chance hits in text garbled by the other
+        byte_runs, new = other()
+        if byte_runs > max(read.repaired(out)[1] for read in UTF8_READS):
+            out, garbled = new, True
     for _ in range(3):
         before = out
         for read in reads if odd else ():
@@ -179,9 +186,9 @@ def repair(text: str, order: list[str] | None = None, learned: dict[str, str] |
         if out == before:
             break
     if odd:
-        best = max(((sure, new) for read in BYTE_READS for new, sure in [read.repaired(out)]), key=lambda x: x[0])
-        if best[0]:
-            out, garbled = best[1], True
+        byte_runs, new = other()
+        if byte_runs:
+            out, garbled = new, True
     if swapped:
         out, sure = _swapped(out, table)
         garbled |= sure > 0
