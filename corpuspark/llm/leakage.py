@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpuspark.llm.words import lcs, words_of
 
 HALF = 12
+#: Passages of one latent space, and its rank: of that many passages the space keeps all, so a copy is scored in full.
 RANK = 256
 #: Least share of an item passage's weight that a document passage covers in the latent space.
 COVER = 0.35
@@ -120,48 +121,72 @@ def _chunks(batches):
         yield ids, docs
 
 
+def _hits(docs, base, vocabulary, energy, term, queries, item_of, least):
+    """(document, item, start) for each passage of a document that covers enough of an item's passage of this space."""
+    index, half = [], []
+    for d, words in enumerate(docs):
+        for i, w in enumerate(words):
+            if (x := vocabulary.get(w)) is not None:
+                index.append(x)
+                half.append(base[d] + i // HALF)
+    if not index:
+        return
+    index, half = np.array(index), np.array(half)
+    weight = np.bincount(half, weights=energy[index], minlength=base[-1])
+    inside = np.ones(base[-1], dtype=bool)
+    inside[base[1:] - 1] = False
+    starts = np.flatnonzero(inside)
+    starts = starts[weight[starts] + weight[starts + 1] >= least]
+    if not len(starts):
+        return
+    need = np.zeros(base[-1], dtype=bool)
+    need[starts] = need[starts + 1] = True
+    place = np.cumsum(need) - 1
+    ok = need[half]
+    index, half = index[ok], place[half[ok]]
+    latent = np.zeros((need.sum(), term.shape[1]), dtype=np.float32)
+    for at in range(0, len(index), GATHERED):
+        h = half[at : at + GATHERED]
+        heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        latent[h[heads]] += np.add.reduceat(term[index[at : at + GATHERED]], heads, axis=0)
+    owner = np.searchsorted(base, starts, side="right") - 1
+    for at in range(0, len(starts), 4096):
+        s = place[starts[at : at + 4096]]
+        score = (latent[s] + latent[s + 1]) @ queries
+        for x, q in zip(*np.nonzero(score >= COVER)):
+            yield int(owner[at + x]), int(item_of[q]), int(starts[at + x])
+
+
+def _spaces(block: list[tuple[int, list[str]]], idf: dict[str, float]) -> list[tuple]:
+    """Latent spaces of at most RANK passages each; a space has the vocabulary of its passages only."""
+    parts = [(i, words[s : s + 2 * HALF - 8]) for i, (_, words) in enumerate(block) for s in range(0, max(1, len(words) - HALF), 8)]
+    count, out = -(-len(parts) // RANK), []
+    for k in range(count):
+        own = parts[len(parts) * k // count : len(parts) * (k + 1) // count]
+        vocabulary: dict[str, int] = {}
+        for _, p in own:
+            for w in p:
+                vocabulary.setdefault(w, len(vocabulary))
+        weights = np.array([idf[w] for w in vocabulary])
+        term, latent, norms = latent_space([[vocabulary[w] for w in p] for _, p in own], weights)
+        queries = (latent / norms[:, None]).T.astype(np.float32).copy()
+        out.append((vocabulary, weights**2, term, queries, np.array([i for i, _ in own]), COVER * norms.min()))
+    return out
+
+
 def _search(model):
     """(doc_id, text, items): documents with a passage that covers enough of an item's passage."""
 
     def run(batches):
-        vocabulary, energy, term, queries, item_of, least, items = model.value
+        spaces, items = model.value
         threes = [set(zip(w, w[1:], w[2:])) for _, w in items]
         for ids, docs in _chunks(batches):
             halves = np.array([max(2, -(-len(d) // HALF)) for d in docs], dtype=np.int64)
             base = np.concatenate(([0], np.cumsum(halves)))
-            index, half = [], []
-            for d, words in enumerate(docs):
-                for i, w in enumerate(words):
-                    if (x := vocabulary.get(w)) is not None:
-                        index.append(x)
-                        half.append(base[d] + i // HALF)
-            if not index:
-                continue
-            index, half = np.array(index), np.array(half)
-            weight = np.bincount(half, weights=energy[index], minlength=base[-1])
-            inside = np.ones(base[-1], dtype=bool)
-            inside[base[1:] - 1] = False
-            starts = np.flatnonzero(inside)
-            starts = starts[weight[starts] + weight[starts + 1] >= least]
-            if not len(starts):
-                continue
-            need = np.zeros(base[-1], dtype=bool)
-            need[starts] = need[starts + 1] = True
-            place = np.cumsum(need) - 1
-            ok = need[half]
-            index, half = index[ok], place[half[ok]]
-            latent = np.zeros((need.sum(), term.shape[1]), dtype=np.float32)
-            for at in range(0, len(index), GATHERED):
-                h = half[at : at + GATHERED]
-                heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-                latent[h[heads]] += np.add.reduceat(term[index[at : at + GATHERED]], heads, axis=0)
             hits: dict[tuple[int, int], list[int]] = {}
-            owner = np.searchsorted(base, starts, side="right") - 1
-            for at in range(0, len(starts), 4096):
-                s = place[starts[at : at + 4096]]
-                score = (latent[s] + latent[s + 1]) @ queries
-                for x, q in zip(*np.nonzero(score >= COVER)):
-                    hits.setdefault((int(owner[at + x]), int(item_of[q])), []).append(int(starts[at + x]))
+            for space in spaces:
+                for d, i, start in _hits(docs, base, *space):
+                    hits.setdefault((d, i), []).append(start)
             out = []
             for (d, i), found in hits.items():
                 item_id, words = items[i]
@@ -199,10 +224,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
             break
         seen = np.frombuffer(counted[0]["seen"], dtype=np.int64)
         idf = np.log((counted[0]["n"] + 1) / (seen + 1)) + 0.05
-        parts = [(i, words[s : s + 2 * HALF - 8]) for i, (_, words) in enumerate(block) for s in range(0, max(1, len(words) - HALF), 8)]
-        term, latent, norms = latent_space([[vocabulary[w] for w in p] for _, p in parts], idf)
-        queries = (latent / norms[:, None]).T.astype(np.float32).copy()
-        model = spark.sparkContext.broadcast((vocabulary, idf**2, term, queries, np.array([i for i, _ in parts]), COVER * norms.min(), block))
+        model = spark.sparkContext.broadcast((_spaces(block, dict(zip(vocabulary, idf))), block))
         found = texts.mapInPandas(_search(model), "doc_id bigint, item_id bigint, part double")
         out = out.unionByName(found)
     return out.groupBy("doc_id", "item_id").agg(F.max("part").alias("part"))

@@ -213,6 +213,18 @@ def test_misread_words(spark):
 # p7 ---------------------------------------------------------------------------------------------------------------
 
 
+def test_leaks_of_many_items_are_scored_in_full(spark):
+    r, v = random.Random(3), vocabulary(6000, 5)
+    items = [(i, " ".join(r.choice(v) for _ in range(40)) + ".") for i in range(500)]
+    docs = []
+    for i, text in items:
+        filler = [[r.choice(v) for _ in range(r.randint(0, 11))] for _ in range(2)]
+        docs.append((i, " ".join(filler[0] + text.rstrip(".").split()[: 40 if i % 2 else 20] + filler[1])))
+    left = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(a, b) for a, b, _ in rows(leakage.leaks(left, spark.createDataFrame(items, "item_id bigint, text string")))}
+    assert got == {(i, i) for i, _ in items}
+
+
 def test_leaks_against_every_pair(spark):
     r, v = random.Random(8), vocabulary(3000, 2)
     stock = "read this passage and then answer all."
