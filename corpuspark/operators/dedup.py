@@ -51,16 +51,25 @@ def near_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", profile:
 
     Equal shingle sets share one representative, the smallest key. MinHash bands find candidates, exact Jaccard decides.
     """
+    return near_classes(df, key, text, profile, similarity)[1]
+
+
+def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", profile: str = "any", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(key, first), the representative of every text that has shingles, and the pairs of near_pairs between representatives."""
     # the words come from a generator, so that the shingles' inner loop doesn't make them again at each step
     tokens = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.explode(F.array(words(F.col(text), profile, 1))).alias("words"))
     prints = tokens.select("key", word_shingles(F.col("words")).alias("set")).where(F.size("set") > 0)
-    classes = cut(prints.groupBy(F.xxhash64(F.sort_array("set")).alias("class")).agg(F.min_by(F.struct("key", "set"), "key").alias("x")).select("x.key", "x.set"))
+    prints = cut(prints.select("key", "set", F.xxhash64(F.sort_array("set")).alias("class")))
+    firsts = cut(prints.groupBy("class").agg(F.min("key").alias("first")))
+    members = prints.select("key", "class").join(firsts, "class").select("key", "first").distinct()
+    classes = prints.join(firsts.select(F.col("first").alias("key")), "key", "left_semi")
     bands = cut(classes.select("key", F.posexplode(_signature(BANDS, ROWS)("set")).alias("band", "h")))
     left, right = bands.select(F.col("key").alias("a"), "band", "h"), bands.select(F.col("key").alias("b"), "band", "h")
     pairs = left.join(right, ["band", "h"]).where("a < b").select("a", "b").distinct()
-    sides = pairs.join(classes.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a").join(classes.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
+    sides = pairs.join(prints.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a").join(prints.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
-    return sides.select("a", "b", F.round(both / (F.size("sa") + F.size("sb") - both), 6).alias("similarity")).where(F.col("similarity") >= similarity)
+    found = sides.select("a", "b", F.round(both / (F.size("sa") + F.size("sb") - both), 6).alias("similarity")).where(F.col("similarity") >= similarity)
+    return members, found.distinct()
 
 
 def keep_first(keys: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from corpuspark.operators import dedup, order, release, retrieval
 from corpuspark.functions import text as X
 from corpuspark.plans.registry import query
-from corpuspark.session import table
+from corpuspark.session import cut, table
 
 
 def _docs(spark, d):
@@ -113,13 +113,24 @@ def dedup_flags(spark, d):
 @query()
 def near_duplicates(spark, d):
     """Every document with text: whether it is kept, and the number of earlier or later near twins among different texts."""
-    docs = _docs(spark, d).where("text is not null")
-    pairs = dedup.near_pairs(docs)
-    classes = dedup.first_by(docs.select("doc_id", F.sha2("text", 256).alias("h")), F.col("h"), F.col("doc_id"))
-    settled = dedup.keep_first(classes.where("kept").select(F.col("doc_id").alias("key")), pairs.select("a", "b"))
-    links = pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-    out = classes.join(settled.select(F.col("key").alias("doc_id"), F.col("kept").alias("near_kept")), "doc_id", "left").join(links.withColumnRenamed("key", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", F.coalesce("near_kept", F.lit(False)).alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
+    return near_twins(_docs(spark, d))
+
+
+def near_twins(documents):
+    """(doc_id, kept, links). Texts of equal shingles are near twins of each other and of each other's twins; the first of them stands for all."""
+    docs = documents.where("text is not null")
+    members, pairs = dedup.near_classes(docs)
+    members, pairs = cut(members), cut(pairs.select("a", "b"))
+    copies = cut(dedup.first_by(docs.select("doc_id", F.sha2("text", 256).alias("h")), F.col("h"), F.col("doc_id")))
+    sizes = cut(copies.join(members, copies.doc_id == members.key).groupBy("first").agg(F.countDistinct("h").alias("texts")))
+    settled = dedup.keep_first(sizes.select(F.col("first").alias("key")), pairs).withColumnsRenamed({"key": "first", "kept": "first_kept"})
+    both = pairs.union(pairs.select("b", "a")).toDF("first", "other")
+    others = both.join(sizes.toDF("other", "near"), "other").groupBy("first").agg(F.sum("near").alias("near"))
+    classes = sizes.join(settled, "first").join(others, "first", "left")
+    classes = classes.select("first", "first_kept", (F.col("texts") - 1 + F.coalesce("near", F.lit(0))).alias("links"))
+    out = copies.join(members.withColumnRenamed("key", "doc_id"), "doc_id", "left").join(classes, "first", "left")
+    kept = F.when(F.col("first").isNull(), F.col("kept")).otherwise(F.col("first_kept") & (F.col("doc_id") == F.col("first")))
+    return out.select("doc_id", kept.alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 @query("""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, morphology, text as X
 from corpuspark.operators import alignment, classify, dedup, distance, frequency, release
+from corpuspark.plans import audit
 from corpuspark.sources import readers
 from corpuspark.streaming import incremental
 
@@ -99,6 +100,14 @@ def test_near_pairs_against_brute_force(spark):
     assert want >= {(0, 1), (0, 2)}
 
 
+def test_near_twins_in_other_case_and_punctuation(spark):
+    base = [a + b for a in "abcdefgh" for b in "ijklmnop"][:60]
+    texts = {1: " ".join(base), 2: ", ".join(base).upper(), 3: " ".join(base[:58] + ["x", "y"]), 4: " ".join(base[:58] + ["x", "y"]) + "!", 5: ", ".join(base).upper(), 6: "", 7: "other words stand here alone", 8: ""}
+    df = spark.createDataFrame([*texts.items(), (9, None)], "doc_id long, text string")
+    got = {x.doc_id: (x.kept, x.links) for x in audit.near_twins(df).collect()}
+    assert got == {1: (True, 3), 2: (False, 3), 3: (False, 3), 4: (False, 3), 5: (False, 3), 6: (True, 0), 7: (True, 0), 8: (False, 0)}
+
+
 def test_distances(spark):
     a = spark.createDataFrame([("x", 2), ("y", 2)], "word string, n long")
     b = spark.createDataFrame([("z", 4)], "word string, n long")
