@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set, as in tests."""
+    """The shared folder that spark.checkpoint.dir names.
+
+    Where it is unset a temporary folder serves a session that runs on this machine alone; on a cluster that is an error,
+    since executors can't read each other's disks. Files go when nothing refers to them any more.
+    """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     known = context._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpuspark-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -30,7 +38,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Hints a broadcast when a counted table has at most `rows` rows; a shuffled join serves beyond that."""
+    """Hints a broadcast when a counted table has at most `rows` rows; a shuffled join serves beyond that.
+
+    The count stops at rows + 1; give it a table that reads a written stage, so that counting runs no long lineage twice.
+    """
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
