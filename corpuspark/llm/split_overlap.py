@@ -1,42 +1,56 @@
 """Records of evaluation splits that occur again, the same or nearly so, in the training split.
 
-A weighted cosine join between the splits. A text is a vector of its four-word sequences, each weighted by the
-rarity of its words; word counts come from all records in a sketch of fixed size. Each text indexes its heaviest
-terms only, until the norm of the rest falls under the cosine bound, so two texts of that cosine share an indexed
-term. Inverted lists are built by blocks of terms; terms of training texts that no evaluation text indexes are
-dropped by a bit set of fixed size before they are shuffled. Dot products over shared terms are summed by pair, and
-what is left is verified on the texts. Exact copies are one class throughout and are joined by class only.
+A weighted cosine join between the splits. A text is the vector of its pairs of adjacent words, each occurrence by its
+number, weighted by rarity; how often a pair occurs is counted over all records in a sketch of fixed size. If four
+fifths of the longer text's words agree in order, the texts share at least 0.4 n - 1 of their n words' pairs, wherever
+the changes stand; the same holds if up to three tenths of the words are changed or slipped in place. So a text
+indexes its pairs of greatest weight until the squared norm of the rest is less than the least dot product such a
+partner can have with it: two such texts share an indexed pair. Texts of four words and less, all of whose words must
+agree, are indexed by their words without one letter (two in long words), so that slips meet.
+
+Inverted lists are built by blocks of terms; training terms no evaluation text indexes are dropped by a bit set of fixed
+size before they are shuffled, and the lists of hot terms are split into a grid of blocks. Within a list only texts of
+fitting length and position meet, and a parity bitmap of the words rules out those that differ in too many. Exact dot
+products over all terms, and then the word-by-word agreement, decide. Exact copies are one class throughout.
 """
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from corpuspark.llm.words import SKETCH_BITS, SLICES, Numbers, agreement, number, sketch_slot, words_of
+from corpuspark.llm.words import Numbers, agreement, number, shortened, sketch_of, summed, words_of
 from corpuspark.session import broadcast_if_small, cut
 
-TERM_WORDS = 4
-#: Texts of at least this cosine always share an indexed term.
-COSINE = 0.45
-#: Least sum of products over indexed terms for a pair to be compared word by word.
-LEAST_DOT = 0.06
 AGREEMENT = 0.8
+#: Texts of at most this many words agree in all of them or not at all.
+SHORT = 4
+#: Share of the longer text's words in which two texts may differ as they stand, slips included, on either side.
+DIFFERING = 0.45
+#: Least share of the terms that any partner shares, used against the exact dot product.
+LEAST_SHARED = 0.1
 RAREST = 1000.0
+SKETCH_BITS = 20
 #: Bits of the set of evaluation terms, 16 MB at any size of the data; a fuller set only filters less.
 SET_BITS = 27
 TERMS_PER_BLOCK = 400_000
+#: Records that hold a term from which on its lists are split.
+HOT = 100_000
+#: Pairs made at once within a block.
+PAIRS_AT_ONCE = 1_000_000
 BROADCAST_ROWS = 400_000
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+#: Words of a parity bitmap, 64 bits each.
+LANES = 4
+_ONE, _TWO, _OWN = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
+_POSTING = np.dtype([("term", "u8"), ("name", "i8"), ("n", "i4"), ("at", "i4"), ("bits", "u8", (LANES,))])
 
 
 def project_hash(text: str) -> int:
     """First 64 bits of the SHA-256 of the NFKC text with white space collapsed and trimmed."""
-    import hashlib
-
     if not unicodedata.is_normalized("NFKC", text):
         text = unicodedata.normalize("NFKC", text)
     return int.from_bytes(hashlib.sha256(" ".join(text.split()).encode("utf-8", "surrogatepass")).digest()[:8], "big", signed=True)
@@ -47,137 +61,221 @@ def class_of(words: list[str], text: str) -> int:
     return number((" ".join(words) or "\n" + text).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _first_pass(batches):
-    """Rows of two kinds: a record with its class and hash, or a slice of the task's document frequencies."""
-    numbers, sketch, n = Numbers(), np.zeros(1 << SKETCH_BITS, dtype=np.int64), 0
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def terms_of(docs: list[list[str]], numbers: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, position) of the terms of each document; the position is -1 where a term's word pair occurs again."""
+    lengths = np.array([len(x) if len(x) > SHORT else 0 for x in docs], dtype=np.int64)
+    flat = np.array([y for x in docs if len(x) > SHORT for y in numbers.of(x)], dtype=np.uint64)
+    row = np.repeat(np.arange(len(docs)), lengths)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    within = row[:-1] == row[1:]
+    pair = _mixed(flat[:-1] * _ONE + flat[1:] * _TWO)[within] if len(flat) else flat
+    row, at = row[:-1][within], at[:-1][within].astype(np.int32)
+    order = np.lexsort((at, pair, row))
+    row, pair, at = row[order], pair[order], at[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])
+    head = np.flatnonzero(new)
+    size = np.diff(np.concatenate((head, [len(row)])))
+    nth = np.arange(len(row)) - np.repeat(head, size)
+    at[np.repeat(size > 1, size)] = -1
+    term = _mixed(pair + nth.astype(np.uint64) * _OWN)
+    short = [(d, number(f"{len(x)} {i} {k}".encode("utf-8", "surrogatepass"))) for d, x in enumerate(docs) if len(x) <= SHORT for i, w in enumerate(x) for k in shortened(w)]
+    if short:
+        row = np.concatenate((row, [d for d, _ in short]))
+        term = np.concatenate((term, np.array([t for _, t in short], dtype=np.uint64)))
+        at = np.concatenate((at, np.full(len(short), -1, dtype=np.int32)))
+    return row, term, at
+
+
+def least_shared(n: np.ndarray) -> np.ndarray:
+    """Terms that a text of n words shares with any partner at least."""
+    return np.where(n > SHORT, np.maximum(1, np.ceil(0.4 * n - 1)), n).astype(np.int64)
+
+
+def _texts(batches, most: int = 2000):
+    """Slices of the batches, so that what a task holds as words stays small."""
     for pdf in batches:
-        classes, hashes, slots = [], [], []
-        for text in pdf["text"]:
-            words = words_of(text)
-            classes.append(class_of(words, text))
-            hashes.append(project_hash(text))
-            slots.extend(set(numbers.of(words)))
+        for at in range(0, len(pdf), most):
+            yield pdf.iloc[at : at + most]
+
+
+def _first_pass(batches):
+    """Rows of two kinds: a record with its class and hash, or a slice of the task's term counts."""
+    from pyspark import TaskContext
+
+    numbers, sketch, n = Numbers(), np.zeros(1 << SKETCH_BITS, dtype=np.int32), 0
+    for pdf in _texts(batches):
+        docs = [words_of(x) for x in pdf["text"]]
         n += len(pdf)
-        if slots:
-            sketch += np.bincount(sketch_slot(np.array(slots, dtype=np.uint64)), minlength=1 << SKETCH_BITS)
-        yield pd.DataFrame({"document_id": pdf["document_id"], "train": pdf["train"], "class": classes, "hash": hashes, "slice": -1, "counts": None, "n": 0})
+        sketch += np.bincount(sketch_of(terms_of(docs, numbers)[1], SKETCH_BITS), minlength=1 << SKETCH_BITS).astype(np.int32)
+        yield pd.DataFrame(
+            {"document_id": pdf["document_id"], "train": pdf["train"], "class": [class_of(w, x) for w, x in zip(docs, pdf["text"])], "hash": [project_hash(x) for x in pdf["text"]], "slice": -1, "task": 0, "counts": None, "n": 0}
+        )
     if n:
-        parts = sketch.reshape(SLICES, -1)
-        yield pd.DataFrame({"document_id": None, "train": None, "class": 0, "hash": 0, "slice": range(SLICES), "counts": [x.tobytes() for x in parts], "n": n})
-
-
-def _sum_slices(pdf):
-    total = sum(np.frombuffer(x, dtype=np.int64) for x in pdf["counts"])
-    return pd.DataFrame({"slice": [pdf["slice"].iat[0]], "counts": [total.tobytes()], "n": [int(pdf["n"].sum())]})
-
-
-def _terms(numbers: list[list[int]], rarity: np.ndarray):
-    """(row, term, weight) arrays of the indexed terms, weights divided by the text's norm."""
-    lengths = np.array([len(x) for x in numbers], dtype=np.int64)
-    flat = np.array([y for x in numbers for y in x], dtype=np.uint64)
-    rows = np.repeat(np.arange(len(numbers)), lengths)
-    n = len(flat) - TERM_WORDS + 1
-    if n <= 0:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.uint64), np.array([])
-    light = rarity[sketch_slot(flat)]
-    within = rows[:n] == rows[TERM_WORDS - 1 :]
-    term, weight = np.zeros(n, dtype=np.uint64), np.zeros(n)
-    for i in range(TERM_WORDS):
-        term += flat[i : i + n] * _FACTORS[i]
-        weight += light[i : i + n]
-    term ^= term >> np.uint64(31)
-    term *= np.uint64(0xBF58476D1CE4E5B9)
-    term ^= term >> np.uint64(29)
-    row, term, weight = rows[:n][within], term[within], weight[within] ** 2
-    order = np.lexsort((term, -weight, row))
-    row, term, weight = row[order], term[order], weight[order]
-    first = np.ones(len(row), dtype=bool)
-    first[1:] = (row[1:] != row[:-1]) | (term[1:] != term[:-1])
-    row, term, weight = row[first], term[first], weight[first]
-    total = np.bincount(row, weights=weight**2, minlength=len(numbers))
-    before = np.cumsum(weight**2) - weight**2
-    start = np.concatenate(([0.0], np.cumsum(total)))[row]
-    keep = before - start <= (1 - COSINE**2) * total[row] + 1e-9
-    row, term, weight = row[keep], term[keep], weight[keep]
-    return row, term, weight / np.sqrt(total[row])
-
-
-def _index(sketch, blocks: int, allowed=None):
-    """A mapInPandas function: rows (block, terms, classes, weights, train), arrays as bytes, by block of terms."""
+        rows = summed.slices(sketch, TaskContext.get().partitionId())
+        yield rows.assign(document_id=None, train=None, hash=0, n=n, **{"class": 0})
+
+
+def _indexed(docs: list[list[str]], names: list[int], numbers: Numbers, counts: np.ndarray):
+    """(postings, estimated records that hold each): the terms a text must index, all but the lightest it needs to share."""
+    row, term, at = terms_of(docs, numbers)
+    held = counts[sketch_of(term, SKETCH_BITS)]
+    order = np.lexsort((term, held, row))  # rarest, so heaviest, first: the same order for all texts
+    row, term, at, held = row[order], term[order], at[order], held[order]
+    n = np.array([len(x) for x in docs], dtype=np.int64)
+    size = np.bincount(row, minlength=len(docs))
+    rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+    keep = rank < (size - least_shared(n) + 1)[row]
+    out = np.zeros(keep.sum(), dtype=_POSTING)
+    out["term"], out["name"], out["n"], out["at"] = term[keep], np.array(names, dtype=np.int64)[row[keep]], n[row[keep]], at[keep]
+    flat = np.array([y for x in docs for y in numbers.of(x)], dtype=np.uint64)
+    bits = np.zeros((len(docs), LANES), dtype=np.uint64)
+    slot = (_mixed(flat) >> np.uint64(32)).astype(np.int64) % (64 * LANES)
+    np.bitwise_xor.at(bits, (np.repeat(np.arange(len(docs)), n), slot >> 6), np.uint64(1) << (slot & 63).astype(np.uint64))
+    out["bits"] = bits[row[keep]]
+    return out, held[keep]
+
+
+def _index(model, blocks: int, train: bool, allowed=None):
+    """A mapInPandas function: rows (block, postings) by block of terms; hot terms go to a grid of blocks."""
 
     def run(batches):
-        numbers, rarity = Numbers(), sketch.value
+        numbers, counts, seen = Numbers(), model.value, set()
         bits = allowed.value if allowed is not None else None
-        for pdf in batches:
-            seen, lists, classes = set(), [], []
+        for pdf in _texts(batches):
+            docs, names = [], []
+            if len(seen) > 1_000_000:
+                seen.clear()
             for text in pdf["text"]:
                 words = words_of(text)
-                if (name := class_of(words, text)) not in seen:
+                if words and (name := class_of(words, text)) not in seen:
                     seen.add(name)
-                    classes.append(name)
-                    lists.append(numbers.of(words))
-            row, term, weight = _terms(lists, rarity)
-            block = (term % np.uint64(blocks)).astype(np.int64)
-            rest = term // np.uint64(blocks)
+                    names.append(name)
+                    docs.append(words)
+            if not docs:
+                continue
+            posting, held = _indexed(docs, names, numbers, counts)
             if bits is not None:
-                slot = (rest % np.uint64(bits.shape[1] * 8)).astype(np.int64)
-                ok = (bits[block, slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                row, rest, weight, block = row[ok], rest[ok], weight[ok], block[ok]
-            name = np.array(classes, dtype=np.int64)[row]
+                slot = (posting["term"] % np.uint64(1 << SET_BITS)).astype(np.int64)
+                ok = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                posting, held = posting[ok], held[ok]
+            parts = np.maximum(1, held // HOT).astype(np.int64)
+            own = (posting["name"].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
+            copies = np.repeat(np.arange(len(posting)), parts)
+            other = np.arange(len(copies)) - np.repeat(np.cumsum(parts) - parts, parts)
+            cell = own[copies] * parts[copies] + other if train else other * parts[copies] + own[copies]
+            block = ((posting["term"][copies] + cell.astype(np.uint64) * _OWN) % np.uint64(blocks)).astype(np.int64)
+            # the cell is part of the term from here on: only the two sides of one cell meet
+            posting = posting[copies]
+            posting["term"] += cell.astype(np.uint64) * _OWN
             order = np.argsort(block, kind="stable")
-            ends = np.searchsorted(block[order], np.arange(blocks + 1))
-            out = []
-            for b in range(blocks):
-                if ends[b] < ends[b + 1]:
-                    x = order[ends[b] : ends[b + 1]]
-                    out.append((b, rest[x].tobytes(), name[x].tobytes(), weight[x].astype(np.float32).tobytes()))
-            yield pd.DataFrame(out, columns=["block", "terms", "classes", "weights"])
+            block, posting = block[order], posting[order]
+            head = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(block) else []
+            ends = [*head[1:], len(block)]
+            yield pd.DataFrame({"block": block[head] if len(block) else [], "postings": [posting[a:b].tobytes() for a, b in zip(head, ends)]})
 
     return run
 
 
-def _bit_set(blocks: int):
-    def run(pdf):
-        width = max(1, (1 << SET_BITS) // 8 // blocks)
-        bits = np.zeros(width, dtype=np.uint8)
-        for x in pdf["terms"]:
-            slot = (np.frombuffer(x, dtype=np.uint64) % np.uint64(width * 8)).astype(np.int64)
-            np.bitwise_or.at(bits, slot >> 3, np.left_shift(1, slot & 7).astype(np.uint8))
-        return pd.DataFrame({"block": [pdf["block"].iat[0]], "bits": [bits.tobytes()]})
+def _eval_slots(model, groups: int):
+    """Slots of a task's evaluation terms in the bit set, by slice of it; the tasks are put in `groups`."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        numbers = Numbers()
+        for pdf in _texts(batches):
+            if docs := [w for x in pdf["text"] if (w := words_of(x))]:
+                slot = np.unique((_indexed(docs, [0] * len(docs), numbers, model.value)[0]["term"] % np.uint64(1 << SET_BITS)).astype(np.uint32))
+                ends = np.searchsorted(slot, np.arange(summed.SLICES + 1, dtype=np.int64) * ((1 << SET_BITS) // summed.SLICES))
+                yield pd.DataFrame({"slice": range(summed.SLICES), "task": TaskContext.get().partitionId() % groups, "counts": [slot[x:y].tobytes() for x, y in zip(ends, ends[1:])]})
 
     return run
 
 
+def _bits_of_slots(pdf):
+    """The packed bits of one slice of the bit set."""
+    bits = np.zeros((1 << SET_BITS) // summed.SLICES, dtype=np.uint8)
+    for x in pdf["counts"]:
+        bits[np.frombuffer(x, dtype=np.uint32) % np.uint32(len(bits))] = 1
+    return pd.DataFrame({"slice": [pdf["slice"].iat[0]], "task": [pdf["task"].iat[0]], "counts": [summed.packed(np.packbits(bits, bitorder="little"))]})
+
+
 def _candidates(pdf):
-    """Pairs of an evaluation and a training class that share an indexed term of this block, with the sum of products."""
-    term = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in pdf["terms"]])
-    name = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in pdf["classes"]])
-    weight = np.concatenate([np.frombuffer(x, dtype=np.float32) for x in pdf["weights"]])
-    train = np.repeat(pdf["train"].to_numpy().astype(bool), [len(x) // 8 for x in pdf["terms"]])
-    order = np.lexsort((name, train, term))
-    term, name, weight, train = term[order], name[order], weight[order], train[order]
-    new = np.ones(len(term), dtype=bool)
-    new[1:] = (term[1:] != term[:-1]) | (name[1:] != name[:-1]) | (train[1:] != train[:-1])
-    term, name, weight, train = term[new], name[new], weight[new], train[new]
-    head = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
-    size = np.diff(np.concatenate((head, [len(term)])))
-    trains = np.add.reduceat(train.astype(np.int64), head)
-    both = (trains > 0) & (trains < size)
-    head, evals, trains = head[both], (size - trains)[both], trains[both]
-    count = evals * trains
-    group = np.repeat(np.arange(len(head)), count)
-    k = np.arange(len(group)) - np.repeat(np.cumsum(count) - count, count)
-    x = head[group] + k // trains[group]
-    y = head[group] + evals[group] + k % trains[group]
-    other = name[x] != name[y]
-    out = pd.DataFrame({"a": name[x][other], "b": name[y][other], "dot": (weight[x] * weight[y])[other].astype(float)})
-    return out.groupby(["a", "b"], as_index=False, sort=False)["dot"].sum()
-
-
-def _verify(batches):
-    for pdf in batches:
-        share = [agreement(words_of(x), words_of(y), AGREEMENT) for x, y in zip(pdf["text_a"], pdf["text_b"])]
-        yield pdf[["a", "b", "dot"]].assign(share=share)[np.array(share, dtype=float) >= AGREEMENT]
+    """Pairs of an evaluation and a training class that share an indexed term and can agree, by length, position and words."""
+    sides = [np.concatenate([np.frombuffer(x, dtype=_POSTING) for x in pdf["postings"][pdf["train"] == t]] or [np.zeros(0, dtype=_POSTING)]) for t in (False, True)]
+    none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+    both = np.intersect1d(sides[0]["term"], sides[1]["term"])
+    if not len(both):
+        return none
+    keys = []
+    for i, x in enumerate(sides):
+        at = np.searchsorted(both, x["term"])
+        at[at == len(both)] = 0
+        ok = both[at] == x["term"]
+        key = (at[ok] << 32) | x["n"][ok].astype(np.int64)
+        order = np.argsort(key, kind="stable")
+        sides[i] = x[ok][order]
+        keys.append(key[order])
+    left, right = sides
+    n = left["n"].astype(np.int64)
+    base = keys[0] - n
+    low = np.searchsorted(keys[1], base + np.ceil(AGREEMENT * n - 1e-9).astype(np.int64))
+    high = np.searchsorted(keys[1], base + np.floor(n / AGREEMENT + 1e-9).astype(np.int64), side="right")
+    count, found, start = high - low, [], 0
+    upto = np.cumsum(count)
+    while start < len(left):  # some pairs at a time, whatever the length of a list
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")))
+        size = count[start:end]
+        total = int(size.sum())
+        for at in range(0, total, PAIRS_AT_ONCE):
+            k = np.arange(at, min(total, at + PAIRS_AT_ONCE))
+            owner = np.searchsorted(np.cumsum(size), k, side="right")
+            x = left[start + owner]
+            y = right[low[start + owner] + k - (np.cumsum(size) - size)[owner]]
+            longer = np.maximum(x["n"], y["n"])
+            ok = (x["name"] != y["name"]) & ((x["at"] < 0) | (y["at"] < 0) | (np.abs(x["at"] - y["at"]) <= (1 - AGREEMENT) * longer + 1))
+            x, y, longer = x[ok], y[ok], longer[ok]
+            apart = np.bitwise_count(x["bits"] ^ y["bits"]).sum(axis=1)
+            ok = (longer <= SHORT) | (apart <= 2 * DIFFERING * longer + 1)
+            found.append(np.unique(np.stack((x["name"][ok], y["name"][ok]), axis=1), axis=0))
+        start = end
+    found = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
+    return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+
+def products(a: list[str], b: list[str], numbers: Numbers, rarity: np.ndarray) -> tuple[float, float, bool]:
+    """(cosine, dot product, whether the product can be a partner's) of two texts over all their terms."""
+    row, term, _ = terms_of([a, b], numbers)
+    square = rarity[sketch_of(term, SKETCH_BITS)] ** 2
+    shared = np.isin(term, np.intersect1d(term[row == 0], term[row == 1])) & (row == 0)
+    dot, norms, least = float(square[shared].sum()), [], 0.0
+    for side, words in enumerate((a, b)):
+        own = np.sort(square[row == side])
+        norms.append(float(own.sum()))
+        least = max(least, float(own[: max(1, int(LEAST_SHARED * len(own)))].sum()))
+    return dot / max(1e-12, (norms[0] * norms[1]) ** 0.5), dot, dot >= least - 1e-9
+
+
+def _verify(model):
+    def run(batches):
+        numbers, rarity = Numbers(), model.value
+        for pdf in _texts(batches):
+            out = []
+            for k, l, x, y in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"]):
+                x, y = words_of(x), words_of(y)
+                cosine, _, can = products(x, y, numbers, rarity)
+                if can and (share := agreement(x, y, AGREEMENT)) >= AGREEMENT:
+                    out.append((k, l, cosine, share))
+            yield pd.DataFrame(out, columns=["a", "b", "cosine", "share"])
+
+    return run
 
 
 def overlaps(df: DataFrame, train: str = "train") -> DataFrame:
@@ -190,31 +288,26 @@ def overlaps(df: DataFrame, train: str = "train") -> DataFrame:
     spark = df.sparkSession
     rows = df.select("document_id", (F.col("split") == train).alias("train"), "text", "content_hash").where("document_id is not null and train is not null")
     texts = rows.where("text is not null and text <> ''").select("document_id", "train", "text")
-    kind = "document_id string, train boolean, class bigint, hash bigint, slice int, counts binary, n bigint"
+    kind = "document_id string, train boolean, class bigint, hash bigint, slice int, task int, counts binary, n bigint"
     first = cut(texts.mapInPandas(_first_pass, kind))
     members = first.where("slice < 0").select("document_id", "train", "class", "hash").distinct()
-    slices = first.where("slice >= 0").groupBy("slice").applyInPandas(_sum_slices, "slice int, counts binary, n bigint").collect()
-    counts, n = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES)), 0
-    for x in slices:
-        counts[x["slice"]], n = np.frombuffer(x["counts"], dtype=np.int64), x["n"]
-    rarity = np.clip(np.log(max(n, 1) / np.maximum(counts.reshape(-1), 1)), 0.05, np.log(RAREST))
-    blocks = int(np.clip(n * 30 // TERMS_PER_BLOCK, 16, 8192))
-    sketch = spark.sparkContext.broadcast(rarity)
-    kind = "block int, terms binary, classes binary, weights binary"
-    evals = cut(texts.where("not train").mapInPandas(_index(sketch, blocks), kind).withColumn("train", F.lit(False)))
-    width = max(1, (1 << SET_BITS) // 8 // blocks)
-    bits = np.zeros((blocks, width), dtype=np.uint8)
-    for x in evals.groupBy("block").applyInPandas(_bit_set(blocks), "block int, bits binary").toLocalIterator():
-        bits[x["block"]] = np.frombuffer(x["bits"], dtype=np.uint8)
+    n = first.where("slice = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = summed(first.where("slice >= 0").select("slice", "task", "counts"), 1 << SKETCH_BITS, np.int32)
+    blocks = max(16, n * 25 // TERMS_PER_BLOCK)
+    sent = spark.sparkContext.broadcast(counts.astype(np.int64))
+    slots = texts.where("not train").mapInPandas(_eval_slots(sent, 1 + n // 2_000_000), summed.KIND).groupBy("slice", "task").applyInPandas(_bits_of_slots, summed.KIND)
+    bits = summed(slots, (1 << SET_BITS) // 8, np.uint8, np.bitwise_or)
     allowed = spark.sparkContext.broadcast(bits)
-    trains = texts.where("train").mapInPandas(_index(sketch, blocks, allowed), kind).withColumn("train", F.lit(True))
-    pairs = evals.unionByName(trains).groupBy("block").applyInPandas(_candidates, "a bigint, b bigint, dot double")
-    pairs = cut(pairs.groupBy("a", "b").agg(F.sum("dot").alias("dot")).where(F.col("dot") >= LEAST_DOT))
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    chosen = members.join(broadcast_if_small(wanted, BROADCAST_ROWS), "class").groupBy("class").agg(F.min("document_id").alias("document_id"))
+    kind = "block bigint, postings binary"
+    evals = texts.where("not train").mapInPandas(_index(sent, blocks, False), kind).withColumn("train", F.lit(False))
+    trains = texts.where("train").mapInPandas(_index(sent, blocks, True, allowed), kind).withColumn("train", F.lit(True))
+    pairs = cut(evals.unionByName(trains).groupBy("block").applyInPandas(_candidates, "a bigint, b bigint").distinct())
+    wanted = cut(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
+    chosen = cut(members.join(broadcast_if_small(wanted, BROADCAST_ROWS), "class").groupBy("class").agg(F.min("document_id").alias("document_id")))
     chosen = cut(texts.join(broadcast_if_small(chosen, BROADCAST_ROWS), "document_id").select("class", "text").dropDuplicates(["class"]))
     sides = pairs.join(chosen.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(chosen.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
-    near = cut(sides.mapInPandas(_verify, "a bigint, b bigint, dot double, share double"))
+    rarity = spark.sparkContext.broadcast(np.clip(np.log(max(n, 1) / np.maximum(counts, 1)), 0.05, np.log(RAREST)))
+    near = cut(sides.mapInPandas(_verify(rarity), "a bigint, b bigint, cosine double, share double"))
     left, right = members.where("not train").select(F.col("document_id").alias("x"), F.col("class").alias("a")), members.where("train").select(F.col("document_id").alias("y"), F.col("class").alias("b"))
     out = near.select("a", "b", "share").join(left, "a").join(right, "b").select("x", "y", "share")
     out = out.union(left.join(right, left.a == right.b).select("x", "y", F.lit(1.0)))

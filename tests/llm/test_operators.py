@@ -112,6 +112,52 @@ def test_split_overlap_against_all_pairs(spark):
     assert sum(x.pairs for x in counted.collect()) == len(want)
 
 
+def slipped(word, r):
+    i = r.randrange(len(word))
+    return r.choice([word[:i] + word[i + 1 :], word[:i] + "q" + word[i:], word[:i] + "q" + word[i + 1 :]])
+
+
+def test_split_overlap_of_short_and_noisy_texts(spark):
+    r, v, data = random.Random(6), vocabulary(3000, 9), []
+
+    def add(words_a, words_b):
+        data.append((f"t{len(data)}", "train", " ".join(words_a)))
+        data.append((f"e{len(data)}", "test", " ".join(words_b)))
+
+    for n in (5, 6, 8, 10, 15, 20, 40, 100):  # a fifth of the words replaced, four or five apart
+        for start in range(2):
+            t = [r.choice(v) for _ in range(n)]
+            u, left = list(t), n // 5
+            for i in range(start, n, 4 if n < 20 else 5):
+                if left:
+                    u[i], left = r.choice(v), left - 1
+            add(t, u)
+    for n in (1, 2, 3, 4, 12, 100):  # slips in every word of short texts, in every fourth of long ones
+        t = [r.choice(v) for _ in range(n)]
+        add(t, [slipped(w, r) if n <= 4 or i % 4 == 3 else w for i, w in enumerate(t)])
+    for n in (40, 120):  # words put in and left out at different places
+        t = [r.choice(v) for _ in range(n)]
+        u = [w for i, w in enumerate(t) if i % 10 != 3]
+        for i in range(0, len(u), 10):
+            u.insert(i, r.choice(v))
+        add(t, u)
+    for n in (20, 60):  # slips in three tenths of the words, anywhere
+        t, at = [r.choice(v) for _ in range(n)], set(r.sample(range(n), 3 * n // 10))
+        add(t, [slipped(w, r) if i in at else w for i, w in enumerate(t)])
+    got = {(a, b) for a, b, _ in rows(split_overlap.overlaps(records(spark, [(a, b, c, None, "f", 1, "x", "y") for a, b, c in data])))}
+    want = {
+        tuple(sorted((x[0], y[0]))) for x, y in itertools.combinations(data, 2) if x[1] != y[1] and words.agreement(words.words_of(x[2]), words.words_of(y[2]), 0.8) >= 0.8
+    }
+    assert len(want) >= 26 and got == want
+
+
+def test_hot_terms_are_split_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(split_overlap, "HOT", 7)
+    stock, v = "each of these notes begins with the very same long sentence as all".split(), vocabulary(60, 12)
+    data = [(f"{'e' if i % 4 else 't'}{i}", "test" if i % 4 else "train", " ".join([*stock, v[i]]), None, "f", 1, "x", "y") for i in range(60)]
+    assert split_overlap.overlaps(records(spark, data)).count() == 45 * 15
+
+
 def test_split_overlap_of_an_empty_table(spark):
     assert split_overlap.overlaps(records(spark, [])).count() == 0
 
