@@ -1,12 +1,13 @@
 """Records of evaluation splits that occur again, the same or nearly so, in the training split.
 
-A weighted cosine join between the splits. A text is the vector of its pairs of adjacent words, each occurrence by its
-number, weighted by rarity; how often a pair occurs is counted over all records in a sketch of fixed size. If four
-fifths of the longer text's words agree in order, the texts share at least 0.4 n - 1 of their n words' pairs, wherever
-the changes stand; the same holds if up to three tenths of the words are changed or slipped in place. So a text
-indexes its pairs of greatest weight until the squared norm of the rest is less than the least dot product such a
-partner can have with it: two such texts share an indexed pair. Texts of four words and less, all of whose words must
-agree, are indexed by their words without one letter (two in long words), so that slips meet.
+A weighted cosine join between the splits. A text is the vector of its runs of two adjacent words, or of three where the
+two are common, each occurrence by its number, weighted by rarity; how often a run occurs is counted over all records in
+a sketch of fixed size, so that both texts cut their runs alike. If four fifths of the longer text's words agree in place,
+whatever stands in the others, the texts share at least 0.4 n - 2 of their n words' runs; where runs of two are rare the
+same holds for words put in and left out anywhere, and for three tenths of the words changed or slipped in place. So a
+text indexes its runs of greatest weight until the squared norm of the rest falls under the least dot product of a
+partner, and some further, so that partners share a known number of indexed runs. Texts of four words and less, all of
+whose words must agree, are indexed by their words without one letter (two in long words), so that slips meet.
 
 Inverted lists are built by blocks of terms; training terms no evaluation text indexes are dropped by a bit set of fixed
 size before they are shuffled, and the lists of hot terms are split into a grid of blocks. Within a list only texts of
@@ -29,6 +30,10 @@ from corpuspark.session import broadcast_if_small, cut
 AGREEMENT = 0.8
 #: Texts of at most this many words agree in all of them or not at all.
 SHORT = 4
+#: Texts up to LONG words are cut into runs of two, from MIDDLE on into runs of three where two are common.
+MIDDLE, LONG = 12, 15
+#: Records that hold a run of two words from which on it is common.
+COMMON = 60
 #: Share of the longer text's words in which two texts may differ as they stand, slips included, on either side.
 DIFFERING = 0.45
 #: Least share of the terms that any partner shares, used against the exact dot product.
@@ -66,35 +71,79 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def terms_of(docs: list[list[str]], numbers: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, position) of the terms of each document; the position is -1 where a term's word pair occurs again."""
-    lengths = np.array([len(x) if len(x) > SHORT else 0 for x in docs], dtype=np.int64)
-    flat = np.array([y for x in docs if len(x) > SHORT for y in numbers.of(x)], dtype=np.uint64)
+def _runs(docs: list[list[int]]):
+    """(row, position, run of two, run of three or 0 at the end) of documents given as numbers of their words."""
+    lengths = np.array([len(x) for x in docs], dtype=np.int64)
+    flat = np.array([y for x in docs for y in x], dtype=np.uint64)
     row = np.repeat(np.arange(len(docs)), lengths)
     at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    two = _mixed(flat[:-1] * _ONE + flat[1:] * _TWO)
+    three = np.zeros(len(two), dtype=np.uint64)
+    if len(flat) > 2:
+        three[:-1] = np.where(row[:-2] == row[2:], _mixed(two[:-1] * _ONE + flat[2:] * _OWN), np.uint64(0))
     within = row[:-1] == row[1:]
-    pair = _mixed(flat[:-1] * _ONE + flat[1:] * _TWO)[within] if len(flat) else flat
-    row, at = row[:-1][within], at[:-1][within].astype(np.int32)
-    order = np.lexsort((at, pair, row))
-    row, pair, at = row[order], pair[order], at[order]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])
-    head = np.flatnonzero(new)
-    size = np.diff(np.concatenate((head, [len(row)])))
+    return row[:-1][within], at[:-1][within].astype(np.int32), two[within], three[within]
+
+
+def _numbered(row: np.ndarray, at: np.ndarray, run: np.ndarray):
+    """(row, term, position): each occurrence of a run in a document is a term; the position is -1 where a run occurs again."""
+    order = np.lexsort((at, run, row))
+    row, run, at = row[order], run[order], at[order]
+    head = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (run[1:] != run[:-1])))) if len(row) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.concatenate((head, [len(row)]))) if len(row) else head
     nth = np.arange(len(row)) - np.repeat(head, size)
     at[np.repeat(size > 1, size)] = -1
-    term = _mixed(pair + nth.astype(np.uint64) * _OWN)
+    return row, _mixed(run + nth.astype(np.uint64) * _OWN), at
+
+
+def terms_of(docs: list[list[str]], numbers: Numbers, counts: np.ndarray):
+    """(row, term, position, held) of the terms of each document; held is how many records are counted for the term's run.
+
+    Texts up to LONG words have runs of two; those from MIDDLE on have runs of three where two are common, so that texts
+    of lengths on either side still meet.
+    """
+    numbered = [numbers.of(x) for x in docs]
+    parts = []
+    for low, high, cut_common in ((SHORT + 1, LONG, False), (MIDDLE, None, True)):
+        some = [i for i, x in enumerate(numbered) if len(x) >= low and (high is None or len(x) <= high)]
+        if not some:
+            continue
+        row, at, two, three = _runs([numbered[i] for i in some])
+        run = two
+        if cut_common:
+            common = counts[sketch_of(two, SKETCH_BITS)] > COMMON
+            keep = ~common | (three != 0)
+            row, at, run = row[keep], at[keep], np.where(common, three, two + np.uint64(1))[keep]
+        held = counts[sketch_of(np.where(common[keep], run, run - np.uint64(1)) if cut_common else run, SKETCH_BITS)]
+        order = np.lexsort((at, run, row))
+        held = held[order]
+        row, term, at = _numbered(row, at, run)
+        parts.append((np.array(some)[row], term, at, held))
     short = [(d, number(f"{len(x)} {i} {k}".encode("utf-8", "surrogatepass"))) for d, x in enumerate(docs) if len(x) <= SHORT for i, w in enumerate(x) for k in shortened(w)]
     if short:
-        row = np.concatenate((row, [d for d, _ in short]))
-        term = np.concatenate((term, np.array([t for _, t in short], dtype=np.uint64)))
-        at = np.concatenate((at, np.full(len(short), -1, dtype=np.int32)))
-    return row, term, at
+        term = np.array([t for _, t in short], dtype=np.uint64)
+        parts.append((np.array([d for d, _ in short]), term, np.full(len(short), -1, dtype=np.int32), counts[sketch_of(term, SKETCH_BITS)]))
+    if not parts:
+        return tuple(np.zeros(0, dtype=x) for x in (np.int64, np.uint64, np.int32, np.int64))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def least_shared(n: np.ndarray) -> np.ndarray:
-    """Terms that a text of n words shares with any partner at least."""
-    return np.where(n > SHORT, np.maximum(1, np.ceil(0.4 * n - 1)), n).astype(np.int64)
+def counted(docs: list[list[str]], numbers: Numbers) -> np.ndarray:
+    """Everything a term may be made of, to be counted."""
+    _, _, two, three = _runs([numbers.of(x) for x in docs])
+    short = [number(f"{len(x)} {i} {k}".encode("utf-8", "surrogatepass")) for x in docs if len(x) <= SHORT for i, w in enumerate(x) for k in shortened(w)]
+    return np.concatenate((two, three[three != 0], np.array(short, dtype=np.uint64)))
+
+
+def needed(n: np.ndarray) -> np.ndarray:
+    """Indexed terms that partners share at least, by the words of the longer one."""
+    return np.maximum(1, np.floor(0.12 * n) - 1).astype(np.int64)
+
+
+def left_out(n: np.ndarray) -> np.ndarray:
+    """Terms, the lightest, that a text of n words doesn't index: what it shares with any partner less what is needed."""
+    shared = np.where(n > SHORT, np.maximum(1, np.ceil(0.4 * n - 2)), n)
+    return np.maximum(0, shared - needed(n)).astype(np.int64)
 
 
 def _texts(batches, most: int = 2000):
@@ -112,7 +161,7 @@ def _first_pass(batches):
     for pdf in _texts(batches):
         docs = [words_of(x) for x in pdf["text"]]
         n += len(pdf)
-        sketch += np.bincount(sketch_of(terms_of(docs, numbers)[1], SKETCH_BITS), minlength=1 << SKETCH_BITS).astype(np.int32)
+        sketch += np.bincount(sketch_of(counted(docs, numbers), SKETCH_BITS), minlength=1 << SKETCH_BITS).astype(np.int32)
         yield pd.DataFrame(
             {"document_id": pdf["document_id"], "train": pdf["train"], "class": [class_of(w, x) for w, x in zip(docs, pdf["text"])], "hash": [project_hash(x) for x in pdf["text"]], "slice": -1, "task": 0, "counts": None, "n": 0}
         )
@@ -122,22 +171,20 @@ def _first_pass(batches):
 
 
 def _indexed(docs: list[list[str]], names: list[int], numbers: Numbers, counts: np.ndarray):
-    """(postings, estimated records that hold each): the terms a text must index, all but the lightest it needs to share."""
-    row, term, at = terms_of(docs, numbers)
-    held = counts[sketch_of(term, SKETCH_BITS)]
+    """(postings, estimated records that hold each): all terms of a text but the lightest, with the parity bitmap of its words."""
+    row, term, at, held = terms_of(docs, numbers, counts)
     order = np.lexsort((term, held, row))  # rarest, so heaviest, first: the same order for all texts
     row, term, at, held = row[order], term[order], at[order], held[order]
     n = np.array([len(x) for x in docs], dtype=np.int64)
     size = np.bincount(row, minlength=len(docs))
     rank = np.arange(len(row)) - (np.cumsum(size) - size)[row]
-    keep = rank < (size - least_shared(n) + 1)[row]
+    keep = rank < (size - left_out(n))[row]
     out = np.zeros(keep.sum(), dtype=_POSTING)
     out["term"], out["name"], out["n"], out["at"] = term[keep], np.array(names, dtype=np.int64)[row[keep]], n[row[keep]], at[keep]
     flat = np.array([y for x in docs for y in numbers.of(x)], dtype=np.uint64)
-    bits = np.zeros((len(docs), LANES), dtype=np.uint64)
-    slot = (_mixed(flat) >> np.uint64(32)).astype(np.int64) % (64 * LANES)
-    np.bitwise_xor.at(bits, (np.repeat(np.arange(len(docs)), n), slot >> 6), np.uint64(1) << (slot & 63).astype(np.uint64))
-    out["bits"] = bits[row[keep]]
+    slot = np.repeat(np.arange(len(docs)), n) * (64 * LANES) + (_mixed(flat) >> np.uint64(32)).astype(np.int64) % (64 * LANES)
+    parity = (np.bincount(slot, minlength=len(docs) * 64 * LANES) & 1).astype(np.uint8).reshape(len(docs), -1)
+    out["bits"] = np.packbits(parity, axis=1).view(np.uint64)[row[keep]]
     return out, held[keep]
 
 
@@ -207,9 +254,9 @@ def _bits_of_slots(pdf):
 
 
 def _candidates(pdf):
-    """Pairs of an evaluation and a training class that share an indexed term and can agree, by length, position and words."""
+    """Pairs of an evaluation and a training class that can agree by length, position and words, with the indexed terms of this block they share and those they need."""
     sides = [np.concatenate([np.frombuffer(x, dtype=_POSTING) for x in pdf["postings"][pdf["train"] == t]] or [np.zeros(0, dtype=_POSTING)]) for t in (False, True)]
-    none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+    none = pd.DataFrame({x: pd.Series(dtype="int64") for x in ("a", "b", "shared", "need")})
     both = np.intersect1d(sides[0]["term"], sides[1]["term"])
     if not len(both):
         return none
@@ -244,33 +291,46 @@ def _candidates(pdf):
             x, y, longer = x[ok], y[ok], longer[ok]
             apart = np.bitwise_count(x["bits"] ^ y["bits"]).sum(axis=1)
             ok = (longer <= SHORT) | (apart <= 2 * DIFFERING * longer + 1)
-            found.append(np.unique(np.stack((x["name"][ok], y["name"][ok]), axis=1), axis=0))
+            n_longer = longer[ok].astype(np.int64)
+            found.append(np.stack((x["name"][ok], y["name"][ok], np.ones(ok.sum(), dtype=np.int64), needed(n_longer)), axis=1))
+            if len(found) > 4:
+                found = [_added(found)]
         start = end
-    found = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
-    return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+    return pd.DataFrame(_added(found), columns=none.columns) if found else none
+
+
+def _added(found: list[np.ndarray]) -> np.ndarray:
+    """Rows (a, b, shared, need) with one row a pair, shared terms added up."""
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    head = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))) if len(rows) else np.zeros(0, dtype=np.int64)
+    out = rows[head]
+    if len(rows):
+        out[:, 2] = np.add.reduceat(rows[:, 2], head)
+    return out
 
 
-def products(a: list[str], b: list[str], numbers: Numbers, rarity: np.ndarray) -> tuple[float, float, bool]:
+def products(a: list[str], b: list[str], numbers: Numbers, counts: np.ndarray, n: int) -> tuple[float, float, bool]:
     """(cosine, dot product, whether the product can be a partner's) of two texts over all their terms."""
-    row, term, _ = terms_of([a, b], numbers)
-    square = rarity[sketch_of(term, SKETCH_BITS)] ** 2
-    shared = np.isin(term, np.intersect1d(term[row == 0], term[row == 1])) & (row == 0)
-    dot, norms, least = float(square[shared].sum()), [], 0.0
-    for side, words in enumerate((a, b)):
+    row, term, _, held = terms_of([a, b], numbers, counts)
+    square = np.clip(np.log(max(n, 1) / np.maximum(held, 1)), 0.05, np.log(RAREST)) ** 2
+    dot = float(square[np.isin(term, term[row == 1]) & (row == 0)].sum())
+    norms, least = [], []
+    for side in (0, 1):
         own = np.sort(square[row == side])
         norms.append(float(own.sum()))
-        least = max(least, float(own[: max(1, int(LEAST_SHARED * len(own)))].sum()))
-    return dot / max(1e-12, (norms[0] * norms[1]) ** 0.5), dot, dot >= least - 1e-9
+        least.append(float(own[: max(1, int(LEAST_SHARED * len(own)))].sum()))
+    return dot / max(1e-12, (norms[0] * norms[1]) ** 0.5), dot, dot >= min(least) - 1e-9
 
 
-def _verify(model):
+def _verify(model, n: int):
     def run(batches):
-        numbers, rarity = Numbers(), model.value
+        numbers, counts = Numbers(), model.value
         for pdf in _texts(batches):
             out = []
             for k, l, x, y in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"]):
                 x, y = words_of(x), words_of(y)
-                cosine, _, can = products(x, y, numbers, rarity)
+                cosine, _, can = products(x, y, numbers, counts, n)
                 if can and (share := agreement(x, y, AGREEMENT)) >= AGREEMENT:
                     out.append((k, l, cosine, share))
             yield pd.DataFrame(out, columns=["a", "b", "cosine", "share"])
@@ -301,13 +361,14 @@ def overlaps(df: DataFrame, train: str = "train") -> DataFrame:
     kind = "block bigint, postings binary"
     evals = texts.where("not train").mapInPandas(_index(sent, blocks, False), kind).withColumn("train", F.lit(False))
     trains = texts.where("train").mapInPandas(_index(sent, blocks, True, allowed), kind).withColumn("train", F.lit(True))
-    pairs = cut(evals.unionByName(trains).groupBy("block").applyInPandas(_candidates, "a bigint, b bigint").distinct())
+    pairs = evals.unionByName(trains).groupBy("block").applyInPandas(_candidates, "a bigint, b bigint, shared bigint, need bigint")
+    pairs = pairs.groupBy("a", "b").agg(F.sum(F.col("shared").cast("int")).alias("shared"), F.max("need").alias("need")).where("shared >= need")
+    pairs = cut(pairs.select("a", "b"))
     wanted = cut(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
     chosen = cut(members.join(broadcast_if_small(wanted, BROADCAST_ROWS), "class").groupBy("class").agg(F.min("document_id").alias("document_id")))
     chosen = cut(texts.join(broadcast_if_small(chosen, BROADCAST_ROWS), "document_id").select("class", "text").dropDuplicates(["class"]))
     sides = pairs.join(chosen.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(chosen.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
-    rarity = spark.sparkContext.broadcast(np.clip(np.log(max(n, 1) / np.maximum(counts, 1)), 0.05, np.log(RAREST)))
-    near = cut(sides.mapInPandas(_verify(rarity), "a bigint, b bigint, cosine double, share double"))
+    near = cut(sides.mapInPandas(_verify(sent, n), "a bigint, b bigint, cosine double, share double"))
     left, right = members.where("not train").select(F.col("document_id").alias("x"), F.col("class").alias("a")), members.where("train").select(F.col("document_id").alias("y"), F.col("class").alias("b"))
     out = near.select("a", "b", "share").join(left, "a").join(right, "b").select("x", "y", "share")
     out = out.union(left.join(right, left.a == right.b).select("x", "y", F.lit(1.0)))
