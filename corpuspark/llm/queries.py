@@ -131,12 +131,12 @@ def p5_languages(spark, sf_dir):
 
 @query
 def p6_found(spark, sf_dir):
-    return scan_repair.noise(table(spark, sf_dir, "archive_org_texts"))
+    return scan_repair.noise(table(spark, sf_dir, "archive_org_texts"), table(spark, sf_dir, "ocr_page_metrics"))
 
 
 @query
 def p6_clean(spark, sf_dir):
-    return scan_repair.repaired(table(spark, sf_dir, "archive_org_texts"))
+    return scan_repair.repaired(table(spark, sf_dir, "archive_org_texts"), table(spark, sf_dir, "ocr_page_metrics"))
 
 
 @query
