@@ -394,11 +394,17 @@ def _weights(pdf, spelling: Spelling, total: int, cost) -> list[tuple[float, lis
     """For each row of a form and its candidates: log likelihood of the form as it stands, and of each candidate with its confusions."""
     out = []
     for word, n, options in zip(pdf["word"], pdf["n"], pdf["options"]):
-        stands = likelihood(word, n - 1, total, spelling)
+        stands = likelihood(word, genuine(n, options, cost), total, spelling)
         out.append((stands, [likelihood(o["c"], o["cn"], total, spelling) + sum(cost[p] for p in o["ops"]) for o in options]))
     return out
 
 
+def genuine(n: int, options, cost) -> int:
+    """Occurrences of a form, the one at hand left out, that misreading its candidates doesn't explain: up to three standard deviations over twice the expected number."""
+    expected = 2 * sum(o["cn"] * math.exp(sum(cost[p] for p in o["ops"])) for o in options)
+    return n - 1 if n > expected + 3 * math.sqrt(expected) + 1 else 0
+
+
 def likelihood(word: str, n: int, total: int, spelling: Spelling) -> float:
     """Log likelihood of a word: its other occurrences in the corpus if it is of one script's letters, and its spelling."""
     seen = max(0, n) / max(1, total) if _PURE.match(word) else 0.0
@@ -506,11 +512,11 @@ class Decoder:
         self.known = {o["word"]: (o["n"], o["options"]) for o in row.options} if row.options is not None else {}
         self.pairs = {x["h"]: x["n"] for x in row.pairs} if row.pairs is not None else {}
 
-    def _after(self, a: str, b: str, alone: float, same: bool) -> float:
-        """Log likelihood of b after a; the occurrence at hand doesn't count for itself."""
+    def _after(self, a: str, b: str, alone: float, doubted: bool) -> float:
+        """Log likelihood of b after a; what is doubted has only its own likelihood there."""
         x, y = self.numbers[a], self.numbers[b]
-        both = max(0, self.pairs.get(_pair(x, y), 0) - same)
-        return math.log((both + ALONE * math.exp(alone)) / (max(self.pairs.get(_pair(x, 0), 0) - same, both) + ALONE))
+        both = 0 if doubted else self.pairs.get(_pair(x, y), 0)
+        return math.log((both + ALONE * math.exp(alone)) / (max(self.pairs.get(_pair(x, 0), 0), both) + ALONE))
 
     def line(self, words: list[tuple[str, int, str]], engines: list[str]) -> list[str | None]:
         """For each word the correction, or None where it stands."""
@@ -521,20 +527,21 @@ class Decoder:
         for f, i, _ in words:
             n, options = self.known.get(f, (0, ()))
             cost = self.cost.get(engines[i], self.cost[""])
-            own = likelihood(f, n - 1, self.total, self.spelling) if options is not None and len(options) else 0.0
-            choice = [(f, own, 0.0)]
+            left = genuine(n, options, self.cost[""])
+            own = likelihood(f, left, self.total, self.spelling) if len(options) else 0.0
+            choice = [(f, own, 0.0, len(options) > 0 and (not left or not _PURE.match(f)))]
             for o in options:
                 if _PURE.match(f) and self.spelling.of(o["c"]) < self.spelling.of(f) and o["cn"] <= n:
                     continue
-                choice.append((o["c"], likelihood(o["c"], o["cn"], self.total, self.spelling), sum(cost[p] for p in o["ops"]) - MARGIN))
+                choice.append((o["c"], likelihood(o["c"], o["cn"], self.total, self.spelling), sum(cost[p] for p in o["ops"]) - MARGIN, False))
             step = []
-            for k, (c, alone, channel) in enumerate(choice):
+            for k, (c, alone, channel, doubted) in enumerate(choice):
                 if not choices:
                     step.append((alone + channel, [k]))
                     continue
                 before = choices[-1]
                 weigh = len(choice) > 1 or len(before) > 1
-                score, path = max(((s + (self._after(before[p[-1]][0], c, alone, not k and not p[-1]) if weigh and alone else alone), p) for s, p in paths), key=lambda x: x[0])
+                score, path = max(((s + (self._after(before[p[-1]][0], c, alone, doubted or before[p[-1]][3]) if weigh and alone else alone), p) for s, p in paths), key=lambda x: x[0])
                 step.append((score + channel, path + [k]))
             choices.append(choice)
             paths = step
@@ -581,7 +588,8 @@ def clean(row, decoder: Decoder) -> str:
                 if tail and folded(head + tail[0]) == form:
                     now = now[: len(now) - len(head)] + _in_case(better, written)
                     line = line[tail.end() :]
-        now += ("" if n and flow[n - 1][2] or not now else " ") + line
+        own_hyphen = len(now) > 1 and now[-1] in MARKS and now[-2].isalpha()
+        now += ("" if n and flow[n - 1][2] or not now or own_hyphen else " ") + line
         if is_broken:
             now = now.rstrip(MARKS)
         elif _ENDS.search(line) and len(lines[i]) < 0.8 * width:

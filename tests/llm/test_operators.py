@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("corpuspark.llm")
 from corpuspark.llm import encoding_repair, language, leakage, main_content, mixing, scan_repair, site_lines, split_overlap, unicode_form, words  # noqa: E402
@@ -240,9 +241,23 @@ def test_scan_structure_and_joining():
     assert [i for i, k in enumerate(kinds, 1) if k == "running_header"] == [1, 5, 7]
     assert kinds[8] == "page_number"
     assert scan_repair.broken("the old har-", "bour of") and not scan_repair.broken("of Abovyan-", "Kentron lay")
-    channel = scan_repair.Channel({w: 50 for w in "the old harbour of abovyan kentron lay still next line it end and".split()})
-    assert scan_repair.clean(page, "The long title", "Some Author", channel).startswith("The old harbour of Abovyan-".lower()[:3])
-    assert "harbour" in scan_repair.clean(page, "The long title", "Some Author", channel)
+
+
+def test_scans_are_joined_to_paragraphs(spark):
+    page = "The Long Title   11\nthe old har-\nbour of Abovyan-\nKentron lay still.\n12   Some Author\nnext line of it\nThe Long Title   13\nthe end of it.\n— 14 —"
+    df = spark.createDataFrame([("a", "The long title", "Some Author", page)], "text_id string, title string, author string, full_text string")
+    assert rows(scan_repair.repaired(df)) == [("a", "the old harbour of Abovyan-Kentron lay still. next line of it the end of it.")]
+
+
+def test_header_search_is_linear():
+    lines = [f"{'The Long Title' if i % 2 else 'A Part of the Whole'}   {i}\n" + "\n".join(f"line {i} {j} of the body goes on here" for j in range(3)) for i in range(800)]
+    import time
+
+    began = time.time()
+    kinds = scan_repair.structure("\n".join(lines[:400]))
+    once = time.time() - began
+    kinds = scan_repair.structure("\n".join(lines))
+    assert sum(k == "running_header" for k in kinds) >= 800 and time.time() - began - once < 6 * once + 1
 
 
 def test_misread_words(spark):
@@ -252,6 +267,10 @@ def test_misread_words(spark):
     df = spark.createDataFrame(data, "text_id string, title string, author string, full_text string")
     got = [x for x in rows(scan_repair.noise(df)) if x[2] == "misread"]
     assert got == [("bad", 1, "misread"), ("bad", 2, "misread")]
+    metrics = spark.createDataFrame([("x.pdf", 1, "tesseract", 90, 1), ("x.pdf", 1, "surya", 90, 2), (None, 1, "surya", 1, 1)], "pdf_name string, page_num int, engine string, char_count int, recorded_at int")
+    paged = df.withColumn("archive_id", F.lit("x"))
+    assert [x for x in rows(scan_repair.noise(paged, metrics)) if x[2] == "misread"] == got
+    assert scan_repair.noise(paged.limit(0), metrics).count() == 0
     assert dict(rows(scan_repair.repaired(df)))["bad"].count("choir") == 3
     assert scan_repair.noise(df.limit(0)).count() == 0
 
