@@ -347,8 +347,8 @@ def _count(batches):
                 words.update((f, row.engines[i]) for f, i, _ in line)
                 pairs.update(_pair(a, b) for a, b in zip(ids, ids[1:]))
                 pairs.update(_pair(a, 0) for a in ids)
-        yield pd.DataFrame({"word": [w for w, _ in words], "engine": [e for _, e in words], "n": list(words.values()), "h": 0})
-        yield pd.DataFrame({"word": None, "engine": None, "n": list(pairs.values()), "h": list(pairs)})
+        rows = [(w, e, n, 0) for (w, e), n in words.items()] + [(None, None, n, h) for h, n in pairs.items()]
+        yield pd.DataFrame(rows, columns=["word", "engine", "n", "h"])
 
 
 def _gram_counts(batches):
@@ -371,8 +371,8 @@ def _gram_counts(batches):
 
 def _aligned(batches):
     for pdf in batches:
-        ops = [alignment(c, w) for c, w in zip(pdf["c"], pdf["word"])]
-        yield pdf.assign(ops=ops)[[bool(x) for x in ops]]
+        rows = [(w, n, c, cn, ops) for w, n, c, cn in zip(pdf["word"], pdf["n"], pdf["c"], pdf["cn"]) if (ops := alignment(c, w))]
+        yield pd.DataFrame(rows, columns=["word", "n", "c", "cn", "ops"])
 
 
 def _spelled(model):
