@@ -1,9 +1,11 @@
 """The main body of web pages and articles.
 
 Markup is rendered by a tree builder with implied tags and visibility rules that keeps block spacing, lists and
-aligned cells. Text that comes rendered already has no tags, so its layout stands for them: lines become the blocks of
-a page whose regions (navigation, notices, link lists, footers) open and close by implication, and only lines of the
-body region stay visible.
+aligned cells. Text that comes rendered already has no tags, so what is left of its layout stands for them: the shape of
+each line (a sentence, a label, a title), and how it recurs. A line that recurs among the documents of its site, or whose
+form with names and numbers left out recurs over sites, is a block of the page and not of the text; whether such a block
+heads a list of links is learned from what follows it throughout the corpus. Regions open and close by implication, and
+only lines of the body region are visible. No words of any language are listed.
 """
 
 from __future__ import annotations
@@ -12,98 +14,97 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-
-# Phrases that mark a line as part of the page around the text, by language.
-CUES = """
-բաժնեկցեցէք|կիսվել այս|կիսվեք|տարածեցէք|հաւնեցաք|հավանեցիք|պատճենել հղումը|յղումը պատճէնել|տպել
-ստացէք մեր|ստացեք|բաժանորդագր|միացեք մեր|միացէք մեր|հետեւեցէք|հետևեք|նեցուկ կանգնեցէք|աջակցեք|աջակցեցէք
-ստորագրուած յօդուածներ|կարծիքները կարող են|կարծիքները կրնան|ձեռագիրները չեն|արտատպում|վերահրապարակում|մեջբերումներ անելիս
-գովազդների բովանդակության|խմբագրութիւնը պատասխանատու|պատասխանատվություն չի կրում|բոլոր իրաւունքները|բոլոր իրավունքները
-գրեց[՝`:]|պատրաստեց|հեղինակ[՝`:]|լուսանկար[՝`:]|թղթակից$|հրապարակուած է|հրապարակվել է|վերջին թարմացում|թարմացվել է|թարմացուած է
-կարդացուած է .*անգամ|ընթերցվել է .*անգամ|դիտումներ|դիտուած է|դիտվել է|^[\\d.,:]+ մեկնաբանութ|մեկնաբանութիւններ|մեկնաբանություններ
-կարդացէք նաեւ|կարդացեք նաև|առնչուող գրութիւններ|թեմայի շուրջ|ամենէն շատ կարդացուած|ամենաընթերցված|նոյն նիւթով|նույն թեմայով|պիտակներ[՝`:]
-կայքը կը գործածէ թխուկներ|գործակիցները (?:թխուկներ|քուքիներ|ֆայլեր)|օգտագործում է քուքիներ|տուեալներ կը հաւաքենք|հավաքում ենք այցելությունների|թխուկներ կը պահ|պահում (?:է|են) ֆայլեր|ձեր սարք(?:ում|ին)|^մանրամասներ|^իմանալ աւելին|ընդունիլ բոլորը|ընդունել բոլորը
-օգտագործման պայմաններ|մեր մասին$|կապ մեզի հետ|հետադարձ կապ|կայքի քարտ|գաղտնիութ
-share this article|share on|copy link|^print\\b|get our stories|sign up for|subscribe to|small donation|on social media|opinions are those|may be reproduced|is not responsible for|external links|^learn more|all rights reserved
-^by \\w+ \\w+$|^(?:text|words|story|photo)s?:|, correspondent|correspondent (?:of|for)|^published\\b|last updated|^updated\\b|^[\\d.,:]+ (?:views|comments?|reads|shares)|^(?:views|comments|read)\\b.*\\d|read also|most read|related (?:articles|stories)|more on this|^tags?:
-uses cookies|information about your visit|data on your device|^accept all|terms of use|privacy policy|^contact us|^about us|advertise with us|site map|liked it\\?
-partager cet article|copier le lien|^imprimer|inscrivez-vous|recevez nos|abonnez-vous|soutenez|petit don|réseaux sociaux|n.?engagent que|reproduction interdite|n.?est pas responsable|liens externes|ne répond pas|tous droits réservés
-^par \\w+ \\w+$|^texte ?:|^propos recueillis|correspondante?\\b|^publié le|mis à jour le|^[\\d.,:]+ (?:vues|commentaires?|lectures)|^(?:vu|lu|vues|lectures|commentaires?)\\b.*\\d|à lire aussi|les plus lus|sur le même (?:sujet|thème)|articles liés|mots-clés|étiquettes ?:
-ce site utilise des témoins|utilise des cookies|informations sur votre visite|données sur votre appareil|^tout accepter|mentions légales|politique de confidentialité|conditions d.?utilisation|^en savoir plus|nous contacter|qui sommes-nous|plan du site|publicité$|vous avez aimé
-поделиться|скопировать ссылку|^печать|распечатать|получайте|подпишитесь|подписывайтесь|поддержите|в социальных сетях|может не совпадать|перепечатка|не отвечает за|все права защищены|читайте нас
-^автор:|^текст:|корреспондент|^опубликовано|обновлено \\d|последнее обновление|прочитано|^просмотр|^[\\d.,:]+ (?:просмотр|комментари)|^комментарии|читайте также|самое читаемое|по теме$|похожие|^теги:|^метки:
-использует (?:файлы )?(?:cookie|куки)|собираем (?:данные|сведения)|на вашем устройстве|^принять вс|условия использования|политика конфиденциальности|^контакты$|^о нас$|карта сайта|^реклама$|понравилось
-"""
-RELATED = """կարդացէք նաեւ|կարդացեք նաև|առնչուող գրութիւններ|թեմայի շուրջ|ամենէն շատ կարդացուած|ամենաընթերցված|նոյն նիւթով|նույն թեմայով
-read also|most read|related|more on this|à lire aussi|les plus lus|sur le même|читайте также|самое читаемое|по теме|похожие"""
-#: A cue is looked for in lines of at most this many characters; a longer line is running text unless it names cookies.
-LONGEST_NOTICE = 240
+from pyspark.sql import DataFrame, functions as F
+
+from corpuspark.llm.words import number
+from corpuspark.session import broadcast_if_small, cut
+
+#: Different documents in which a line recurs on its site, in all, and at least as a share of the documents of either.
+ON_SITE, OVER_ALL, SHARE_ON_SITE, SHARE_OVER_ALL = 3, 5, 0.005, 0.0002
+#: Words of a label at most: what stands before a colon at the start of a line.
+LABEL_WORDS = 4
+#: Share of a recurring line's occurrences that titles follow for it to head a list.
+HEADS = 0.5
+BROADCAST_FORMS = 1_000_000
 
-_CUE = re.compile("|".join(x for x in CUES.replace("և", "եւ").split("\n") if x))
-_RELATED = re.compile("|".join(RELATED.replace("և", "եւ").split("\n")))
 _LEAD = re.compile(r"^[\s•*»›—–\-·|]+")
 _TAIL = re.compile(r"(?:\s*[»›|]+|!|\.\.\.|…)\s*$")
-_MARKS = re.compile("[՛՞՜’՚']")
-_END = re.compile(r"[.։?!…:][»”\")\]]*$|[»”\"]$")
 _SEPARATED = re.compile(r"\S(?:\s*[|›·•]\s*|\s+[>/]\s+|\s{3,})\S")
 _DATE = re.compile(r"^\d{1,2}[ ./-][^\W\d]+[ ./-]\d{4}\b|^\d{4}-\d\d-\d\d|^\d{1,2}[./]\d{1,2}[./]\d{4}")
 _PAGES = re.compile(r"^[\d\s….»«|›‹-]+$")
 _WORD = re.compile(r"[^\W\d_]+")
+_TOKEN = re.compile(r"[^\W\d_]+(?:[՛՞՜’'][^\W\d_]+)*|\d+")
+_MARKS = re.compile("[՛՞՜’՚']")
 _BYLINE = re.compile(r"^[^\W\d_]+ [^\W\d_]+, [^\W\d_]+(?: [^\W\d_]+){0,2}$")
 _NUMBERED = re.compile(r"^\s*\d{1,2}[.)]\s")
-_DIALOGUE = re.compile(r"^\s*[–—«“\"]\s*\S")
+_LABEL = re.compile(r"^([^:՝]{2,60}?)\s*[:՝]")
+_ENDED = re.compile(r"[.։?][»”\")]*$")
+_QUOTED_END = re.compile(r"[.։?!…]\s*[»”\"]$")
 
-BODY, FURNITURE, HEADER, TITLE = "body", "furniture", "related", "title"
+#: Shapes of lines: a sentence, a label or piece of navigation, a title, a numbered title, none.
+SENTENCE, LABEL, TITLE, NUMBERED, EMPTY = "s", "l", "t", "n", "e"
 
 
-def _kind(line: str) -> str:
-    """What a line is by itself: running text, part of the page, head of a link list, or like a title."""
+def shape_of(line: str) -> str:
+    """What a line looks like, whatever it says."""
     core = _LEAD.sub("", line)
     bare = core
-    while (cut := _TAIL.sub("", bare)) != bare:
-        bare = cut
+    while (less := _TAIL.sub("", bare)) != bare:
+        bare = less
     words = _WORD.findall(bare)
     if not words:
-        return FURNITURE
-    if len(line) <= LONGEST_NOTICE:
-        plain = _MARKS.sub("", bare.casefold())
-        spaced = " ".join(plain.split())
-        if _RELATED.search(spaced) and not _END.search(bare):
-            return HEADER
-        if "©" in bare or _CUE.search(spaced):
-            return FURNITURE
-    ended = bool(re.search(r"[.։?][»”\")]*$", core)) and not core.endswith("...") or bool(re.search(r"[.։?!…]\s*[»”\"]$", core))
-    if ended and len(words) >= 3:
-        return BODY
-    if _DATE.match(bare) or _PAGES.match(bare) or _SEPARATED.search(bare) or len(words) <= 2 or _NUMBERED.match(line):
-        return BODY if len(line) > LONGEST_NOTICE else FURNITURE
-    if bare != core and not re.search(r"!$", core):
-        return FURNITURE
-    if len(line) > LONGEST_NOTICE:
-        return BODY
+        return LABEL if line.strip() else EMPTY
+    if (_ENDED.search(core) and not core.endswith("...") or _QUOTED_END.search(core)) and len(words) >= 3:
+        return SENTENCE
+    if _NUMBERED.match(line):
+        return NUMBERED
+    if _DATE.match(bare) or _PAGES.match(bare) or _SEPARATED.search(bare) or len(words) <= 2:
+        return LABEL
+    if bare != core and not core.endswith("!"):
+        return LABEL
     return TITLE
 
 
-def visible(text: str) -> list[bool]:
-    """For each line, whether it belongs to the body; empty lines don't."""
-    lines = text.split("\n")
-    kinds = [_kind(x) if x.strip() else None for x in lines]
-    order = [i for i, k in enumerate(kinds) if k]
+def forms_of(line: str, site: str) -> list[int]:
+    """Numbers of a line's letters on its site, of its form with names and numbers left out, and of its label if it has one."""
+    plain = _MARKS.sub("", line)
+    tokens = _TOKEN.findall(plain)
+    loud = plain.isupper()
+    form = " ".join("0" if x.isdigit() else x.casefold() if loud or not n or not x[0].isupper() else "X" for n, x in enumerate(tokens))
+    letters = "".join(x for x in tokens if not x.isdigit()).casefold().replace("և", "եւ")
+    out = [_number(f"{site}\n{letters}"), _number("f" + form.replace("և", "եւ"))]
+    label = _LABEL.match(_LEAD.sub("", plain))
+    if label and 0 < len(words := _WORD.findall(label[1])) <= LABEL_WORDS:
+        out.append(_number("l" + " ".join(words).casefold().replace("և", "եւ")))
+    return out
+
+
+def _number(text: str) -> int:
+    return number(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def visible(text: str, shapes: str, recurring: dict[int, str]) -> list[bool]:
+    """For each line, whether it belongs to the body; empty lines don't.
+
+    recurring: by number of line, "h" for a recurring line that heads a list of links, "r" for any other.
+    """
+    lines, kinds = text.split("\n"), list(shapes)
+    order = [i for i, k in enumerate(kinds) if k != EMPTY]
+    for i, k in recurring.items():
+        kinds[i] = k
     out, listing, body = [False] * len(lines), False, False
     for n, i in enumerate(order):
         kind = kinds[i]
-        if kind == HEADER:
-            core = _LEAD.sub("", lines[i])
-            listing = not re.search(r"[:՝]\s*\S", core)  # a title on the same line is the whole list
-        elif kind == BODY:
+        if kind == "h":
+            listing = not re.search(r"[:՝]\s*\S", _LEAD.sub("", lines[i]))  # a title on the same line is the whole list
+        elif kind == SENTENCE:
             out[i], listing, body = True, False, True
-        elif kind == FURNITURE:
-            listing = listing and bool(_NUMBERED.match(lines[i]))
-        elif not listing:
+        elif kind in (LABEL, "r"):
+            listing = False
+        elif kind == TITLE and not listing:
             after = kinds[order[n + 1]] if n + 1 < len(order) else None
             before = kinds[order[n - 1]] if n else None
-            if after == BODY and (before == BODY and body or before != TITLE and not _BYLINE.match(" ".join(_LEAD.sub("", lines[i]).split()))):
+            if after == SENTENCE and (before == SENTENCE and body or before != TITLE and not _BYLINE.match(" ".join(_LEAD.sub("", lines[i]).split()))):
                 out[i] = True
     return out
 
@@ -195,34 +196,87 @@ def render(markup: str) -> list[tuple[str, str | None]]:
 _MARKUP = re.compile(r"<(?:html|body|div|p|article|table|ul)\b[^>]*>", re.I)
 
 
-def body_of(text: str) -> tuple[str, list[int]]:
-    """(body, numbers of non-empty lines that are not of it). Markup is rendered first and numbered by rendered lines."""
-    if _MARKUP.search(text[:4000]):
-        rendered = render(text)
-        lines, region = [x for x, _ in rendered], [r for _, r in rendered]
-        seen = [v and not r for v, r in zip(visible("\n".join(lines)), region)] if lines else []
-    else:
-        lines, seen = text.split("\n"), visible(text)
-    out: list[str] = []
-    for line, ok in zip(lines, seen):
-        if ok:
-            out.append(line)
-        elif not line.strip() and out and out[-1]:
-            out.append("")
-    return "\n".join(out).strip("\n"), [i for i, (x, ok) in enumerate(zip(lines, seen), 1) if x.strip() and not ok]
+def rendered(text: str) -> tuple[str, list[str | None]]:
+    """(text, region of each line): markup is rendered and from then on known by its rendered lines; other text stays."""
+    if not _MARKUP.search(text):
+        return text, [None] * (text.count("\n") + 1)
+    lines = render(text)
+    return "\n".join(x for x, _ in lines), [r for _, r in lines] or [None]
+
+
+def _lines(batches):
+    """(doc, text, shapes, outside, forms, lists, own): what a text's lines are like; own stands for its longest line.
+
+    forms and lists are by line: the numbers of its forms, and whether a list of titles may follow it.
+    """
+    for pdf in batches:
+        out = []
+        for doc, site, text in zip(pdf["doc"], pdf["site"], pdf["text"]):
+            text, regions = rendered(text)
+            lines = text.split("\n")
+            shapes = [shape_of(x) for x in lines]
+            order = [i for i, k in enumerate(shapes) if k != EMPTY]
+            follows = {i: shapes[j] for i, j in zip(order, order[1:])}
+            after = {i: shapes[j] for i, j in zip(order, order[2:])}
+            lists = [follows.get(i) in (TITLE, NUMBERED) and after.get(i) != SENTENCE for i in range(len(lines))]
+            forms = [forms_of(x, site or "") if k != EMPTY else [] for x, k in zip(lines, shapes)]
+            out.append((doc, text, "".join(shapes), "".join("o" if r else "i" for r in regions), forms, lists, _number(max(lines, key=len))))
+        yield pd.DataFrame(out, columns=["doc", "text", "shapes", "outside", "forms", "lists", "own"])
+
+
+def _bodies(batches):
+    for pdf in batches:
+        out = []
+        for key, text, shapes, outside, hits in zip(pdf["key"], pdf["text"], pdf["shapes"], pdf["outside"], pdf["hits"]):
+            recurring: dict[int, str] = {}
+            for h in hits if hits is not None else ():
+                i = int(h["line"])
+                # a label counts only where the line is no sentence
+                if h["which"] < 2 or shapes[i] != SENTENCE:
+                    recurring[i] = "h" if h["heads"] and shapes[i] != SENTENCE or recurring.get(i) == "h" else "r"
+            seen = [v and o == "i" for v, o in zip(visible(text, shapes, recurring), outside)]
+            body: list[str] = []
+            for line, ok in zip(text.split("\n"), seen):
+                if ok:
+                    body.append(line)
+                elif not line.strip() and body and body[-1]:
+                    body.append("")
+            around = [i for i, (k, ok) in enumerate(zip(shapes, seen), 1) if k != EMPTY and not ok]
+            out.append((key, "\n".join(body).strip("\n"), around))
+        yield pd.DataFrame(out, columns=["key", "body", "around"])
 
 
-@F.pandas_udf(T.StructType([T.StructField("body", T.StringType()), T.StructField("around", T.ArrayType(T.IntegerType()))]))
-def _bodies(texts):
-    done = [body_of(x) if x else (x, []) for x in texts]
-    return pd.DataFrame({"body": [x for x, _ in done], "around": [y for _, y in done]})
+def recurring_forms(lines: DataFrame, sites: DataFrame) -> DataFrame:
+    """(h, heads): the forms that recur, and whether they head lists. Documents with the same longest line count as one."""
+    rows = lines.select("site", "own", F.explode(F.arrays_zip("forms", "lists")).alias("x"))
+    rows = rows.select("site", "own", "x.lists", F.posexplode("x.forms").alias("which", "h"))
+    each = rows.groupBy("h", "own").agg(F.min("which").alias("which"), F.first("site").alias("site"), F.bool_or("lists").alias("lists"))
+    counts = each.groupBy("h").agg(F.min("which").alias("which"), F.first("site").alias("site"), F.count(F.lit(1)).alias("n"), F.count_if("lists").alias("lists"))
+    counts = counts.where(F.col("n") >= F.when(F.col("which") == 0, ON_SITE).otherwise(OVER_ALL))
+    total = sites.agg(F.sum("docs").alias("every"))
+    counts = counts.join(broadcast_if_small(sites, BROADCAST_FORMS), F.col("site").eqNullSafe(sites["of"]), "left").crossJoin(F.broadcast(total))
+    often = F.when(F.col("which") == 0, F.col("n") >= SHARE_ON_SITE * F.coalesce("docs", F.lit(0))).otherwise(F.col("n") >= SHARE_OVER_ALL * F.col("every"))
+    return counts.where(often).select("h", (F.col("lists") >= HEADS * F.col("n")).alias("heads"))
 
 
-def bodies(df: DataFrame, key: str, text: str) -> DataFrame:
+def bodies(df: DataFrame, key: str, text: str, site: str | None = None) -> DataFrame:
     """(key, body, around): each distinct (key, text) with its body and the numbers of its lines that are not of the body.
 
-    A null text has a null body and no lines; an empty text an empty body. Null keys are kept. Repeated rows count once.
+    site names the column of the web site or paper; without one, and for nulls, lines recur only over all documents and
+    among those without a site. A null text has a null body and no lines; an empty text an empty body. Null keys are kept.
+    Repeated rows count once. Markup is rendered first and numbered by rendered lines.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    done = rows.withColumn("x", _bodies("text"))
-    return done.select("key", F.col("x.body").alias("body"), F.col("x.around").alias("around"))
+    own_site = F.col(site) if site else F.lit(None).cast("string")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), own_site.alias("site")).dropDuplicates(["key", "text"])
+    rows = cut(rows.withColumn("doc", F.monotonically_increasing_id()))
+    kind = "doc bigint, text string, shapes string, outside string, forms array<array<bigint>>, lists array<boolean>, own bigint"
+    full = rows.where("text is not null")
+    facts = full.select("doc", "key", "site")
+    lines = full.select("doc", "site", "text").mapInPandas(_lines, kind)
+    lines = cut(lines.join(facts, "doc"))
+    sites = cut(lines.groupBy(F.col("site").alias("of")).agg(F.count(F.lit(1)).alias("docs")))
+    often = cut(recurring_forms(lines, sites))
+    at = lines.select("doc", F.posexplode("forms").alias("line", "hs")).select("doc", "line", F.posexplode("hs").alias("which", "h"))
+    hits = at.join(broadcast_if_small(often, BROADCAST_FORMS), "h").groupBy("doc").agg(F.collect_list(F.struct("line", "which", "heads")).alias("hits"))
+    done = lines.select("doc", "key", "text", "shapes", "outside").join(hits, "doc", "left").mapInPandas(_bodies, "key string, body string, around array<int>")
+    return done.unionByName(rows.where("text is null").select("key", "text", F.array().cast("array<int>").alias("around")).withColumnRenamed("text", "body"))

@@ -104,8 +104,8 @@ def p9_text(spark, sf_dir):
 
 
 def _page_bodies(spark, sf_dir):
-    pages = main_content.bodies(table(spark, sf_dir, "crawl_results"), "url", "text").select(F.lit("crawl_results").alias("table_name"), "*")
-    articles = main_content.bodies(table(spark, sf_dir, "newspaper_articles"), "article_id", "content").select(F.lit("newspaper_articles").alias("table_name"), "*")
+    pages = main_content.bodies(table(spark, sf_dir, "crawl_results"), "url", "text", "domain").select(F.lit("crawl_results").alias("table_name"), "*")
+    articles = main_content.bodies(table(spark, sf_dir, "newspaper_articles"), "article_id", "content", "source_name").select(F.lit("newspaper_articles").alias("table_name"), "*")
     return pages.unionByName(articles)
 
 
