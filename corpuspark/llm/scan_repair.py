@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from corpuspark.llm.words import Numbers, number, summed
-from corpuspark.session import cut
+from corpuspark.session import broadcast_if_small, cut
 
 # What the characters of a word get misread as.
 CONFUSIONS = """
@@ -44,6 +44,7 @@ ALONE = 20.0
 FIRST, FIRST_USES, ENGINE_USES = 0.003, 200.0, 200.0
 #: Least nats that the letter sequences around a confusion must be unlikely by for its form to be searched.
 UNLIKELY = 6.0
+BROADCAST_SCANS = 200_000
 #: Forms whose bits are set to rule out the others: 16 MB at any size of the data.
 SET_BITS = 27
 
@@ -105,15 +106,19 @@ def structure(text: str, title: str | None = None, author: str | None = None) ->
     edges.update((0, 1, len(lines) - 1, len(lines) - 2))
     loose = {i for i in keys if i in edges or _NUMBERS.search(lines[i].strip())}
     known = [x for x in (skeleton(title or ""), skeleton(author or "")) if len(x) >= 6]
-    for lead, at in alike.groups(keys, known).items():
-        same = defaultdict(list)
-        for i in at:
-            same[keys[i]].append(i)
-        near = [i for i in at if i in loose]
-        # lines of one key far apart, and lines at page edges that are much alike, head each other's pages
-        if lead in known or near and near[-1] - near[0] > 4 or any(x[-1] - x[0] > 4 for x in same.values()):
+    same = defaultdict(list)
+    for i, key in keys.items():
+        same[key].append(i)
+    far = {key for key, at in same.items() if at[-1] - at[0] > 4}
+    heads = list(dict.fromkeys([*known, *far]))
+    for lead, at in alike.groups({i: keys[i] for i in sorted(loose)}).items():
+        if at[-1] - at[0] > 4:  # lines at page edges that are much alike head each other's pages
+            heads += [x for x in dict.fromkeys(keys[i] for i in at) if x not in heads]
+    near = alike.to(heads)
+    for key, at in same.items():
+        if key in far or near(key):
             for i in at:
-                if i in loose or len(keys[i]) < 60 or len(same[keys[i]]) > 1:
+                if i in loose or len(key) < 60 or key in heads:
                     kinds[i] = "running_header"
     return kinds
 
@@ -129,23 +134,36 @@ class Likeness:
             self.threes[key] = frozenset(key[i : i + 3] for i in range(len(key) - 2))
         return self.threes[key]
 
-    def groups(self, keys: dict[int, str], first: list[str]) -> dict[str, list[int]]:
-        """Leading key -> lines much alike it; only keys with an equal least run under one of BANDS orders are compared."""
+    def groups(self, keys: dict[int, str]) -> dict[str, list[int]]:
+        """Leading key -> lines much alike it; only keys with an equal least run under one of several orders are compared."""
         leads: dict[tuple[int, int], list[str]] = defaultdict(list)
         out: dict[str, list[int]] = {}
         done: dict[str, str] = {}
-        for i, key in [(-1, x) for x in first] + list(keys.items()):
+        for i, key in keys.items():
             if key not in done:
-                hashes = np.array([hash(x) & 0xFFFFFFFF for x in self._runs(key)] or [0], dtype=np.uint64)
-                bands = [(n, int(x)) for n, x in enumerate(((hashes[:, None] * _FACTORS[None, :]) >> np.uint64(7) & np.uint64(0xFFFFFF)).min(axis=0))]
-                done[key] = next((x for band in bands for x in leads[band] if self(key, x)), key)
+                hashes = np.array([hash(x) & 0xFFFFFFFF for x in self._runs(key)], dtype=np.uint64)
+                bands = list(enumerate(((hashes[:, None] * _FACTORS[None, :]) & np.uint64(0xFFFFFFFF)).min(axis=0).tolist()))
+                found = dict.fromkeys(x for band in bands for x in leads[band])
+                done[key] = next((x for x in found if self(key, x)), key)
                 if done[key] == key:
                     for band in bands:
                         leads[band].append(key)
                     out[key] = []
-            if i >= 0:
-                out[done[key]].append(i)
-        return {k: v for k, v in out.items() if v}
+            out[done[key]].append(i)
+        return out
+
+    def to(self, heads: list[str]):
+        """Whether a key is much alike one of the heads; only heads that share enough of its runs are compared."""
+        holders: dict[str, list[str]] = defaultdict(list)
+        for x in heads:
+            for run in self._runs(x):
+                holders[run].append(x)
+
+        def near(key: str) -> bool:
+            votes = Counter(x for run in self._runs(key) for x in holders.get(run, ()))
+            return any(n >= 0.35 * min(len(self._runs(key)), len(self._runs(x))) and self(key, x) for x, n in votes.most_common())
+
+        return near
 
     def __call__(self, a: str, b: str) -> bool:
         if a == b:
@@ -266,7 +284,7 @@ class Spelling:
     """Likelihood of letter sequences, and the likeliest spelling behind a form."""
 
     def __init__(self, table: np.ndarray):
-        self.table, self.memo = table, {}
+        self.table, self.memo, self.words = table, {}, {}
 
     def log(self, gram: str) -> float:
         if (x := self.memo.get(gram)) is None:
@@ -276,7 +294,11 @@ class Spelling:
         return x
 
     def of(self, word: str) -> float:
-        return sum(map(self.log, _grams(word)))
+        if (x := self.words.get(word)) is None:
+            if len(self.words) > 500_000:
+                self.words.clear()
+            x = self.words[word] = sum(map(self.log, _grams(word)))
+        return x
 
     def suspect(self, word: str) -> bool:
         """Whether a confusion can stand where the letter sequences are unlikely enough for another letter to be likelier."""
@@ -465,8 +487,8 @@ def _asked_forms(model):
             rows = []
             for row in pdf.itertuples():
                 words = {f for line, _, _ in _flow(row) for f, _, _ in line}
-                rows += [(row.text_id, row.at, w) for w in words if bits[(s := numbers[w] >> (64 - SET_BITS)) >> 3] >> (s & 7) & 1]
-            yield pd.DataFrame(rows, columns=["text_id", "at", "word"])
+                rows += [(row.at, w) for w in words if bits[(s := numbers[w] >> (64 - SET_BITS)) >> 3] >> (s & 7) & 1]
+            yield pd.DataFrame(rows, columns=["at", "word"])
 
     return run
 
@@ -485,7 +507,7 @@ def _bit_slots(batches):
 
 
 def _asked_pairs(batches):
-    """(text_id, at, h): numbers of the forms and adjacent forms that the decoding of a text weighs."""
+    """(at, h): numbers of the forms and adjacent forms that the decoding of a text weighs."""
     numbers = Numbers()
     for pdf in batches:
         out = []
@@ -498,8 +520,8 @@ def _asked_pairs(batches):
                     if len(x) > 1 or len(y) > 1:
                         asked.update(_pair(a, 0) for a in numbers.of(x))
                         asked.update(_pair(a, b) for a in numbers.of(x) for b in numbers.of(y))
-            out += [(row.text_id, row.at, h) for h in asked]
-        yield pd.DataFrame(out, columns=["text_id", "at", "h"])
+            out += [(row.at, h) for h in asked]
+        yield pd.DataFrame(out, columns=["at", "h"])
 
 
 class Decoder:
@@ -630,9 +652,11 @@ def _ready(df: DataFrame, metrics: DataFrame | None):
     """(texts with their candidates and counts, model, words of the corpus)."""
     spark = df.sparkSession
     archive = F.col("archive_id") if "archive_id" in df.columns else F.lit(None).cast("string")
-    texts = df.where("text_id is not null and full_text is not null").select("text_id", "title", "author", "full_text", archive.alias("archive")).dropDuplicates(["text_id", "full_text"])
+    texts = df.where("text_id is not null and full_text is not null").select("text_id", "title", "author", "full_text", archive.alias("archive"))
     kind = "text_id string, full_text string, kinds string, engines array<string>"
-    texts = texts.join(_pages(metrics, spark), "archive", "left").repartition(2 * spark.sparkContext.defaultParallelism)
+    # one shuffle serves the removal of repeats and the even spread of the work
+    texts = texts.repartition(2 * spark.sparkContext.defaultParallelism, "text_id").dropDuplicates(["text_id", "full_text"])
+    texts = texts.join(broadcast_if_small(cut(_pages(metrics, spark)), BROADCAST_SCANS), "archive", "left")
     texts = cut(texts.mapInPandas(_structured, kind).withColumn("at", F.monotonically_increasing_id()))
     counted = cut(texts.mapInPandas(_count, "word string, engine string, n bigint, h bigint"))
     engines = counted.where("word is not null").groupBy("word", "engine").agg(F.sum("n").alias("n"))
@@ -651,13 +675,12 @@ def _ready(df: DataFrame, metrics: DataFrame | None):
         options.mapInPandas(_hits(grams, total), "engine string, op int, hits double"), lexicon.select("word", F.explode("engines").alias("e")).select("word", "e.*").mapInPandas(_uses, "engine string, op int, uses double")
     )
     bits = spark.sparkContext.broadcast(summed(options.select("word").mapInPandas(_bit_slots, summed.KIND), (1 << SET_BITS) // 8, np.uint8, np.bitwise_or))
-    asked = texts.mapInPandas(_asked_forms(bits), "text_id string, at bigint, word string").join(options.select("word", "n", "options"), "word")
-    asked = asked.groupBy("at").agg(F.collect_list(F.struct("word", "n", "options")).alias("options"))
-    texts = cut(texts.join(asked, "at", "left"))
+    asked = texts.mapInPandas(_asked_forms(bits), "at bigint, word string").join(options.select("word", "n", "options"), "word")
+    asked = cut(asked.groupBy("at").agg(F.collect_list(F.struct("word", "n", "options")).alias("options")))
     pairs = counted.where("word is null").groupBy("h").agg(F.sum("n").alias("n"))
-    weighed = texts.where("options is not null").mapInPandas(_asked_pairs, "text_id string, at bigint, h bigint").join(pairs, "h")
+    weighed = texts.select("at", "full_text", "kinds").join(asked, "at").mapInPandas(_asked_pairs, "at bigint, h bigint").join(pairs, "h")
     weighed = weighed.groupBy("at").agg(F.collect_list(F.struct("h", "n")).alias("pairs"))
-    return texts.join(weighed, "at", "left"), spark.sparkContext.broadcast((grams.value, cost)), total
+    return texts.join(asked, "at", "left").join(weighed, "at", "left"), spark.sparkContext.broadcast((grams.value, cost)), total
 
 
 @F.pandas_udf(T.StringType())
