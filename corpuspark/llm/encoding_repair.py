@@ -1,14 +1,17 @@
 """Text decoded with the wrong character encoding: found, and restored where it can be.
 
-Suspicious documents are joined with clean near-twins on the text without its non-ASCII characters. Runs of non-ASCII
-characters at the same place of both texts are aligned; each pair votes for the transformation that turns the garbled
-run into the clean one, or, if none does and the lengths agree, for single substitutions. What is learned is applied
-to the remaining records, the transformations with most votes first. A run counts as garbled only if undoing the
-transformation gives text of the languages at hand; a replacement character is garbled but lost unless a twin has it.
+Suspicious documents are joined with clean near-twins on the text without its non-ASCII characters: each document gives
+the least hashes of windows of that text, and one of all of it, and the clean document that shares most is the twin.
+Clauses of both that are equal without their non-ASCII characters are aligned; each pair of runs votes for the reading
+that turns the garbled run into the clean one, and, whatever the encoding, for the characters that stand for each clean
+character: as many as the bytes of its UTF-8, or one. What is learned is applied to the remaining records, readings with
+most votes first, then the learned characters to runs no reading explains. A run counts as garbled only if undoing it
+gives text of the languages at hand; a replacement character is garbled but lost unless a twin has it.
 """
 
 from __future__ import annotations
 
+import difflib
 import re
 from collections import Counter
 
@@ -31,6 +34,9 @@ _ODD = re.compile(f"[^{_ORDINARY}]|[ÀÂÇÈÊËÎÏÔÙÛÜàâäæçèéêëî
 _SWAPPED = re.compile(r"[а-яё][А-ЯЁЈ]{2}|[А-ЯЁЈі]{2,}")
 _PLAIN = re.compile("[\u00a0-ÿŒœŠšŽžŸƒˆ˜€’‘“”„‚‹›†‡‰«»—–…•№™ʼЀ-џҐґԱ-և։֊ՙ-՟]+")
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
+_CLAUSE = re.compile(r"(?<=[,.;!?\n])")
+#: Windows of the ASCII remainder: pieces of one, its characters at least, and how many a document gives.
+WINDOW, WINDOW_CHARS, WINDOWS = 6, 12, 8
 
 
 def _characters(codec: str) -> list[str]:
@@ -177,7 +183,7 @@ def repair(text: str, order: list[str] | None = None, learned: dict[str, str] |
         byte_runs, new = other()
         if byte_runs > max(read.repaired(out)[1] for read in UTF8_READS):
             out, garbled = new, True
-    for _ in range(3):
+    while True:  # text decoded wrongly several times gets shorter with each reading undone
         before = out
         for read in reads if odd else ():
             if isinstance(read, Utf8Read):
@@ -192,75 +198,110 @@ def repair(text: str, order: list[str] | None = None, learned: dict[str, str] |
     if swapped:
         out, sure = _swapped(out, table)
         garbled |= sure > 0
-    if learned and odd and not garbled:
-        runs = [m for m in _NON_ASCII.finditer(out) if len(m[0]) >= 3 and _ODD.search(m[0]) and all(x in learned for x in m[0])]
-        for m in reversed(runs):
-            out, garbled = out[: m.start()] + "".join(learned[x] for x in m[0]) + out[m.end() :], True
+    if learned and odd:
+        for m in reversed(list(_NON_ASCII.finditer(out))):
+            if _ODD.search(m[0]) and (new := respelled(m[0], learned)):
+                out, garbled = out[: m.start()] + new + out[m.end() :], True
     return out, garbled
 
 
+def respelled(run: str, learned: dict[str, str]) -> str | None:
+    """A run in learned characters, the longest that fit first; None unless all of it fits and the outcome is ordinary."""
+    at, parts, longest = 0, [], max(map(len, learned))
+    while at < len(run):
+        size = next((n for n in range(min(longest, len(run) - at), 0, -1) if run[at : at + n] in learned), 0)
+        if not size:
+            return None
+        parts.append(learned[run[at : at + size]])
+        at += size
+    out = "".join(parts)
+    return out if len(run) >= 3 and len(parts) >= 2 and not _ODD.search(out) else None
+
+
 def suspicious(text: str) -> bool:
     return bool(_ODD.search(text) or _SWAPPED.search(text))
 
 
+def windows(text: str) -> list[int]:
+    """Hashes of a text without its non-ASCII characters: of all of it, and the least ones of its windows."""
+    bare = _NON_ASCII.sub("", text)
+    pieces = re.findall(r"\s+|\S+", bare)
+    parts = ("".join(pieces[i : i + WINDOW]) for i in range(max(0, len(pieces) - WINDOW + 1)))
+    hashes = {number(b"w" + x.encode()) - (1 << 63) for x in parts if len(x) >= WINDOW_CHARS}
+    return [number(bare.encode()) - (1 << 63), *sorted(hashes)[:WINDOWS]]
+
+
 def _skeletons(batches):
     pairs = np.zeros((34, 34), dtype=np.int64)
     place = {x: i for i, x in enumerate("_" + _SMALL)}
     for pdf in batches:
         keys, odd = [], []
         for text in pdf["text"]:
-            keys.append(number(_NON_ASCII.sub("", text).encode()) - (1 << 63))
+            keys.append(windows(text))
             odd.append(suspicious(text))
             if not odd[-1] and "о" in text:
                 for (a, b), n in bigrams_of(text).items():
                     pairs[place[a], place[b]] += n
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": keys, "odd": odd, "pairs": None})
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "keys": keys, "odd": odd, "pairs": None})
     if pairs.any():
-        yield pd.DataFrame({"doc_id": [0], "key": [0], "odd": [None], "pairs": [pairs.tobytes()]})
+        yield pd.DataFrame({"doc_id": [0], "keys": [[]], "odd": [None], "pairs": [pairs.tobytes()]})
 
 
 def _sum_pairs(pdf):
     return pd.DataFrame({"pairs": [sum(np.frombuffer(x, dtype=np.int64) for x in pdf["pairs"]).tobytes()]})
 
 
+def aligned_runs(bad: str, good: str):
+    """Pairs of non-ASCII runs at the same place of clauses that are equal without them."""
+    sides = []
+    for text in (bad, good):
+        clauses = [c for c in _CLAUSE.split(text) if c]
+        sides.append(([tuple(_NON_ASCII.split(c)) for c in clauses], [_NON_ASCII.findall(c) for c in clauses]))
+    (x, runs), (y, others) = sides
+    same = range(len(x)) if x == y else None
+    blocks = [(0, 0, len(x))] if same else difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()
+    for i, j, n in blocks:
+        for k in range(n):
+            yield from zip(runs[i + k], others[j + k])
+
+
 def _votes(batches):
-    """Rows (kind, garbled, clean, votes): transformations by name, else single substitutions."""
+    """Rows (kind, garbled, clean, votes): readings by name, and the characters that stand for a clean one."""
     for pdf in batches:
         count: Counter = Counter()
         for bad, good in zip(pdf["bad"], pdf["good"]):
-            runs = []
-            for text in (bad, good):
-                at, found = 0, {}
-                for m in _NON_ASCII.finditer(text):
-                    found[m.start() - at] = m[0]
-                    at += len(m[0])
-                runs.append(found)
-            for place, run in runs[0].items():
-                clean = runs[1].get(place, "")
-                if run == clean:
+            for run, clean in aligned_runs(bad, good):
+                if run == clean or not _ODD.search(run):
                     continue
-                names = [r.name for r in ALL_READS if r.undo(run) == clean] or [
-                    f"{r.name}, twice" for r in UTF8_READS if (x := r.undo(run)) and r.undo(x) == clean
-                ]
-                if names:
-                    count["read", names[0], ""] += 1
-                elif len(run) == len(clean):
-                    for x, y in zip(run, clean):
-                        count["letter", x, y] += 1
+                for name in [r.name for r in ALL_READS if r.undo(run) == clean][:1]:
+                    count["read", name, ""] += 1
+                sizes = [len(c.encode("utf-8", "surrogatepass")) for c in clean]
+                if len(run) == len(clean):
+                    sizes = [1] * len(clean)
+                if len(run) == sum(sizes):
+                    at = 0
+                    for c, n in zip(clean, sizes):
+                        count["letter", run[at : at + n], c] += 1
+                        at += n
         yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["kind", "garbled", "clean", "votes"])
 
 
 def learn(documents: DataFrame):
-    """(order, learned, table, twins): transformations by votes, substitutions, Cyrillic pair scores, and (doc_id, twin) pairs."""
+    """(order, learned, table, twins, some): readings by votes, learned characters, Cyrillic pair scores, (doc_id, twin, whole), texts of both."""
     texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    rows = cut(texts.mapInPandas(_skeletons, "doc_id bigint, key bigint, odd boolean, pairs binary"))
+    rows = cut(texts.mapInPandas(_skeletons, "doc_id bigint, keys array<bigint>, odd boolean, pairs binary"))
     table = None
     if found := rows.where("pairs is not null").select(F.lit(1).alias("one"), "pairs").groupBy("one").applyInPandas(_sum_pairs, "pairs binary").collect():
         counts = np.frombuffer(found[0]["pairs"], dtype=np.int64).reshape(34, 34) + 0.1
         table = np.log(counts / counts.sum(axis=1, keepdims=True))
-    odd, even = rows.where("odd"), rows.where("not odd").groupBy("key").agg(F.min("doc_id").alias("twin"))
-    keys = broadcast_if_small(odd.select("key").distinct(), BROADCAST_ROWS)
-    twins = cut(odd.select("doc_id", "key").distinct().join(even.join(keys, "key"), "key").select("doc_id", "twin"))
+    each = rows.where("odd is not null").select("doc_id", "odd", F.posexplode("keys").alias("at", "key")).withColumn("at", F.least("at", F.lit(1)))
+    odd = cut(each.where("odd").select("doc_id", "at", "key").distinct())
+    keys = broadcast_if_small(odd.select("at", "key").distinct(), BROADCAST_ROWS)
+    # one clean document stands for all that share a window, so a window of many documents makes no pairs
+    even = each.where("not odd").join(keys, ["at", "key"]).groupBy("at", "key").agg(F.min("doc_id").alias("twin"))
+    shared = odd.join(even, ["at", "key"]).groupBy("doc_id", "twin").agg((F.max(1 - F.col("at")) == 1).alias("whole"), F.count(F.lit(1)).alias("n"))
+    best = shared.groupBy("doc_id").agg(F.max_by(F.struct("twin", "whole"), F.struct("whole", "n", -F.col("twin"))).alias("x"))
+    twins = cut(best.select("doc_id", "x.twin", "x.whole"))
     wanted = broadcast_if_small(twins.select(F.explode(F.array("doc_id", "twin")).alias("doc_id")).distinct(), BROADCAST_ROWS)
     some = cut(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]))
     sides = twins.join(some.select("doc_id", F.col("text").alias("bad")), "doc_id").join(some.select(F.col("doc_id").alias("twin"), F.col("text").alias("good")), "twin")
@@ -294,6 +335,6 @@ def garbled(documents: DataFrame) -> DataFrame:
     model = documents.sparkSession.sparkContext.broadcast((order, learned, table))
     out = texts.mapInPandas(_apply(model), "doc_id bigint, text string, restored string").distinct()
     lost = F.col("restored").contains("�")
-    good = twins.join(some.select(F.col("doc_id").alias("twin"), F.col("text").alias("good")), "twin").select("doc_id", "good")
+    good = twins.where("whole").join(some.select(F.col("doc_id").alias("twin"), F.col("text").alias("good")), "twin").select("doc_id", "good")
     out = out.join(good, "doc_id", "left").withColumn("restored", F.when(lost & F.col("good").isNotNull(), F.col("good")).otherwise(F.col("restored")))
     return out.select("doc_id", "text", "restored", (~lost).alias("whole"))

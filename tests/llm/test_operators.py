@@ -388,3 +388,16 @@ def test_garbled_documents(spark):
     df = spark.createDataFrame([(*x, "k") for x in data], "doc_id bigint, text string, key string")
     assert rows(encoding_repair.garbled(df).select("doc_id", "restored", "whole")) == [(2, good, True), (3, good, True)]
     assert encoding_repair.garbled(df.limit(0)).count() == 0
+
+
+def test_a_reading_that_is_not_in_the_stock_is_learned(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ") for _ in range(r.randint(3, 9)))
+    assert "cp775" not in encoding_repair.READINGS
+    wrong = lambda text: "".join(encoding_repair._characters("cp775")[b] for b in text.encode())
+    clean = [f"{' '.join(word() for _ in range(8))}, {1900 + i} {' '.join(word() for _ in range(9))}; {' '.join(word() for _ in range(7))} ({i})" for i in range(24)]
+    # twelve have a near-twin whose last words differ, the others have none
+    data = [(i, x) for i, x in enumerate(clean[:12])] + [(100 + i, wrong(x[:-4]) + " (other words)") for i, x in enumerate(clean[:12])] + [(200 + i, wrong(x)) for i, x in enumerate(clean[12:])]
+    got = {a: b for a, b in rows(encoding_repair.garbled(spark.createDataFrame(data, "doc_id bigint, text string")).select("doc_id", "restored"))}
+    assert {k for k in got} == {k for k, _ in data if k >= 100}
+    assert all(got[200 + i] == x for i, x in enumerate(clean[12:]))
