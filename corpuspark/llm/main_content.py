@@ -14,7 +14,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from corpuspark.llm.words import number
 from corpuspark.session import broadcast_if_small, cut
@@ -41,8 +41,8 @@ _LABEL = re.compile(r"^([^:՝]{2,60}?)\s*[:՝]")
 _ENDED = re.compile(r"[.։?][»”\")]*$")
 _QUOTED_END = re.compile(r"[.։?!…]\s*[»”\"]$")
 
-#: Shapes of lines: a sentence, a label or piece of navigation, a title, a numbered title, none.
-SENTENCE, LABEL, TITLE, NUMBERED, EMPTY = "s", "l", "t", "n", "e"
+#: Shapes of lines: a sentence, a label or piece of navigation, a title, a title like a byline, a numbered one, none.
+SENTENCE, LABEL, TITLE, BYLINE, NUMBERED, EMPTY = "s", "l", "t", "b", "n", "e"
 
 
 def shape_of(line: str) -> str:
@@ -62,7 +62,7 @@ def shape_of(line: str) -> str:
         return LABEL
     if bare != core and not core.endswith("!"):
         return LABEL
-    return TITLE
+    return BYLINE if _BYLINE.match(" ".join(core.split())) else TITLE
 
 
 def forms_of(line: str, site: str) -> list[int]:
@@ -83,28 +83,26 @@ def _number(text: str) -> int:
     return number(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def visible(text: str, shapes: str, recurring: dict[int, str]) -> list[bool]:
+def visible(shapes: str, recurring: dict[int, str]) -> list[bool]:
     """For each line, whether it belongs to the body; empty lines don't.
 
     recurring: by number of line, "h" for a recurring line that heads a list of links, "r" for any other.
     """
-    lines, kinds = text.split("\n"), list(shapes)
+    kinds = list(shapes)
     order = [i for i, k in enumerate(kinds) if k != EMPTY]
     for i, k in recurring.items():
         kinds[i] = k
-    out, listing, body = [False] * len(lines), False, False
+    out, listing, body = [False] * len(kinds), False, False
     for n, i in enumerate(order):
         kind = kinds[i]
-        if kind == "h":
-            listing = not re.search(r"[:՝]\s*\S", _LEAD.sub("", lines[i]))  # a title on the same line is the whole list
-        elif kind == SENTENCE:
+        if kind == SENTENCE:
             out[i], listing, body = True, False, True
-        elif kind in (LABEL, "r"):
-            listing = False
-        elif kind == TITLE and not listing:
+        elif kind in ("h", "r", LABEL):
+            listing = kind == "h"
+        elif kind in (TITLE, BYLINE) and not listing:
             after = kinds[order[n + 1]] if n + 1 < len(order) else None
             before = kinds[order[n - 1]] if n else None
-            if after == SENTENCE and (before == SENTENCE and body or before != TITLE and not _BYLINE.match(" ".join(_LEAD.sub("", lines[i]).split()))):
+            if after == SENTENCE and (before == SENTENCE and body or before not in (TITLE, BYLINE) and kind == TITLE):
                 out[i] = True
     return out
 
@@ -204,59 +202,112 @@ def rendered(text: str) -> tuple[str, list[str | None]]:
     return "\n".join(x for x, _ in lines), [r for _, r in lines] or [None]
 
 
+#: Forms of a line: on its site, with names and numbers left out, its label.
+FORMS = 3
+
+
 def _lines(batches):
-    """(doc, text, shapes, outside, forms, lists, own): what a text's lines are like; own stands for its longest line.
+    """What the lines of texts are like: shapes, regions of markup, forms by kind (0 for none) and flags.
 
-    forms and lists are by line: the numbers of its forms, and whether a list of titles may follow it.
+    own stands for a text's longest line. Flags tell which forms are new in the text and whether a list may follow. A line whose label has a title behind it is a list by itself: none follows.
     """
     for pdf in batches:
         out = []
-        for doc, site, text in zip(pdf["doc"], pdf["site"], pdf["text"]):
+        for doc, key, site, text in zip(pdf["doc"], pdf["key"], pdf["site"], pdf["text"]):
             text, regions = rendered(text)
             lines = text.split("\n")
             shapes = [shape_of(x) for x in lines]
             order = [i for i, k in enumerate(shapes) if k != EMPTY]
             follows = {i: shapes[j] for i, j in zip(order, order[1:])}
             after = {i: shapes[j] for i, j in zip(order, order[2:])}
-            lists = [follows.get(i) in (TITLE, NUMBERED) and after.get(i) != SENTENCE for i in range(len(lines))]
-            forms = [forms_of(x, site or "") if k != EMPTY else [] for x, k in zip(lines, shapes)]
-            out.append((doc, text, "".join(shapes), "".join("o" if r else "i" for r in regions), forms, lists, _number(max(lines, key=len))))
-        yield pd.DataFrame(out, columns=["doc", "text", "shapes", "outside", "forms", "lists", "own"])
+            titles = (TITLE, BYLINE, NUMBERED)
+            lists = [shapes[i] != SENTENCE and not _LISTED.search(lines[i]) and follows.get(i) in titles and after.get(i) != SENTENCE for i in order]
+            forms = [[*forms_of(lines[i], site or ""), 0][:FORMS] for i in order]
+            seen: set[int] = set()
+            flags = []
+            for ok, hs in zip(lists, forms):  # a bit for a list behind, and one for each form that the text has not had yet
+                flags.append(ok + sum(2 << k for k, h in enumerate(hs) if h not in seen))
+                seen.update(hs)
+            outside = "".join("o" if r else "i" for r in regions) if any(regions) else ""
+            out.append((doc, key, _number("s" + (site or "")), "".join(shapes), outside, order, *([f[k] for f in forms] for k in range(FORMS)), flags, _number(max(lines, key=len))))
+        yield pd.DataFrame(out, columns=["doc", "key", "site", "shapes", "outside", "line", "f0", "f1", "f2", "flags", "own"])
+
 
+_LISTED = re.compile(r"\S\s*[:՝]\s*\S")
+_KIND = "doc bigint, key string, site bigint, shapes string, outside string, line array<int>, f0 array<bigint>, f1 array<bigint>, f2 array<bigint>, flags array<int>, own bigint"
 
-def _bodies(batches):
+
+def _around(batches):
     for pdf in batches:
         out = []
-        for key, text, shapes, outside, hits in zip(pdf["key"], pdf["text"], pdf["shapes"], pdf["outside"], pdf["hits"]):
+        for doc, key, shapes, outside, hits in zip(pdf["doc"], pdf["key"], pdf["shapes"], pdf["outside"], pdf["hits"]):
             recurring: dict[int, str] = {}
             for h in hits if hits is not None else ():
-                i = int(h["line"])
+                i, which, heads = int(h) >> 3, int(h) >> 1 & 3, int(h) & 1
                 # a label counts only where the line is no sentence
-                if h["which"] < 2 or shapes[i] != SENTENCE:
-                    recurring[i] = "h" if h["heads"] and shapes[i] != SENTENCE or recurring.get(i) == "h" else "r"
-            seen = [v and o == "i" for v, o in zip(visible(text, shapes, recurring), outside)]
-            body: list[str] = []
-            for line, ok in zip(text.split("\n"), seen):
-                if ok:
-                    body.append(line)
-                elif not line.strip() and body and body[-1]:
-                    body.append("")
-            around = [i for i, (k, ok) in enumerate(zip(shapes, seen), 1) if k != EMPTY and not ok]
-            out.append((key, "\n".join(body).strip("\n"), around))
-        yield pd.DataFrame(out, columns=["key", "body", "around"])
-
-
-def recurring_forms(lines: DataFrame, sites: DataFrame) -> DataFrame:
-    """(h, heads): the forms that recur, and whether they head lists. Documents with the same longest line count as one."""
-    rows = lines.select("site", "own", F.explode(F.arrays_zip("forms", "lists")).alias("x"))
-    rows = rows.select("site", "own", "x.lists", F.posexplode("x.forms").alias("which", "h"))
-    each = rows.groupBy("h", "own").agg(F.min("which").alias("which"), F.first("site").alias("site"), F.bool_or("lists").alias("lists"))
-    counts = each.groupBy("h").agg(F.min("which").alias("which"), F.first("site").alias("site"), F.count(F.lit(1)).alias("n"), F.count_if("lists").alias("lists"))
-    counts = counts.where(F.col("n") >= F.when(F.col("which") == 0, ON_SITE).otherwise(OVER_ALL))
-    total = sites.agg(F.sum("docs").alias("every"))
-    counts = counts.join(broadcast_if_small(sites, BROADCAST_FORMS), F.col("site").eqNullSafe(sites["of"]), "left").crossJoin(F.broadcast(total))
-    often = F.when(F.col("which") == 0, F.col("n") >= SHARE_ON_SITE * F.coalesce("docs", F.lit(0))).otherwise(F.col("n") >= SHARE_OVER_ALL * F.col("every"))
-    return counts.where(often).select("h", (F.col("lists") >= HEADS * F.col("n")).alias("heads"))
+                if which < 2 or shapes[i] != SENTENCE:
+                    recurring[i] = "h" if heads and shapes[i] != SENTENCE or recurring.get(i) == "h" else "r"
+            seen = visible(shapes, recurring)
+            if outside:
+                seen = [v and o == "i" for v, o in zip(seen, outside)]
+            out.append((doc, key, [i for i, (k, ok) in enumerate(zip(shapes, seen), 1) if k != EMPTY and not ok]))
+        yield pd.DataFrame(out, columns=["doc", "key", "around"])
+
+
+def _exploded(lines: DataFrame, *others: str) -> DataFrame:
+    """A row (others..., line, flags, which, h) for each form of each line."""
+    one = lines.select(*others, F.explode(F.arrays_zip("line", "f0", "f1", "f2", "flags")).alias("x"))
+    rows = one.select(*others, "x.line", "x.flags", F.posexplode(F.array("x.f0", "x.f1", "x.f2")).alias("which", "h"))
+    return rows.where("h <> 0")
+
+
+def recurring_forms(lines: DataFrame) -> DataFrame:
+    """(h, heads): the forms that recur, and whether they head lists. Of documents with the same longest line one counts."""
+    firsts = cut(lines.groupBy("own").agg(F.min("doc").alias("doc")).select("doc"))
+    first = lines.join(broadcast_if_small(firsts, BROADCAST_FORMS), "doc", "left_semi").dropDuplicates(["doc"])
+    first = cut(first.select("site", "line", "f0", "f1", "f2", "flags"))
+    sites = cut(first.groupBy(F.col("site").alias("of")).agg(F.count(F.lit(1)).alias("docs")))
+    # only the forms' numbers are counted first, so that the many that don't recur weigh little
+    new = F.getbit("flags", F.col("which") + 1) == 1
+    often = cut(_exploded(first).where(new).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(ON_SITE, OVER_ALL)).select("h"))
+    rows = _exploded(first, "site").where(new).join(broadcast_if_small(often, BROADCAST_FORMS), "h")
+    counts = rows.groupBy("h").agg(F.min("which").alias("which"), F.first("site").alias("site"), F.count(F.lit(1)).alias("n"), F.count_if(F.getbit("flags", F.lit(0)) == 1).alias("lists"))
+    every = sites.agg(F.sum("docs").alias("every"))
+    counts = counts.join(broadcast_if_small(sites, BROADCAST_FORMS), F.col("site") == F.col("of")).crossJoin(F.broadcast(every))
+    on_site = (F.col("n") >= ON_SITE) & (F.col("n") >= SHARE_ON_SITE * F.col("docs"))
+    over_all = (F.col("n") >= OVER_ALL) & (F.col("n") >= SHARE_OVER_ALL * F.col("every"))
+    return counts.where(F.when(F.col("which") == 0, on_site).otherwise(over_all)).select("h", (F.col("lists") >= HEADS * F.col("n")).alias("heads"))
+
+
+def around(df: DataFrame, key: str, text: str, site: str | None = None) -> DataFrame:
+    """(doc, key, around): the numbers of the lines that are not of the body; doc numbers the (key, text). Null texts give no rows."""
+    own_site = F.col(site) if site else F.lit(None).cast("string")
+    rows = df.where(F.col(text).isNotNull()).select(_doc(key, text), F.col(key).alias("key"), own_site.alias("site"), F.col(text).alias("text"))
+    lines = cut(rows.mapInPandas(_lines, _KIND))
+    often = cut(recurring_forms(lines))
+    at = _exploded(lines, "doc").join(broadcast_if_small(often, BROADCAST_FORMS), "h")
+    hit = F.col("line") * 8 + F.col("which") * 2 + F.col("heads").cast("int")
+    hits = at.select("doc", hit.alias("hit")).groupBy("doc").agg(F.collect_set("hit").alias("hits"))
+    done = lines.select("doc", "key", "shapes", "outside").join(hits, "doc", "left")
+    return done.mapInPandas(_around, "doc bigint, key string, around array<int>")
+
+
+def _doc(key: str, text: str):
+    return F.xxhash64(F.col(key), F.col(text)).alias("doc")
+
+
+@F.pandas_udf(T.StringType())
+def _body(texts, around):
+    out = []
+    for text, gone in zip(texts, around):
+        gone, body = set(gone), []
+        for i, line in enumerate(rendered(text)[0].split("\n"), 1):
+            if line.strip() and i not in gone:
+                body.append(line)
+            elif not line.strip() and body and body[-1]:
+                body.append("")
+        out.append("\n".join(body).strip("\n"))
+    return pd.Series(out, dtype=object)
 
 
 def bodies(df: DataFrame, key: str, text: str, site: str | None = None) -> DataFrame:
@@ -266,17 +317,7 @@ def bodies(df: DataFrame, key: str, text: str, site: str | None = None) -> DataF
     among those without a site. A null text has a null body and no lines; an empty text an empty body. Null keys are kept.
     Repeated rows count once. Markup is rendered first and numbered by rendered lines.
     """
-    own_site = F.col(site) if site else F.lit(None).cast("string")
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), own_site.alias("site")).dropDuplicates(["key", "text"])
-    rows = cut(rows.withColumn("doc", F.monotonically_increasing_id()))
-    kind = "doc bigint, text string, shapes string, outside string, forms array<array<bigint>>, lists array<boolean>, own bigint"
-    full = rows.where("text is not null")
-    facts = full.select("doc", "key", "site")
-    lines = full.select("doc", "site", "text").mapInPandas(_lines, kind)
-    lines = cut(lines.join(facts, "doc"))
-    sites = cut(lines.groupBy(F.col("site").alias("of")).agg(F.count(F.lit(1)).alias("docs")))
-    often = cut(recurring_forms(lines, sites))
-    at = lines.select("doc", F.posexplode("forms").alias("line", "hs")).select("doc", "line", F.posexplode("hs").alias("which", "h"))
-    hits = at.join(broadcast_if_small(often, BROADCAST_FORMS), "h").groupBy("doc").agg(F.collect_list(F.struct("line", "which", "heads")).alias("hits"))
-    done = lines.select("doc", "key", "text", "shapes", "outside").join(hits, "doc", "left").mapInPandas(_bodies, "key string, body string, around array<int>")
-    return done.unionByName(rows.where("text is null").select("key", "text", F.array().cast("array<int>").alias("around")).withColumnRenamed("text", "body"))
+    found = around(df, key, text, site).select("doc", "around").dropDuplicates(["doc"])
+    rows = df.select(_doc(key, text), F.col(key).alias("key"), F.col(text).alias("text")).dropDuplicates(["doc"])
+    done = rows.where("text is not null").join(found, "doc").select("key", _body("text", "around").alias("body"), "around")
+    return done.unionByName(rows.where("text is null").select("key", F.col("text").alias("body"), F.array().cast("array<int>").alias("around")))

@@ -103,20 +103,20 @@ def p9_text(spark, sf_dir):
     return encoding_repair.garbled(table(spark, sf_dir, "documents")).select("doc_id", "restored", "whole")
 
 
-def _page_bodies(spark, sf_dir):
-    pages = main_content.bodies(table(spark, sf_dir, "crawl_results"), "url", "text", "domain").select(F.lit("crawl_results").alias("table_name"), "*")
-    articles = main_content.bodies(table(spark, sf_dir, "newspaper_articles"), "article_id", "content", "source_name").select(F.lit("newspaper_articles").alias("table_name"), "*")
-    return pages.unionByName(articles)
+def _pages(spark, sf_dir, what):
+    pages = what(table(spark, sf_dir, "crawl_results"), "url", "text", "domain").select(F.lit("crawl_results").alias("table_name"), "*")
+    articles = what(table(spark, sf_dir, "newspaper_articles"), "article_id", "content", "source_name").select(F.lit("newspaper_articles").alias("table_name"), "*")
+    return pages.unionByName(articles).withColumnRenamed("key", "record_key")
 
 
 @query
 def p4_found(spark, sf_dir):
-    return _page_bodies(spark, sf_dir).select("table_name", F.col("key").alias("record_key"), F.explode("around").alias("line_no")).distinct()
+    return _pages(spark, sf_dir, main_content.around).select("table_name", "record_key", F.explode("around").alias("line_no")).distinct()
 
 
 @query
 def p4_bodies(spark, sf_dir):
-    return _page_bodies(spark, sf_dir).select("table_name", F.col("key").alias("record_key"), "body").distinct()
+    return _pages(spark, sf_dir, main_content.bodies).select("table_name", "record_key", "body").distinct()
 
 
 @query

@@ -173,12 +173,37 @@ def test_slips_agree():
 # p4 ---------------------------------------------------------------------------------------------------------------
 
 
-def test_page_regions():
-    page = "News | Archive | Contact\nBy Jane Doe\nThe river is long and old. It flows.\nA heading of the part\n– So we went home that evening.\nRead also\nOther title of a page\nAnother title of it\n© Site"
-    assert main_content.body_of(page)[1] == [1, 2, 6, 7, 8, 9]
-    assert main_content.body_of("Bake the cookies for 12 minutes, says Jane Doe, and accept no butter.")[1] == []
-    assert main_content.body_of("This website uses cookies to improve your experience.")[1] == [1]
-    assert main_content.body_of("") == ("", [])
+def site_pages(spark, site="Aram", n=40):
+    """Pages of made-up sites in a made-up language: what is furniture shows only by recurring."""
+    r, v = random.Random(7), vocabulary(900, 21)
+    sentence = lambda: " ".join([r.choice(v).capitalize(), *(r.choice(v) for _ in range(9))]) + "."
+    title = lambda: " ".join([r.choice(v).capitalize(), *(r.choice(v) for _ in range(4))])
+    data, want = [], {}
+    for i in range(n):
+        name = f"{site}{'abcdefgh'[i % 8]}"
+        lines = [
+            ("Hopa | Kuri | Bela", 0), (f"Zu {r.choice(v).capitalize()} {r.choice(v).capitalize()}", 0), (sentence(), 1), (title(), 1), (sentence(), 1), ("", 2), (f"We at {name} keep small files on your machine so that you feel at home.", 0),
+            (sentence(), 1), ("Moka lepo suda tira", 0), (title(), 0), (title(), 0), (f"Tagu: {r.choice(v)}, {r.choice(v)}, {r.choice(v)}", 0), (f"Posted on {i} of {2000 + i} at {i}", 0),
+        ]
+        data.append((f"u{i}", name, "\n".join(x for x, _ in lines), 1))
+        want[f"u{i}"] = [k for k, (_, kind) in enumerate(lines, 1) if kind == 0]
+    return spark.createDataFrame(data, "url string, domain string, text string, body int"), want
+
+
+def test_furniture_is_told_by_recurring(spark):
+    df, want = site_pages(spark)
+    got = {x.key: list(x.around) for x in main_content.around(df, "url", "text", "domain").collect()}
+    assert got == want
+    body = {x.key: x.body for x in main_content.bodies(df, "url", "text", "domain").collect()}
+    assert all(len(x.split("\n")) in (5, 6) for x in body.values())
+    again = {x.key: list(x.around) for x in main_content.bodies(df.union(df), "url", "text", "domain").collect()}
+    assert again == want
+
+
+def test_markup_far_into_a_page_is_rendered(spark):
+    df = spark.createDataFrame([("u", "Plain words before the page. " * 400 + "<p>The first part of it.<nav>Home</nav><p>The end of it.", None)], "url string, text string, domain string")
+    body = main_content.bodies(df, "url", "text", "domain").first().body
+    assert "<p>" not in body and "Home" not in body and body.endswith("The end of it.")
 
 
 def test_markup_is_rendered_with_implied_tags():
@@ -190,7 +215,7 @@ def test_markup_is_rendered_with_implied_tags():
 
 
 def test_bodies_of_nulls_and_empty_tables(spark):
-    df = spark.createDataFrame([("u", None, 1), ("v", "", 2), ("w", "The end of the story came.\nTerms of use", 3)], "url string, text string, body int")
+    df = spark.createDataFrame([("u", None, 1), ("v", "", 2), ("w", "The end of the story came.\nHome | Terms of use", 3)], "url string, text string, body int")
     out = {k: (b, n) for k, b, n in rows(main_content.bodies(df, "url", "text"))}
     assert out == {"u": (None, []), "v": ("", []), "w": ("The end of the story came.", [2])}
     assert main_content.bodies(df.limit(0), "url", "text").count() == 0
