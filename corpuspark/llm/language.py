@@ -1,8 +1,8 @@
 """The language of each text and of each stretch of a mixed text, with a confidence.
 
 Bayesian fusion of evidence: word and letter-sequence likelihoods counted over all texts by their declared language,
-the language code declared beside the text, and a prior of the place the text comes from, smoothed from its source to
-the kind of source and on to the whole collection.
+the language code declared beside the text, the suffix of its address, and a prior of the place the text comes from,
+smoothed from the host of its address to its source, to the kind of source and on to the whole collection.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuspark.llm.unicode_form import spelled, suspect
-from corpuspark.llm.words import WORD
+from corpuspark.llm.words import WORD, summed
 from corpuspark.session import broadcast_if_small, cut
 
 LANGUAGES = ("hye-w", "hye-e", "eng", "fra", "rus")
@@ -23,7 +23,6 @@ LANGUAGES = ("hye-w", "hye-e", "eng", "fra", "rus")
 CODES = {"hyw": ("hye-w",), "hye": ("hye-e",), "hy": ("hye-w", "hye-e"), "en": ("eng",), "fr": ("fra",), "ru": ("rus",)}
 #: Slots of the feature table: a fixed size, so that it can be sent to every task.
 SLOTS = 1 << 17
-SLICES = 32
 #: What a declared code and a source's habit can weigh, in nats.
 CODE_RIGHT, CODE_WRONG = 0.9, 0.025
 PRIOR_RECORDS = 20.0
@@ -52,6 +51,8 @@ def features(word: str) -> list[int]:
 
 
 def _count(batches):
+    from pyspark import TaskContext
+
     table = np.zeros((SLOTS, len(LANGUAGES)), dtype=np.int64)
     some = False
     for pdf in batches:
@@ -66,21 +67,13 @@ def _count(batches):
                 table[slot, k] += n
         some |= bool(words)
     if some:
-        yield pd.DataFrame({"slice": range(SLICES), "counts": [x.tobytes() for x in np.split(table, SLICES)]})
-
-
-def _sum(pdf):
-    return pd.DataFrame({"slice": [pdf["slice"].iat[0]], "counts": [sum(np.frombuffer(x, dtype=np.int64) for x in pdf["counts"]).tobytes()]})
+        yield summed.slices(table.reshape(-1), TaskContext.get().partitionId())
 
 
 def likelihoods(texts: DataFrame) -> np.ndarray:
     """Log likelihood of each feature slot by language, from the texts whose declared language is one of LANGUAGES."""
     labelled = texts.where(F.col("internal_language_branch").isin(*LANGUAGES)).select("text", "internal_language_branch")
-    rows = labelled.mapInPandas(_count, "slice int, counts binary").groupBy("slice").applyInPandas(_sum, "slice int, counts binary").collect()
-    table = np.zeros((SLICES, SLOTS // SLICES, len(LANGUAGES)))
-    for r in rows:
-        table[r["slice"]] = np.frombuffer(r["counts"], dtype=np.int64).reshape(-1, len(LANGUAGES))
-    table = table.reshape(SLOTS, len(LANGUAGES))
+    table = summed(labelled.mapInPandas(_count, summed.KIND), SLOTS * len(LANGUAGES), np.int64).reshape(SLOTS, len(LANGUAGES)).astype(float)
     # a declared language is wrong now and then: what is rare under one label and common under another is put down to that
     table = np.maximum(table - 0.06 * table.sum(axis=1, keepdims=True), 0)
     table = np.log((table + 0.3) / (table.sum(axis=0) + 0.3 * SLOTS))
@@ -182,22 +175,58 @@ def _sure(logs: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip((first - second) / 4, 0, 40))))
 
 
+def host_of(url: Column) -> Column:
+    """The host of an address in lower case without www, null if there is none."""
+    return F.nullif(F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), r"^www\.", ""), F.lit(""))
+
+
+#: The places a text comes from, the narrowest last; each is drawn towards the one before it.
+LEVELS = ("kind", "source_family", "host")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    host = host_of(F.col("source_url"))
+    return rows.withColumns({"kind": F.substring_index("source_family", ":", 1), "host": host, "suffix": F.substring_index(host, ".", -1)})
+
+
+def _shares(rows: DataFrame, by: list[str]) -> DataFrame:
+    labelled = rows.where(F.col("internal_language_branch").isin(*LANGUAGES))
+    return labelled.groupBy(*by).agg(*[F.count_if(F.col("internal_language_branch") == x).cast("double").alias(f"n{i}") for i, x in enumerate(LANGUAGES)])
+
+
+def _drawn(n: Column, base: Column) -> Column:
+    """Shares of counts drawn towards base shares, as if PRIOR_RECORDS more had been seen."""
+    total = F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
+    return F.zip_with(n, base, lambda x, b: (x + PRIOR_RECORDS * b) / (total + PRIOR_RECORDS))
+
+
 def priors(rows: DataFrame) -> DataFrame:
-    """(source_family, prior): log shares of the declared languages, smoothed from source to kind of source to all."""
-    kind = F.substring_index("source_family", ":", 1)
-    counts = rows.where(F.col("internal_language_branch").isin(*LANGUAGES)).groupBy("source_family").agg(
-        *[F.count_if(F.col("internal_language_branch") == x).alias(f"n{i}") for i, x in enumerate(LANGUAGES)]
-    )
+    """(kind, source_family, host, prior): log shares of the declared languages, smoothed from host to source to kind to all."""
+    names = [f"n{i}" for i in range(len(LANGUAGES))]
+    counts = cut(_shares(rows, list(LEVELS)))
+    total = counts.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in names]).select(F.array(*names).alias("n"))
+    all_of = F.aggregate("n", F.lit(0.0), lambda a, x: a + x)
+    out = counts.select(*LEVELS).crossJoin(F.broadcast(total.select(F.transform("n", lambda x: (x + 1) / (all_of + len(names))).alias("prior"))))
+    for k in range(len(LEVELS)):  # sums by wider places are made from the counted ones, not from the rows
+        by = LEVELS[: k + 1]
+        own = counts.groupBy(*by).agg(*[F.sum(x).alias(x) for x in names]).select(*[F.col(x).alias(f"__{x}") for x in by], F.array(*names).alias("n"))
+        same = [F.col(x).eqNullSafe(F.col(f"__{x}")) for x in by]
+        out = out.join(own, same, "left").select(*LEVELS, _drawn(F.col("n"), F.col("prior")).alias("prior"))
+    return out.select(*LEVELS, F.transform("prior", lambda x: F.log(x)).alias("prior"))
+
+
+def suffixes(rows: DataFrame) -> DataFrame:
+    """(suffix, evidence): log likelihoods of an address suffix by language, up to a constant, from the declared languages."""
     names = [f"n{i}" for i in range(len(LANGUAGES))]
-    # sums by kind and over all are made from the counted sources, not from the rows
-    total = counts.agg(*[F.sum(x).alias(f"all_{x}") for x in names])
-    kinds = counts.withColumn("kind", kind).groupBy("kind").agg(*[F.sum(x).alias(f"kind_{x}") for x in names])
-    out = counts.withColumn("kind", kind).join(kinds, "kind", "left").crossJoin(F.broadcast(total))
-    of = lambda p: sum((F.col(f"{p}{x}") for x in names), F.lit(0))
-    base = [(F.col(f"all_{x}") + 1) / (of("all_") + len(names)) for x in names]
-    middle = [(F.col(f"kind_{x}") + PRIOR_RECORDS * b) / (of("kind_") + PRIOR_RECORDS) for x, b in zip(names, base)]
-    own = [F.log((F.col(x) + PRIOR_RECORDS * m) / (of("") + PRIOR_RECORDS)) for x, m in zip(names, middle)]
-    return out.select("source_family", F.array(*own).alias("prior"))
+    counts = _shares(rows.where("suffix is not null"), ["suffix"])
+    total = counts.agg(*[F.sum(x).alias(f"all{x}") for x in names], F.count(F.lit(1)).alias("kinds"))
+    # a suffix counts as evidence only as far as hosts under it don't say the same already: its weight is halved
+    each = [0.5 * F.log((F.col(x) + 1) / (F.col(f"all{x}") + F.col("kinds"))) for x in names]
+    return counts.crossJoin(F.broadcast(total)).select("suffix", F.array(*each).alias("evidence"))
+
+
+def _with(df: DataFrame, name: str) -> DataFrame:
+    return df if name in df.columns else df.withColumn(name, F.lit(None).cast("string"))
 
 
 def languages(records: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -207,18 +236,21 @@ def languages(records: DataFrame, metadata: DataFrame) -> DataFrame:
     ids give no rows; unknown declared labels count as missing; repeated rows count once; a text without words follows
     its declared code and source.
     """
-    rows = records.where("document_id is not null and text is not null and text <> ''").select("document_id", "text", "source_family", "internal_language_branch")
+    rows = records.where("document_id is not null and text is not null and text <> ''")
+    rows = placed(_with(rows, "source_url")).select("document_id", "text", *LEVELS, "suffix", "internal_language_branch")
     model = records.sparkSession.sparkContext.broadcast(likelihoods(rows))
     kind = "document_id string, logs array<double>, words int, parts array<struct<lang:string,confidence:double,words:int>>"
     scored = cut(rows.select("document_id", "text").mapInPandas(_score(model), kind).dropDuplicates(["document_id"]))
-    facts = rows.select("document_id", "source_family", "internal_language_branch").dropDuplicates(["document_id"])
+    facts = rows.select("document_id", *LEVELS, "suffix", "internal_language_branch").dropDuplicates(["document_id"])
     codes = metadata.where("document_id is not null").select("document_id", F.col("source_language_code").alias("code"), F.lit(True).alias("has_code")).dropDuplicates(["document_id"])
-    out = scored.join(facts, "document_id").join(codes, "document_id", "left").join(broadcast_if_small(priors(rows), BROADCAST_SOURCES), "source_family", "left")
+    out = scored.join(facts, "document_id").join(codes, "document_id", "left")
+    places = broadcast_if_small(cut(priors(rows)).select(*[F.col(x).alias(f"of_{x}") for x in LEVELS], "prior"), BROADCAST_SOURCES)
+    out = out.join(places, [F.col(x).eqNullSafe(F.col(f"of_{x}")) for x in LEVELS], "left").join(broadcast_if_small(cut(suffixes(rows)), BROADCAST_SOURCES), "suffix", "left")
     posts = []
     for i, x in enumerate(LANGUAGES):
         right = [c for c, of in CODES.items() if x in of]
         declared = F.when(F.col("code").isin(*right), F.log(F.lit(CODE_RIGHT))).when(F.col("code").isin(*CODES), F.log(F.lit(CODE_WRONG))).otherwise(0.0)
-        posts.append(F.col("logs")[i] + declared + F.coalesce(F.col("prior")[i], F.lit(0.0)))
+        posts.append(F.col("logs")[i] + declared + F.coalesce(F.col("prior")[i], F.lit(0.0)) + F.coalesce(F.col("evidence")[i], F.lit(0.0)))
     out = out.withColumn("post", F.array(*posts)).withColumn("top", F.array_max("post"))
     second = F.element_at(F.sort_array("post", asc=False), 2)
     lang = F.element_at(F.array(*map(F.lit, LANGUAGES)), F.array_position("post", F.col("top")).cast("int"))

@@ -29,12 +29,11 @@ MOST_SOURCES = 100_000
 class Tokens:
     """Counts the tokens of texts; the count of each piece of the split pattern is remembered, so it is exact."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: bytes):
         import regex
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("mix", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces, self.known = regex.compile(PATTERN).findall, {}
 
@@ -50,11 +49,17 @@ class Tokens:
         return total
 
 
-def _token_counts(path: str):
+def vocabulary_of(path: str) -> bytes:
+    """A tokenizer's file, read where the query is planned; tasks get its bytes, so no other machine needs the file."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def _token_counts(vocabulary):
     def run(batches):
         tokens = None
         for pdf in batches:
-            tokens = tokens or Tokens(path)
+            tokens = tokens or Tokens(vocabulary.value)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": [tokens.count(x) for x in pdf["text"]]})
 
     return run
@@ -63,7 +68,7 @@ def _token_counts(path: str):
 def token_counts(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, tokens) of every document with text; a document delivered twice counts once."""
     rows = documents.where("doc_id is not null and source is not null and text is not null").select("doc_id", "source", "text")
-    return rows.mapInPandas(_token_counts(path), "doc_id bigint, source string, tokens bigint").dropDuplicates(["doc_id"])
+    return rows.mapInPandas(_token_counts(documents.sparkSession.sparkContext.broadcast(vocabulary_of(path))), "doc_id bigint, source string, tokens bigint").dropDuplicates(["doc_id"])
 
 
 def flight(p: np.ndarray, tokens: np.ndarray, seed: int) -> np.ndarray:

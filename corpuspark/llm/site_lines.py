@@ -32,10 +32,10 @@ def lines_of(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     return rows.select("key", "source", "line_no", F.xxhash64("letters").alias("h1"), F.xxhash64(F.lit(1), "letters").alias("h2"))
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, block): connected components by least labels, with each label jumping to its own label's label.
 
-    nodes: (node), edges: (a, b). Runs until nothing changes; `rounds` only guards against a fault.
+    nodes: (node), edges: (a, b). Runs until nothing changes; labels jump, so `rounds` are never needed, and running out of them is an error.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both, labels = cut(both), cut(nodes.select("node", F.col("node").alias("block")))
@@ -47,8 +47,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
         step = cut(step)
         labels = step.select("node", F.col("to").alias("block"))
         if step.where("block <> to").isEmpty():
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"labels still change after {rounds} rounds")
 
 
 def boilerplate(df: DataFrame, key: str = "article_id", source: str = "source_name", text: str = "content", min_documents: int = MIN_DOCUMENTS):

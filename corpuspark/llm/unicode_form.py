@@ -100,12 +100,12 @@ def _own_script(word: str, around: str) -> str:
     return "".join(x if s == target else _ALIKE.get(x, {}).get(target, x) for x, s in zip(word, scripts))
 
 
+_BY_SCRIPT = {s: re.compile(f"[{x}]") for s, x in LETTERS.items()}
+
+
 def _main_script(text: str) -> str:
-    count = dict.fromkeys(SCRIPTS, 0)
-    for x in text[:400]:
-        if s := script_of(x):
-            count[s] += 1
-    return max(count, key=count.get)
+    """The script that most letters of the whole text are in."""
+    return max(SCRIPTS, key=lambda s: len(_BY_SCRIPT[s].findall(text)))
 
 
 def spelled(text: str) -> str:
@@ -131,10 +131,11 @@ def spelled(text: str) -> str:
 
 
 def _armenian_before(text: str, end: int) -> bool:
-    for i in range(end - 1, max(-1, end - 40), -1):
-        if _LETTER.match(text[i]):
-            return script_of(text[i]) == "Armenian"
-    return False
+    """Whether the last letter before a place is Armenian, however far back it stands."""
+    i = end - 1
+    while i >= 0 and not _LETTER.match(text[i]):
+        i -= 1
+    return i >= 0 and script_of(text[i]) == "Armenian"
 
 
 def form(text: str) -> str:

@@ -252,6 +252,21 @@ def test_languages_and_wrong_labels(spark):
     }
 
 
+def test_addresses_are_evidence(spark):
+    data = [(f"{k}{i}", t, "web", k, f"https://{k[:3]}{i % 3}.{k[:2]}/x", 1) for k, t in SAMPLES.items() for i in range(12)]
+    data += [("short", "1990 12", "web", None, "https://fra1.fr/y", 1), ("other", "1990 12", "web", None, "http://www.new.ru:80/z", 1), ("bad", "1990 12", None, None, "no address", 1)]
+    docs = spark.createDataFrame(data, "document_id string, text string, source_family string, internal_language_branch string, source_url string, suffix int")
+    meta = spark.createDataFrame([], "document_id string, source_language_code string")
+    got = {x.document_id: x.lang for x in language.languages(docs, meta).collect()}
+    assert got["short"] == "fra" and got["other"] == "rus" and len(got) == len(data)
+
+
+def test_the_main_script_is_that_of_the_whole_text():
+    text = "Plain English words. " * 40 + "Потом идёт длинный русский текст. " * 60 + "Cop"
+    assert unicode_form._main_script(text) == "Cyrillic"
+    assert unicode_form.spelled("Օգոստոս 20" + " 1234" * 30 + ": ok").count("։") == 1
+
+
 def test_languages_of_an_empty_table(spark):
     docs, meta = labelled(spark)
     assert language.wrong_labels(docs.limit(0), meta).count() == 0
@@ -373,7 +388,7 @@ def test_token_counts_equal_the_tokenizer():
 
     if not os.path.exists(mixing.TOKENIZER):
         pytest.skip("no tokenizer file")
-    t = mixing.Tokens(mixing.TOKENIZER)
+    t = mixing.Tokens(mixing.vocabulary_of(mixing.TOKENIZER))
     for text in ("", "Ան կը կարդայ  գիրք մը։\n\n12 o'clock, it's late   ", " x" * 5):
         assert t.count(text) == len(t.encoding.encode_ordinary(text))
 
