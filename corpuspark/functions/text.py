@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 #: Word patterns by profile; a new script is one more entry.
-PROFILES = {"armenian": "[Ա-Ֆա-և]+", "classical": "[Ա-Ֆա-ֆ]+", "latin": "[A-Za-zÀ-ÖØ-öø-ÿ]+", "cyrillic": "[А-яЁё]+", "any": r"[\p{L}]+"}
+PROFILES = {"armenian": "[Ա-Ֆա-և]+", "frequency": "[Ա-Ֆա-ֆ]+", "latin": "[A-Za-zÀ-ÖØ-öø-ÿ]+", "cyrillic": "[А-яЁё]+", "any": r"[\p{L}]+"}
 # Letter pairs swapped between the two branches, and classical spellings with their reformed ones.
 SWAPPED = ("բպգկդտձծջճվւ", "պբկգտդծձճջւվ")
 REFORMED = (("ութիւն", "ություն"), ("եւ", "և"), ("ւ", "վ"))
@@ -29,6 +29,14 @@ def unligatured(text: Column) -> Column:
     return text
 
 
+def casefolded(text: Column) -> Column:
+    """Lower case with what folding takes apart: the letter ech-yiwn, the Armenian ligatures and the sharp s as two letters each."""
+    out = F.lower(text)
+    for a, b in (("և", "եւ"), ("ß", "ss"), *LIGATURES):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
 def tidy_lines(text: Column) -> Column:
     """Horizontal white space collapsed, line ends stripped, newlines kept."""
     return F.regexp_replace(F.regexp_replace(text, r"(?U)[^\S\n]+", " "), r"(?m) +$", "")

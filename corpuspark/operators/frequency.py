@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from corpuspark.functions.text import words
 from corpuspark.operators.order import ranked
+from corpuspark.session import broadcast_if_small
 
 # Weight of a source in the list; a source "kind:name" falls back to its kind, others weigh 1.
 SOURCE_WEIGHTS = {
@@ -16,6 +17,8 @@ SOURCE_WEIGHTS = {
     "archive_org": 1.2, "hathitrust": 1.2, "loc": 1.2, "dpla": 1.0, "gallica": 1.2, "gomidas": 1.2, "culturax": 0.8, "english_sources": 0.3, "nayiri": 1.0, "mss_nkr": 1.2,
 }
 LEAST_TOTAL = 2.0
+#: Targets are listed by hand; up to this many they are sent to every task.
+MOST_TARGETS = 100_000
 
 
 def source_weight(source: Column) -> Column:
@@ -23,7 +26,7 @@ def source_weight(source: Column) -> Column:
     return F.coalesce(F.try_element_at(table, source), F.try_element_at(table, F.substring_index(source, ":", 1)), F.lit(1.0))
 
 
-def word_counts(df: DataFrame, by: list[str], text: str = "text", profile: str = "armenian") -> DataFrame:
+def word_counts(df: DataFrame, by: list[str], text: str = "text", profile: str = "frequency") -> DataFrame:
     """(by..., word, n): counted before the shuffle, so a hot source costs no more than its vocabulary."""
     return df.select(*by, F.explode(words(F.col(text), profile)).alias("word")).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -40,14 +43,22 @@ def weighted_list(counts: DataFrame, weight: Column | None = None, least: float
 
 
 def target_weights(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, weight): target share over actual share, between 0.1 and 10; a source without a target weighs 1."""
+    """(source, weight): target share over actual share, between 0.1 and 10.
+
+    A source "kind:name" without a share of its own takes that of its kind; one without a positive share weighs 1.
+    """
     counts = docs.where("source is not null").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("current", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
-    clamped = F.greatest(F.lit(0.1), F.least(F.lit(10.0), F.col("target_share") / F.col("current")))
-    return counts.join(F.broadcast(targets.select("source", "target_share")), "source", "left").select("source", F.round(F.coalesce(clamped, F.lit(1.0)), 6).alias("weight"))
+    counts = counts.withColumn("current", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))  # a row per source
+    shares = targets.where("source is not null").groupBy(F.col("source").alias("of")).agg(F.max("target_share").alias("share"))
+    shares = broadcast_if_small(shares, MOST_TARGETS)
+    own = counts.join(shares.withColumnRenamed("share", "own"), F.col("source") == F.col("of"), "left").drop("of")
+    both = own.join(shares.withColumnRenamed("share", "kind"), F.substring_index("source", ":", 1) == F.col("of"), "left").drop("of")
+    share = F.coalesce(F.nullif("own", F.lit(0.0)), F.col("kind"))
+    clamped = F.greatest(F.lit(0.1), F.least(F.lit(10.0), share / F.greatest(F.col("current"), F.lit(1e-6))))
+    return both.select("source", F.round(F.when(share > 0, clamped).otherwise(1.0), 6).alias("weight"))
 
 
-def hybrid_weights(docs: DataFrame, strength: float = 0.5) -> DataFrame:
+def hybrid_weights(docs: DataFrame, strength: float = 0.2) -> DataFrame:
     """(source, weight): the fixed weight times 1 + strength * (mean score - 5) / 5, that factor between 0.5 and 2."""
     mean = docs.where("source is not null").groupBy("source").agg(F.avg("wa_score").alias("mean"))
     factor = F.greatest(F.lit(0.5), F.least(F.lit(2.0), 1 + strength * (F.col("mean") - 5) / 5))
@@ -67,7 +78,7 @@ def merged(totals: DataFrame, change: DataFrame, keys: list[str]) -> DataFrame:
     return both.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def facets(df: DataFrame, values: dict[str, Column], text: str = "text", profile: str = "armenian") -> DataFrame:
+def facets(df: DataFrame, values: dict[str, Column], text: str = "text", profile: str = "frequency") -> DataFrame:
     """(facet, facet_value, word, n): word sums along each facet; null and empty facet values are left out."""
     pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("facet"), v.cast("string").alias("facet_value")) for k, v in values.items()]), lambda x: x["facet_value"].isNotNull() & (x["facet_value"] != ""))
     base = df.select(F.explode(pairs).alias("f"), words(F.col(text), profile).alias("ws"))

@@ -8,7 +8,7 @@ from corpuspark.operators import distance, frequency
 from corpuspark.plans.registry import query
 from corpuspark.session import table
 
-TOKENS = "SELECT *, unnest(list_filter(regexp_extract_all(lower(text), '[Ա-Ֆա-և]+'), lambda x: length(x) >= 2)) AS word FROM documents"
+TOKENS = "SELECT *, unnest(list_filter(regexp_extract_all(lower(text), '[Ա-Ֆա-ֆ]+'), lambda x: length(x) >= 2)) AS word FROM documents"
 WEIGHT = """CASE split_part(source, ':', 1) WHEN 'wikipedia' THEN 1.0 WHEN 'wikipedia_wa' THEN 1.0 WHEN 'wikipedia_ea' THEN 0.5 WHEN 'wikisource' THEN 1.0 WHEN 'newspaper' THEN 1.5
  WHEN 'eastern_armenian_news' THEN 0.5 WHEN 'rss_news' THEN 1.5 WHEN 'archive_org' THEN 1.2 WHEN 'hathitrust' THEN 1.2 WHEN 'loc' THEN 1.2 WHEN 'dpla' THEN 1.0 WHEN 'gallica' THEN 1.2
  WHEN 'gomidas' THEN 1.2 WHEN 'culturax' THEN 0.8 WHEN 'english_sources' THEN 0.3 WHEN 'nayiri' THEN 1.0 WHEN 'mss_nkr' THEN 1.2 ELSE 1.0 END::DOUBLE"""
@@ -56,15 +56,17 @@ def word_facet_lookup(spark, d):
 
 
 @query("""
-WITH c AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source), s AS (SELECT source, n / sum(n) OVER () AS cur FROM c)
-SELECT s.source, round(coalesce(greatest(0.1, least(10.0, m.target_share / s.cur)), 1.0), 6) AS weight FROM s LEFT JOIN mix_targets m USING (source)
+WITH c AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source), s AS (SELECT source, n / sum(n) OVER () AS cur FROM c),
+t AS (SELECT source AS k, max(target_share) AS share FROM mix_targets WHERE source IS NOT NULL GROUP BY source),
+j AS (SELECT s.source, cur, coalesce(nullif(o.share, 0), p.share) AS share FROM s LEFT JOIN t o ON o.k = s.source LEFT JOIN t p ON p.k = split_part(s.source, ':', 1))
+SELECT source, round(CASE WHEN share > 0 THEN greatest(0.1, least(10.0, share / greatest(cur, 1e-6))) ELSE 1.0 END, 6) AS weight FROM j
 """)
 def source_target_weights(spark, d):
     return frequency.target_weights(_docs(spark, d), table(spark, d, "mix_targets"))
 
 
 @query(f"""
-SELECT source, round({WEIGHT} * coalesce(greatest(0.5, least(2.0, 1 + 0.5 * (avg(wa_score) - 5) / 5)), 1.0), 6) AS weight
+SELECT source, round({WEIGHT} * coalesce(greatest(0.5, least(2.0, 1 + 0.2 * (avg(wa_score) - 5) / 5)), 1.0), 6) AS weight
 FROM documents WHERE source IS NOT NULL GROUP BY source
 """)
 def source_hybrid_weights(spark, d):

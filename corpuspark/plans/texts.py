@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, text as X
@@ -147,17 +149,26 @@ def contamination_metrics(spark, d):
 
 
 def _duck(pattern: str) -> str:
-    """A rule's pattern for an engine without lookaround: the character on either side is matched instead."""
-    for a, b in (("(?<![\\p{L}\\p{N}_])", "(?:^|[^\\p{L}\\p{N}_])"), ("(?![\\p{L}\\p{N}_])", "(?:$|[^\\p{L}\\p{N}_])"), ("(?<=[Ա-ֆ])", "[Ա-ֆ]"), ("(?=", "(?:")):
-        pattern = pattern.replace(a, b)
-    return pattern
+    """A rule's pattern for an engine without lookaround or boundaries of all scripts: what stands beside is matched, the match is group 1."""
+    core, before, after = pattern.lower(), "", ""
+    if core.startswith("\\b"):
+        core, before = core[2:], "(?:^|[^\\p{L}\\p{N}_])"
+    if core.endswith("\\b"):
+        core, after = core[:-2], "(?:$|[^\\p{L}\\p{N}_])"
+    core = re.sub(r"\((?!\?)", "(?:", core).replace("\\w", "\\p{L}\\p{N}_").replace("[[\\p", "[\\p")
+    if found := re.match(r"\(\?<=(\[[^\]]*\])\)", core):
+        core, before = core[found.end() :], found[1]
+    if found := re.search(r"\(\?=(.*)\)$", core):
+        core, after = core[: found.start()], f"(?:{found[1]})".replace("\\z", "$")
+    return f"{before}({core}){after}"
 
 
 def _score(branch: str) -> str:
     return " + ".join(f"CASE WHEN regexp_matches(t, '{_duck(r.pattern)}') THEN {r.weight} ELSE 0.0 END" for r in classify.RULES if r.branch == branch)
 
 
-CLASSIFIED = f"""WITH x AS (SELECT doc_id, lang, source, lower(trim(text)) AS t FROM documents WHERE text IS NOT NULL),
+FOLDED = "replace(lower(trim(text)), 'և', 'եւ')"
+CLASSIFIED = f"""WITH x AS (SELECT doc_id, lang, source, {FOLDED} AS t FROM documents WHERE text IS NOT NULL),
 s AS (SELECT doc_id, lang, source, CAST({_score('western')} AS DOUBLE) AS western, CAST({_score('eastern')} AS DOUBLE) AS eastern, CAST({_score('classical')} AS DOUBLE) AS classical FROM x)
 SELECT *, CASE WHEN western + eastern + classical = 0 THEN 'inconclusive' WHEN classical >= 3 AND classical >= western AND classical >= eastern THEN 'likely_classical'
  WHEN western = eastern THEN 'inconclusive' WHEN western > eastern THEN 'likely_western' ELSE 'likely_eastern' END AS label,
@@ -203,10 +214,17 @@ def classifier_evaluation(spark, d):
     return k.select("tp", "fp", "fn", "tn", part("tp", "fp").alias("precision"), part("tp", "fn").alias("recall"))
 
 
-@query()
+RULE_ROWS = ", ".join(f"('{r.rule_id}', '{r.branch}', CAST({r.weight} AS DOUBLE), '{_duck(r.pattern)}')" for r in classify.RULES)
+
+
+@query(f"""
+WITH r(rule_id, branch, weight, p) AS (VALUES {RULE_ROWS}), x AS (SELECT doc_id, {FOLDED} AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, rule_id, branch, weight, regexp_extract(t, p, 1) AS matched_text FROM x, r WHERE regexp_matches(t, p)
+""")
 def classification_evidence(spark, d):
-    rows = _docs(spark, d).select("doc_id", F.explode(classify.evidence(F.col("text"))).alias("e"))
-    return rows.select("doc_id", "e.rule_id", "e.branch", "e.weight", "e.found")
+    folded = _docs(spark, d).select("doc_id", F.explode(F.array(classify.folded(F.col("text")))).alias("t"))
+    rows = folded.select("doc_id", F.explode(classify.evidence(F.col("t"))).alias("e"))
+    return rows.select("doc_id", "e.rule_id", "e.branch", "e.weight", "e.matched_text")
 
 
 @query("""
