@@ -148,9 +148,9 @@ def contamination_metrics(spark, d):
     return rows.select("doc_id", "code_switching", F.round(1 - F.col("code_switching"), 4).alias("purity"))
 
 
-def _duck(pattern: str) -> str:
+def _duck(pattern: str, fold: bool = True) -> str:
     """A rule's pattern for an engine without lookaround or boundaries of all scripts: what stands beside is matched, the match is group 1."""
-    core, before, after = pattern.lower(), "", ""
+    core, before, after = pattern.lower() if fold else pattern.replace("\\Z", "\\z"), "", ""
     if core.startswith("\\b"):
         core, before = core[2:], "(?:^|[^\\p{L}\\p{N}_])"
     if core.endswith("\\b"):
