@@ -358,19 +358,29 @@ def _pair(a: int, b: int) -> int:
     return (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + 1) % (1 << 64) - (1 << 63)
 
 
+def _paired(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """_pair of arrays of numbers."""
+    b = np.full(len(a), b, dtype=np.uint64) if isinstance(b, int) else b
+    mixed = a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)
+    return (mixed - np.uint64(1 << 63)).view(np.int64)
+
+
 def _count(batches):
     """Rows (word, engine, n) and (h, n): forms, and the numbers of adjacent forms and of single ones."""
     numbers = Numbers()
     for pdf in batches:
-        words, pairs = Counter(), Counter()
-        for row in pdf.itertuples():
-            for line, _, _ in _flow(row):
-                ids = numbers.of([f for f, _, _ in line])
-                words.update((f, row.engines[i]) for f, i, _ in line)
-                pairs.update(_pair(a, b) for a, b in zip(ids, ids[1:]))
-                pairs.update(_pair(a, 0) for a in ids)
-        rows = [(w, e, n, 0) for (w, e), n in words.items()] + [(None, None, n, h) for h, n in pairs.items()]
-        yield pd.DataFrame(rows, columns=["word", "engine", "n", "h"])
+        words, ids, lines = Counter(), [], []
+        for n, row in enumerate(pdf.itertuples()):
+            for line, i, _ in _flow(row):
+                words.update([(f, row.engines[at]) for f, at, _ in line])
+                ids += [numbers[f] for f, _, _ in line]
+                lines += [(n, i)] * len(line)
+        yield pd.DataFrame([(w, e, n, 0) for (w, e), n in words.items()], columns=["word", "engine", "n", "h"])
+        if ids:
+            flat, of = np.array(ids, dtype=np.uint64), np.array(lines, dtype=np.int64)
+            same = (of[1:] == of[:-1]).all(axis=1)
+            pairs, n = np.unique(np.concatenate((_paired(flat, 0), _paired(flat[:-1], flat[1:])[same])), return_counts=True)
+            yield pd.DataFrame({"word": pd.Series([None] * len(n), dtype=object), "engine": pd.Series([None] * len(n), dtype=object), "n": n, "h": pairs})
 
 
 def _gram_counts(batches):
@@ -528,7 +538,7 @@ class Decoder:
     """Viterbi over the candidates of each line of one text."""
 
     def __init__(self, spelling: Spelling, cost: dict[str, list[float]], total: int):
-        self.spelling, self.cost, self.total, self.numbers = spelling, cost, total, Numbers()
+        self.spelling, self.cost, self.total, self.numbers, self.memo = spelling, cost, total, Numbers(), {}
 
     def read(self, row):
         self.known = {o["word"]: (o["n"], o["options"]) for o in row.options} if row.options is not None else {}
@@ -540,35 +550,45 @@ class Decoder:
         both = 0 if doubted else self.pairs.get(_pair(x, y), 0)
         return math.log((both + ALONE * math.exp(alone)) / (max(self.pairs.get(_pair(x, 0), 0), both) + ALONE))
 
+    def choices(self, form: str) -> tuple:
+        """What a form may be: (word, log likelihood, confusions, whether its counts are doubted), itself first; the same in all texts."""
+        if (found := self.memo.get(form)) is not None:
+            return found
+        if len(self.memo) > 300_000:
+            self.memo.clear()
+        n, options = self.known[form]
+        left = genuine(n, options, self.cost[""])
+        out = [(form, likelihood(form, left, self.total, self.spelling), (), not left or not _PURE.match(form))]
+        for o in options:
+            if _PURE.match(form) and self.spelling.of(o["c"]) < self.spelling.of(form) and o["cn"] <= n:
+                continue
+            out.append((o["c"], likelihood(o["c"], o["cn"], self.total, self.spelling), tuple(o["ops"]), False))
+        self.memo[form] = out
+        return out
+
     def line(self, words: list[tuple[str, int, str]], engines: list[str]) -> list[str | None]:
         """For each word the correction, or None where it stands."""
         if not any(f in self.known for f, _, _ in words):
             return [None] * len(words)
         paths: list[tuple[float, list[int]]] = []
-        choices = []
+        before: list = []
+        every = []
         for f, i, _ in words:
-            n, options = self.known.get(f, (0, ()))
+            choice = self.choices(f) if f in self.known else [(f, 0.0, (), False)]
             cost = self.cost.get(engines[i], self.cost[""])
-            left = genuine(n, options, self.cost[""])
-            own = likelihood(f, left, self.total, self.spelling) if len(options) else 0.0
-            choice = [(f, own, 0.0, len(options) > 0 and (not left or not _PURE.match(f)))]
-            for o in options:
-                if _PURE.match(f) and self.spelling.of(o["c"]) < self.spelling.of(f) and o["cn"] <= n:
-                    continue
-                choice.append((o["c"], likelihood(o["c"], o["cn"], self.total, self.spelling), sum(cost[p] for p in o["ops"]) - MARGIN, False))
             step = []
-            for k, (c, alone, channel, doubted) in enumerate(choice):
-                if not choices:
+            for k, (c, alone, ops, doubted) in enumerate(choice):
+                channel = sum(cost[p] for p in ops) - MARGIN if ops else 0.0
+                if not before:
                     step.append((alone + channel, [k]))
                     continue
-                before = choices[-1]
-                weigh = len(choice) > 1 or len(before) > 1
-                score, path = max(((s + (self._after(before[p[-1]][0], c, alone, doubted or before[p[-1]][3]) if weigh and alone else alone), p) for s, p in paths), key=lambda x: x[0])
+                weigh = alone and (len(choice) > 1 or len(before) > 1)
+                score, path = max(((s + (self._after(before[p[-1]][0], c, alone, doubted or before[p[-1]][3]) if weigh else alone), p) for s, p in paths), key=lambda x: x[0])
                 step.append((score + channel, path + [k]))
-            choices.append(choice)
-            paths = step
+            every.append(choice)
+            before, paths = choice, step
         best = max(paths, key=lambda x: x[0])[1]
-        return [choices[i][k][0] if k else None for i, k in enumerate(best)]
+        return [every[i][k][0] if k else None for i, k in enumerate(best)]
 
 
 def findings(row, decoder: Decoder) -> list[tuple[int, str]]:
