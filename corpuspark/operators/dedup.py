@@ -10,6 +10,10 @@ from corpuspark.session import cut
 
 BANDS, ROWS = 20, 5
 SIMILARITY = 0.8
+#: The profile of single characters: 128 permutations as 32 bands of 4, runs of five characters.
+CHARACTER_BANDS, CHARACTER_ROWS, CHARACTER_SIMILARITY = 32, 4, 0.85
+#: Members of a bucket from which on it is split into a grid of tasks.
+HOT_BUCKET = 1_000
 
 
 def first_by(df: DataFrame, group: Column, order: Column) -> DataFrame:
@@ -46,26 +50,46 @@ def _signature(bands: int, rows: int):
     return run
 
 
+def word_prints(df: DataFrame, key: str, text: str, profile: str = "any") -> DataFrame:
+    """(key, set): hashes of the five-word shingles of each text."""
+    # the words come from a generator, so that the shingles' inner loop doesn't make them again at each step
+    tokens = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.explode(F.array(words(F.col(text), profile, 1))).alias("words"))
+    return tokens.select("key", word_shingles(F.col("words")).alias("set"))
+
+
+def character_prints(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
+    """(key, set): hashes of the runs of k characters of each text; a shorter text is its own, an empty one has none."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.xxhash64(F.substring(F.col(text), i, F.lit(k))))
+    return df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("key"), F.array_distinct(runs).alias("set"))
+
+
 def near_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", profile: str = "any", similarity: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): pairs of different texts whose five-word shingles have that Jaccard similarity, a < b.
 
     Equal shingle sets share one representative, the smallest key. MinHash bands find candidates, exact Jaccard decides.
     """
-    return near_classes(df, key, text, profile, similarity)[1]
+    return near_classes(word_prints(df, key, text, profile), similarity)[1]
 
 
-def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", profile: str = "any", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(key, first), the representative of every text that has shingles, and the pairs of near_pairs between representatives."""
-    # the words come from a generator, so that the shingles' inner loop doesn't make them again at each step
-    tokens = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.explode(F.array(words(F.col(text), profile, 1))).alias("words"))
-    prints = tokens.select("key", word_shingles(F.col("words")).alias("set")).where(F.size("set") > 0)
+def bucket_pairs(bands: DataFrame) -> DataFrame:
+    """(a, b): pairs of keys that share a bucket (band, h), a < b; the members of a full bucket meet in a grid of cells."""
+    sizes = bands.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells = F.ceil(F.col("n") / HOT_BUCKET).cast("int")
+    rows = bands.join(sizes, ["band", "h"]).select("key", "band", "h", cells.alias("cells"), F.pmod(F.xxhash64("key"), cells).cast("int").alias("own"))
+    left = rows.select(F.col("key").alias("a"), "band", "h", F.col("own").alias("x"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("y"))
+    right = rows.select(F.col("key").alias("b"), "band", "h", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("x"), F.col("own").alias("y"))
+    return left.join(right, ["band", "h", "x", "y"]).where("a < b").select("a", "b").distinct()
+
+
+def near_classes(prints: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """(key, first), the representative of every text that has shingles (key, set), and the pairs (a, b, similarity) between representatives."""
+    prints = prints.where(F.size("set") > 0)
     prints = cut(prints.select("key", "set", F.xxhash64(F.sort_array("set")).alias("class")))
     firsts = cut(prints.groupBy("class").agg(F.min("key").alias("first")))
     members = prints.select("key", "class").join(firsts, "class").select("key", "first").distinct()
     classes = prints.join(firsts.select(F.col("first").alias("key")), "key", "left_semi")
-    bands = cut(classes.select("key", F.posexplode(_signature(BANDS, ROWS)("set")).alias("band", "h")))
-    left, right = bands.select(F.col("key").alias("a"), "band", "h"), bands.select(F.col("key").alias("b"), "band", "h")
-    pairs = left.join(right, ["band", "h"]).where("a < b").select("a", "b").distinct()
+    banded = cut(classes.select("key", F.posexplode(_signature(bands, rows)("set")).alias("band", "h")))
+    pairs = bucket_pairs(banded)
     sides = pairs.join(prints.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a").join(prints.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     found = sides.select("a", "b", F.round(both / (F.size("sa") + F.size("sb") - both), 6).alias("similarity")).where(F.col("similarity") >= similarity)

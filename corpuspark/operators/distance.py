@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+
+from corpuspark.operators.order import steps
 
 
 def distributions(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -35,13 +36,12 @@ def divergences(a: DataFrame, b: DataFrame) -> DataFrame:
 def wasserstein(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row (distance): area between the distribution functions of two samples (value), over their span.
 
-    Values are counted first, so the running sums go over different values, not over rows.
+    Values are counted first; the running sums go over range partitions of the different values.
     """
     both = a.groupBy("value").agg(F.count(F.lit(1)).alias("na")).join(b.groupBy("value").agg(F.count(F.lit(1)).alias("nb")), "value", "full_outer").fillna(0, ["na", "nb"])
-    every, up = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy("value")
-    gap = F.abs(F.sum("na").over(up) / F.sum("na").over(every) - F.sum("nb").over(up) / F.sum("nb").over(every)) * (F.lead("value").over(up) - F.col("value"))
-    rows = both.select(gap.alias("area"), "value")
-    return rows.agg(F.round(F.coalesce(F.sum("area"), F.lit(0.0)) / F.nullif(F.max("value") - F.min("value"), F.lit(0)), 6).alias("distance"))
+    rows = steps(both, "value", ["na", "nb"]).crossJoin(F.broadcast(both.agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))))
+    gap = F.abs(F.col("upto_na") / F.nullif("ta", F.lit(0)) - F.col("upto_nb") / F.nullif("tb", F.lit(0))) * (F.col("next") - F.col("value"))
+    return rows.agg(F.round(F.coalesce(F.sum(gap), F.lit(0.0)) / F.nullif(F.max("value") - F.min("value"), F.lit(0)), 6).alias("distance"))
 
 
 def orthographic_load(a: Column, b: Column, alpha: float = 1.0, beta: float = 2.0) -> Column:
@@ -94,3 +94,21 @@ def context_divergence(west: DataFrame, east: DataFrame) -> DataFrame:
 
 def composite(phonetic: Column, lexical: Column, orthographic: Column) -> Column:
     return 0.4 * phonetic + 0.4 * lexical + 0.2 * orthographic
+
+
+# Weights of the parts of a component distance; the parts a call has no data for count as 0.
+LEXICAL, STRUCTURAL = 0.65, 0.35
+LEXICAL_PARTS = {"js_bits": 0.40, "jaccard": 0.25, "mapping_shift": 0.15, "variant_usage": 0.20, "context_js": 0.0}
+STRUCTURAL_PARTS = {"distance": 0.60, "bigram_js": 0.40}
+
+
+def _weighted(df: DataFrame, parts: dict[str, float]) -> Column:
+    total = sum(max(w, 0.0) for w in parts.values())
+    share = {k: max(w, 0.0) / total if total > 0 else 1 / len(parts) for k, w in parts.items()}
+    return sum((w * F.coalesce(F.col(k), F.lit(0.0)) for k, w in share.items() if k in df.columns), F.lit(0.0))
+
+
+def components(parts: DataFrame, lexical: dict[str, float] | None = None, structural: dict[str, float] | None = None) -> DataFrame:
+    """One row (lexical, structural, total) of one row of parts; weights of each side are brought to a sum of 1."""
+    a, b = _weighted(parts, lexical or LEXICAL_PARTS), _weighted(parts, structural or STRUCTURAL_PARTS)
+    return parts.select(F.round(a, 6).alias("lexical"), F.round(b, 6).alias("structural"), F.round(LEXICAL * a + STRUCTURAL * b, 6).alias("total"))

@@ -31,3 +31,15 @@ def running(values: DataFrame, group: str, value: str, n: str = "n") -> DataFram
     sizes = sizes.select(group, "__part", (F.sum("__size").over(by_group.orderBy("__part")) - F.col("__size")).alias("__before"), F.sum("__size").over(by_group).alias("all"))
     local = parts.withColumn("__at", F.sum(n).over(Window.partitionBy("__part", group).orderBy(value)))
     return local.join(sizes, [group, "__part"]).withColumn("upto", F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
+
+
+def steps(values: DataFrame, value: str, sums: list[str]) -> DataFrame:
+    """Adds upto_<c> for each column of sums, running over all rows by value, and next, the following value; rows have different values."""
+    parts = _ranged(values, [F.col(value)])
+    heads = parts.groupBy("__part").agg(F.min(value).alias("__head"), *[F.sum(c).alias(f"__of_{c}") for c in sums])
+    over = Window.orderBy("__part")  # a row per partition
+    heads = heads.select("__part", F.lead("__head").over(over).alias("__after"), *[(F.sum(f"__of_{c}").over(over) - F.col(f"__of_{c}")).alias(f"__before_{c}") for c in sums])
+    local = Window.partitionBy("__part").orderBy(value)
+    rows = parts.withColumns({f"__at_{c}": F.sum(c).over(local) for c in sums} | {"next": F.lead(value).over(local)}).join(F.broadcast(heads), "__part")
+    rows = rows.withColumns({f"upto_{c}": F.col(f"__before_{c}") + F.col(f"__at_{c}") for c in sums} | {"next": F.coalesce("next", "__after")})
+    return rows.select(*values.columns, *[f"upto_{c}" for c in sums], "next")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,19 +15,33 @@ def split_of(key: Column, seed: str = "corpus", train: float = 0.9, validation:
     return F.when(bits < train, "train").when(bits < train + validation, "validation").otherwise("test")
 
 
+def checksums(spark, path: str) -> DataFrame:
+    """(file, bytes, sha256) of the files of a release, hashed where they are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def card_of(manifest: dict) -> str:
+    """A short description of a release in words."""
+    rows = "\n".join(f"- {k}: {v} documents" for k, v in sorted(manifest["rows"].items()))
+    return f"# Corpus release\n\nSplit by hash with seed `{manifest['seed']}`, {sum(manifest['rows'].values())} documents in all.\n\n{rows}\n\nFiles and their checksums are listed in `checksums`.\n"
+
+
 def write_release(df: DataFrame, path: str, key: str = "content_hash", seed: str = "corpus") -> dict:
-    """Writes the rows split by `key`, each split range-sorted by it, with a manifest beside; returns the manifest.
+    """Writes the rows by split, each split range-sorted by key, all rows sorted beside, checksums, manifest and card; returns the manifest.
 
-    Runs on the driver only for the manifest: one count per split and one checksum per file of a local path.
+    Everything is written by tasks; the driver only sees a count per split. Any file system that Spark writes to will do.
     """
+    spark = df.sparkSession
     rows = df.withColumn("split", split_of(F.col(key).cast("string"), seed))
-    rows.repartitionByRange("split", key).sortWithinPartitions("split", key).write.mode("overwrite").partitionBy("split").parquet(path)
-    counts = {r["split"]: r["n"] for r in df.sparkSession.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    rows.repartitionByRange("split", key).sortWithinPartitions("split", key).write.mode("overwrite").partitionBy("split").parquet(f"{path}/splits")
+    written = spark.read.parquet(f"{path}/splits")
+    written.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{path}/full")
+    counts = {r["split"]: r["n"] for r in written.groupBy("split").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
     manifest = {"seed": seed, "rows": counts}
-    root = Path(path)
-    if root.exists():
-        manifest["sha256"] = {str(p.relative_to(root)): hashlib.sha256(p.read_bytes()).hexdigest() for p in sorted(root.rglob("*.parquet"))}
-        (root / "_manifest.json").write_text(json.dumps(manifest, indent=1, sort_keys=True))
+    checksums(spark, path).orderBy("file").write.mode("overwrite").json(f"{path}/checksums")
+    for name, text in (("manifest", json.dumps(manifest, sort_keys=True)), ("card", card_of(manifest))):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
     return manifest
 
 

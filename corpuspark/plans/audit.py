@@ -116,10 +116,33 @@ def near_duplicates(spark, d):
     return near_twins(_docs(spark, d))
 
 
+SHINGLES = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}]+') AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w WHERE len(w) > 0),
+f AS (SELECT min(doc_id) AS doc_id, list_sort(s) AS s FROM s GROUP BY list_sort(s)), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM f),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, round(count(*) / (a.n + b.n - count(*)), 6) AS similarity FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n)"""
+
+
+@query(f"{SHINGLES} SELECT a, b, similarity FROM p WHERE similarity >= 0.8")
+def near_duplicate_pairs(spark, d):
+    """Pairs of different texts with five-word shingles in common, by representative."""
+    return dedup.near_pairs(table(spark, d, "document_records").select("document_id", "text").distinct(), "document_id")
+
+
+@query()
+def character_duplicates(spark, d):
+    """Near duplicates by runs of five characters and 128 permutations: what is kept of the texts in order."""
+    prints = dedup.character_prints(_docs(spark, d), "doc_id", "text")
+    members, pairs = dedup.near_classes(prints, dedup.CHARACTER_SIMILARITY, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS)
+    members = cut(members)
+    settled = dedup.keep_first(members.select(F.col("first").alias("key")), pairs.select("a", "b"))
+    out = members.join(settled.withColumnRenamed("key", "first"), "first")
+    return out.select(F.col("key").alias("doc_id"), (F.col("kept") & (F.col("key") == F.col("first"))).alias("kept"))
+
+
 def near_twins(documents):
     """(doc_id, kept, links). Texts of equal shingles are near twins of each other and of each other's twins; the first of them stands for all."""
     docs = documents.where("text is not null")
-    members, pairs = dedup.near_classes(docs)
+    members, pairs = dedup.near_classes(dedup.word_prints(docs, "doc_id", "text"))
     members, pairs = cut(members), cut(pairs.select("a", "b"))
     copies = cut(dedup.first_by(docs.select("doc_id", F.sha2("text", 256).alias("h")), F.col("h"), F.col("doc_id")))
     sizes = cut(copies.join(members, copies.doc_id == members.key).groupBy("first").agg(F.countDistinct("h").alias("texts")))

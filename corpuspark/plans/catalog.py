@@ -1,4 +1,4 @@
 """All queries of the core."""
 
-from corpuspark.plans import audit, cards, collection, extras, frequency, texts  # noqa: F401
+from corpuspark.plans import audit, cards, collection, extras, frequency, library, texts  # noqa: F401
 from corpuspark.plans.registry import QUERIES, SQL  # noqa: F401

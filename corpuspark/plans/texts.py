@@ -34,18 +34,6 @@ def character_classes(spark, d):
     return rows.select("doc_id", "c.armenian_letters", "c.armenian_punct", "c.latin", "c.digits", ratio)
 
 
-@query(r"SELECT doc_id, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')) AS hash FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\x00-\x7FÀ-žԱ-ֆ։֊А-яЁё«»“”‘’–—]')")
-def content_hashes(spark, d):
-    """Project hashes of the texts that compatibility normalisation leaves alone; the others are tested in Python."""
-    rows = _docs(spark, d).where(~F.col("text").rlike("[^\\x00-\\x7FÀ-žԱ-ֆ։֊А-яЁё«»“”‘’–—]"))
-    return rows.select("doc_id", X.content_hash(F.col("text")).alias("hash"))
-
-
-@query()
-def content_hashes_all(spark, d):
-    return _docs(spark, d).select("doc_id", X.content_hash(F.col("text")).alias("hash"))
-
-
 @query(f"SELECT doc_id, len({WORDS}) AS words, len(list_distinct({WORDS})) AS different FROM documents WHERE text IS NOT NULL")
 def token_counts(spark, d):
     w = X.words(F.col("text"))

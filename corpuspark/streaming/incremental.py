@@ -4,29 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuspark.operators.frequency import delta, merged, word_counts
+from corpuspark.operators.frequency import delta, word_counts
 
 
-def start_counts(documents: DataFrame, state_dir: str, checkpoint: str, by: list[str] | None = None):
-    """Keeps (by..., word, n) in numbered versions under `state_dir` as documents arrive; a batch replayed after a failure rewrites its own version."""
+#: Batches after which what they added is folded into a new base.
+FOLD_AFTER = 20
+
+
+def start_counts(documents: DataFrame, state_dir: str, checkpoint: str, by: list[str] | None = None, fold_after: int = FOLD_AFTER):
+    """Keeps (by..., word, n) under `state_dir` as documents arrive.
+
+    Each batch writes what it adds to a part of its own, so its cost is that of the batch; after some batches the parts are
+    folded into a base. A batch replayed after a failure rewrites its own part, and a base is written aside and only read
+    once it is whole. `counts_now` reads the state.
+    """
     by = by or ["source"]
     keys = [*by, "word"]
 
     def apply(batch: DataFrame, number: int):
-        spark = batch.sparkSession
-        new = word_counts(batch, by)
-        old = _latest(spark, state_dir, number)
-        change = new.select(*keys, F.col("n").alias("change"))
-        now = merged(old, change, keys) if old is not None else merged(new.limit(0), change, keys)
-        now.write.mode("overwrite").parquet(f"{state_dir}/v={number:09d}")
+        word_counts(batch, by).write.mode("overwrite").parquet(f"{state_dir}/part={number:09d}")
+        if (number + 1) % fold_after == 0:
+            _sum(batch.sparkSession, state_dir, number, keys, fold_after).write.mode("overwrite").parquet(f"{state_dir}/base={number:09d}")
 
     return documents.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _latest(spark: SparkSession, state_dir: str, before: int) -> DataFrame | None:
-    if before == 0:
-        return None
-    return spark.read.parquet(f"{state_dir}/v={before - 1:09d}")
+def _sum(spark: SparkSession, state_dir: str, last: int, keys: list[str], fold_after: int) -> DataFrame:
+    base = last // fold_after * fold_after - 1  # the last base before this batch
+    paths = [f"{state_dir}/part={n:09d}" for n in range(base + 1, last + 1)] + ([f"{state_dir}/base={base:09d}"] if base >= 0 else [])
+    return spark.read.parquet(*paths).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def counts_now(spark: SparkSession, state_dir: str, last: int, by: list[str] | None = None, fold_after: int = FOLD_AFTER) -> DataFrame:
+    """(by..., word, n) after batch number `last`: the last base and the parts since."""
+    return _sum(spark, state_dir, last, [*(by or ["source"]), "word"], fold_after)
 
 
 def changed_documents(old_state: DataFrame, documents: DataFrame, by: list[str]) -> DataFrame:

@@ -28,7 +28,7 @@ def test_weighted_list_fixed_and_hybrid(spark):
     counts = frequency.word_counts(docs, ["source"])
     got = {x.word: (x.rank, x.total) for x in frequency.weighted_list(counts).collect()}
     assert got == {"բառ": (1, 3.5), "համ": (2, 3.0)}
-    weights = {x.source: x.weight for x in frequency.hybrid_weights(docs).collect()}
+    weights = {x.source: x.weight for x in frequency.hybrid_weights(docs, 0.5).collect()}
     assert weights == {"newspaper": 1.35, "wikipedia_wa": 1.1}
     old = counts
     new = frequency.word_counts(docs.union(spark.createDataFrame([("wikipedia_wa", "համ", 6.0)], docs.schema)), ["source"])
@@ -76,7 +76,7 @@ def test_classification(spark):
     assert got[1].label == "likely_western" and got[2].label == "likely_eastern" and got[3].label == got[4].label == "inconclusive"
     assert got[3].confidence == 0.0
     found = one(spark, "գիրք մը", classify.evidence(F.col("t")))[0]
-    assert ("W_WORD_մը", 2.5) in {(x.rule_id, x.weight) for x in found}
+    assert ("WA_INDEF_ARTICLE_MUH", 2.5) in {(x.rule_id, x.weight) for x in found}
     alias = spark.createDataFrame([("Western_Armenian",), ("hye e",), ("xx",), (None,)], "b string").select(classify.branch_alias(F.col("b")))
     assert [x[0] for x in alias.collect()] == ["hye-w", "hye-e", None, None]
 
@@ -125,7 +125,11 @@ def test_release(spark, tmp_path):
     split = lambda s: rows(df.select("id", release.split_of(F.col("content_hash"), s, 0.8, 0.1)))
     assert split("a") == split("a") != split("b")
     manifest = release.write_release(df, str(tmp_path / "out"))
-    assert sum(manifest["rows"].values()) == 50 and json.loads((tmp_path / "out" / "_manifest.json").read_text())["rows"] == manifest["rows"]
+    out = str(tmp_path / "out")
+    assert sum(manifest["rows"].values()) == 50 and json.loads(spark.read.text(out + "/manifest").first()[0])["rows"] == manifest["rows"]
+    assert spark.read.parquet(out + "/full").count() == 50 and "50 documents" in "".join(x.value for x in spark.read.text(out + "/card").collect())
+    sums = spark.read.json(out + "/checksums").collect()
+    assert len(sums) >= 4 and all(len(x.sha256) == 64 for x in sums)
     new = spark.createDataFrame([(1, "h"), (2, "h"), (3, "old"), (4, None)], "doc_id long, content_hash string")
     old = spark.createDataFrame([(9, "old")], "doc_id long, content_hash string")
     assert rows(release.insert_new(new, old)) == [(1, "h"), (4, None)]
@@ -172,9 +176,36 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i}"))
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     incremental.start_counts(stream, str(tmp_path / "state"), str(tmp_path / "check")).awaitTermination()
-    last = sorted(os.listdir(tmp_path / "state"))[-1]
     want = frequency.word_counts(spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), ["source"])
-    assert rows(spark.read.parquet(str(tmp_path / "state" / last)).select("source", "word", "n")) == rows(want)
+    assert rows(incremental.counts_now(spark, str(tmp_path / "state"), 1).select("source", "word", "n")) == rows(want)
+    incremental.start_counts(stream, str(tmp_path / "state2"), str(tmp_path / "check2"), fold_after=2).awaitTermination()
+    assert (tmp_path / "state2" / "base=000000001").exists()
+    assert rows(incremental.counts_now(spark, str(tmp_path / "state2"), 1, fold_after=2).select("source", "word", "n")) == rows(want)
+
+
+def test_full_buckets_meet_in_a_grid(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HOT_BUCKET", 3)
+    bands = spark.createDataFrame([(k, 0, 7) for k in range(12)] + [(k, 1, k) for k in range(12)], "key long, band int, h long")
+    assert rows(dedup.bucket_pairs(bands)) == [(a, b) for a in range(12) for b in range(a + 1, 12)]
+
+
+def test_character_profile_against_all_pairs(spark):
+    texts = ["the quick brown fox jumps over the lazy dog again and again until night", "the quick brown fox jumps over the lazy dog again and again until nights", "something else entirely is written here", "abc", "abc", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, pairs = dedup.near_classes(dedup.character_prints(df, "doc_id", "text"), 0.85, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS)
+    assert [(x.a, x.b) for x in pairs.collect()] == [(0, 1)]
+
+
+def test_signed_score_and_sentences_of_a_grammar(spark):
+    western = ["Ան կը խօսի հայերէն, հոն կ՚ապրի մէջ իւրաքանչիւր մանուկ", "մէջ իւրաքանչիւր բան մը", "կը խօսի հայերէն", "Ես կը սիրեմ հայերէն։", "Ես եւ ան կը խօսին միայն հայերէն։", "Ինքզինքս կը սիրեմ։"]
+    df = spark.createDataFrame([(x,) for x in [*western, "մի խնձոր ունեմ"]], "text string")
+    labels = [x.label for x in classify.classified(df).collect()]
+    assert labels == ["likely_western"] * len(western) + ["likely_eastern"]
+    t = F.col("t")
+    assert one(spark, "կը կը կը", classify.signed_score(t))[0] == 4.0  # matches take the white space between them along
+    assert one(spark, "սիրում և գրում", classify.signed_score(t))[0] == -2.0
+    assert one(spark, None, classify.signed_score(t))[0] == 0.0
+    assert "E" + "A_REGEX_YEV_INTERNAL" not in {x.rule_id for x in one(spark, "ինձևքեզ", classify.evidence(classify.folded(t)))[0]}
 
 
 def test_core_imports_without_the_training_data_package():
