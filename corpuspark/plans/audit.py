@@ -116,7 +116,7 @@ def near_duplicates(spark, d):
     return near_twins(_docs(spark, d))
 
 
-SHINGLES = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}]+') AS w FROM documents WHERE text IS NOT NULL),
+SHINGLES = r"""WITH w AS (SELECT DISTINCT document_id AS doc_id, regexp_extract_all(lower(text), '[\p{L}]+') AS w FROM document_records WHERE text IS NOT NULL),
 s AS (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w WHERE len(w) > 0),
 f AS (SELECT min(doc_id) AS doc_id, list_sort(s) AS s FROM s GROUP BY list_sort(s)), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM f),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, round(count(*) / (a.n + b.n - count(*)), 6) AS similarity FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n)"""
