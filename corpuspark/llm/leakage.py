@@ -1,14 +1,18 @@
 """Evaluation passages that occur in corpus documents, whole or in part.
 
-Latent semantic retrieval: TF-IDF passages of the evaluation items are factorised by randomised SVD, with document
-frequencies counted over the whole corpus; every passage of every document is projected into that space and scored
-against the items' passages by how much of the item's weight it covers. Documents that score are compared with the
-item word by word: a stretch of at least half of its words, with isolated changes and one insertion allowed.
+Latent semantic retrieval: document frequencies of the items' words are counted over the whole corpus; TF-IDF passages
+of the items are factorised by randomised SVD, block by block on the executors, each space with full rank, so that no
+copy is lost by the projection; every passage of every document is projected into the spaces whose words it has enough
+of, and scored by cosine and by how much of the item's passage it covers. Two scans of the corpus serve any number of
+items. Documents that score are compared with the item word by word: a stretch of at least half of its words, with
+isolated changes and one insertion allowed; how many of the words that answer the item, its rarest ones, stand in the
+stretch is reported.
 """
 
 from __future__ import annotations
 
 import difflib
+import pickle
 import re
 from collections import Counter
 
@@ -16,36 +20,53 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from corpuspark.llm.words import lcs, words_of
+from corpuspark.llm.words import Numbers, lcs, number, summed, words_of
+from corpuspark.session import cut
 
 HALF = 12
 #: Passages of one latent space, and its rank: of that many passages the space keeps all, so a copy is scored in full.
 RANK = 256
-#: Least share of an item passage's weight that a document passage covers in the latent space.
-COVER = 0.35
+#: Least share of an item passage's weight that a document passage covers in the latent space, and least cosine of both.
+COVER, COSINE = 0.35, 0.1
+#: Rarest words of an item, whose presence answers it.
+ANSWERS = 8
 STRETCH = 0.5
 AGREEING = 0.82
 #: Words that may stand between two parts of a stretch: one inserted sentence or line.
 INSERTED = 60
-#: Items handled in one scan of the corpus; more items take more scans, so what is broadcast stays small.
-ITEMS_PER_SCAN = 1000
+#: Items of one block of spaces: what a task holds at a time.
+ITEMS_PER_BLOCK = 150
+#: Bits of the set of the items' words, 16 MB whatever their number.
+SET_BITS = 27
 CHUNK_WORDS = 100_000
 #: Rows of the term projection gathered at once.
 GATHERED = 16_384
 _SENTENCE = re.compile(r"(?<=[.։:?!])\s+")
 
 
-def passages_of_items(items: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
-    """(item_id, words) without the stock instruction: a first sentence that several items share."""
-    first = Counter(_SENTENCE.split(text.strip(), maxsplit=1)[0] for text in {t for _, t in items})
-    out = []
-    for item_id, text in items:
-        parts = _SENTENCE.split(text.strip(), maxsplit=1)
-        if len(parts) > 1 and first[parts[0]] > 1:
-            text = parts[1]
-        if words := words_of(text):
-            out.append((item_id, words))
-    return out
+def _first(text: str) -> str:
+    return _SENTENCE.split(text.strip(), maxsplit=1)[0]
+
+
+def without_stock(items: DataFrame) -> DataFrame:
+    """(item_id, words) of items without the stock instruction: a first sentence that several different items share."""
+
+    def cut_first(batches):
+        for pdf in batches:
+            parts = [_SENTENCE.split(x.strip(), maxsplit=1) for x in pdf["text"]]
+            yield pd.DataFrame({"item_id": pdf["item_id"], "text": pdf["text"], "first": [p[0] for p in parts], "rest": [p[1] if len(p) > 1 else None for p in parts]})
+
+    rows = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    rows = cut(rows.mapInPandas(cut_first, "item_id bigint, text string, first string, rest string"))
+    shared = rows.select("text", "first").distinct().groupBy("first").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("first", F.lit(True).alias("stock"))
+    rows = rows.join(shared, "first", "left").select("item_id", F.when(F.col("stock") & F.col("rest").isNotNull(), F.col("rest")).otherwise(F.col("text")).alias("text"))
+
+    def words(batches):
+        for pdf in batches:
+            out = [(i, w) for i, w in zip(pdf["item_id"], map(words_of, pdf["text"])) if w]
+            yield pd.DataFrame(out, columns=["item_id", "words"])
+
+    return rows.mapInPandas(words, "item_id bigint, words array<string>").distinct()
 
 
 def stretch(document: list[str], item: list[str]) -> float:
@@ -74,24 +95,35 @@ def least_threes(n: int) -> int:
     return max(1, int(STRETCH * n * AGREEING - 2 * (STRETCH * n * (1 - AGREEING) + 2)))
 
 
-def _count(vocabulary: dict[str, int]):
+def _word_slots(batches):
+    from pyspark import TaskContext
+
+    bits, some = np.zeros((1 << SET_BITS) // 8, dtype=np.uint8), False
+    for pdf in batches:
+        for w in pdf["word"]:
+            s = number(w.encode("utf-8", "surrogatepass")) >> (64 - SET_BITS)
+            bits[s >> 3] |= 1 << (s & 7)
+            some = True
+    if some:
+        yield summed.slices(bits, TaskContext.get().partitionId())
+
+
+def _count(model):
+    """(word, n): in how many documents of the task each word of the set occurs; null stands for all documents."""
+
     def run(batches):
-        seen, n = np.zeros(len(vocabulary), dtype=np.int64), 0
+        bits, numbers, n = model.value, Numbers(), 0
+        counts: Counter = Counter()
         for pdf in batches:
             n += len(pdf)
-            found = [i for text in pdf["text"] for i in {vocabulary.get(w, -1) for w in words_of(text)}]
-            found = np.array(found, dtype=np.int64)
-            seen += np.bincount(found[found >= 0], minlength=len(vocabulary))
+            for text in pdf["text"]:
+                counts.update(w for w in set(words_of(text)) if bits[(s := numbers[w] >> (64 - SET_BITS)) >> 3] >> (s & 7) & 1)
         if n:
-            yield pd.DataFrame({"one": [1], "seen": [seen.tobytes()], "n": [n]})
+            yield pd.DataFrame([*counts.items(), (None, n)], columns=["word", "n"])
 
     return run
 
 
-def _total(pdf):
-    return pd.DataFrame({"seen": [sum(np.frombuffer(x, dtype=np.int64) for x in pdf["seen"]).tobytes()], "n": [int(pdf["n"].sum())]})
-
-
 def latent_space(passages: list[list[int]], idf: np.ndarray, rank: int = RANK, seed: int = 7):
     """(term projection, latent passages, squared norms): a randomised SVD with one power iteration of the TF-IDF rows."""
     a = np.zeros((len(passages), len(idf)))
@@ -121,7 +153,7 @@ def _chunks(batches):
         yield ids, docs
 
 
-def _hits(docs, base, vocabulary, energy, term, queries, item_of, least):
+def _hits(docs, base, vocabulary, energy, term, queries, lengths, item_of, least):
     """(document, item, start) for each passage of a document that covers enough of an item's passage of this space."""
     index, half = [], []
     for d, words in enumerate(docs):
@@ -152,8 +184,10 @@ def _hits(docs, base, vocabulary, energy, term, queries, item_of, least):
     owner = np.searchsorted(base, starts, side="right") - 1
     for at in range(0, len(starts), 4096):
         s = place[starts[at : at + 4096]]
-        score = (latent[s] + latent[s + 1]) @ queries
-        for x, q in zip(*np.nonzero(score >= COVER)):
+        both = latent[s] + latent[s + 1]
+        score = both @ queries  # dot product over the query's squared norm
+        cosine = score * (lengths[None, :] / np.maximum(np.linalg.norm(both, axis=1), 1e-9)[:, None])
+        for x, q in zip(*np.nonzero((score >= COVER) & (cosine >= COSINE))):
             yield int(owner[at + x]), int(item_of[q]), int(starts[at + x])
 
 
@@ -170,61 +204,79 @@ def _spaces(block: list[tuple[int, list[str]]], idf: dict[str, float]) -> list[t
         weights = np.array([idf[w] for w in vocabulary])
         term, latent, norms = latent_space([[vocabulary[w] for w in p] for _, p in own], weights)
         queries = (latent / norms[:, None]).T.astype(np.float32).copy()
-        out.append((vocabulary, weights**2, term, queries, np.array([i for i, _ in own]), COVER * norms.min()))
+        out.append((vocabulary, weights**2, term, queries, np.sqrt(norms).astype(np.float32), np.array([i for i, _ in own]), COVER * norms.min()))
     return out
 
 
-def _search(model):
-    """(doc_id, text, items): documents with a passage that covers enough of an item's passage."""
+def _fit(n: int):
+    """The spaces of a block of items, fitted where the block is, as one binary."""
+
+    def run(pdf):
+        idf = {w: float(np.log((n + 1) / (c + 1)) + 0.05) for ws, cs in zip(pdf["words"], pdf["counts"]) for w, c in zip(ws, cs)}
+        block = sorted((int(i), list(w)) for i, w in zip(pdf["item_id"], pdf["words"]))
+        answers = [sorted(set(w), key=lambda x: (-idf[x], x))[:ANSWERS] for _, w in block]
+        return pd.DataFrame({"block": [pdf["block"].iat[0]], "model": [pickle.dumps((_spaces(block, idf), block, answers))]})
+
+    return run
+
+
+#: Blocks of items that a worker keeps at hand; with more its memory doesn't grow, it loads them anew for each piece of the corpus.
+BLOCKS_KEPT = 8
+
+
+def _search(models: list):
+    """(doc_id, item_id, part, answered): documents that hold enough of an item, block of items by block."""
 
     def run(batches):
-        spaces, items = model.value
-        threes = [set(zip(w, w[1:], w[2:])) for _, w in items]
+        kept: dict[int, tuple] = {}
         for ids, docs in _chunks(batches):
             halves = np.array([max(2, -(-len(d) // HALF)) for d in docs], dtype=np.int64)
             base = np.concatenate(([0], np.cumsum(halves)))
-            hits: dict[tuple[int, int], list[int]] = {}
-            for space in spaces:
-                for d, i, start in _hits(docs, base, *space):
-                    hits.setdefault((d, i), []).append(start)
             out = []
-            for (d, i), found in hits.items():
-                item_id, words = items[i]
-                around = len(words) + INSERTED
-                first, last = (min(found) - base[d]) * HALF, (max(found) - base[d] + 2) * HALF
-                near = docs[d][max(0, first - around) : last + around]
-                if len(threes[i].intersection(zip(near, near[1:], near[2:]))) < least_threes(len(words)):
-                    continue
-                if lcs(words, near) >= STRETCH * AGREEING * len(words) and (part := stretch(near, words)) >= STRETCH:
-                    out.append((ids[d], item_id, part))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "part"])
+            for k, sent in enumerate(models):
+                if k not in kept:
+                    if len(kept) >= BLOCKS_KEPT:
+                        kept.clear()
+                    kept[k] = pickle.loads(sent.value)
+                spaces, items, answers = kept[k]
+                hits: dict[tuple[int, int], list[int]] = {}
+                for space in spaces:
+                    for d, i, start in _hits(docs, base, *space):
+                        hits.setdefault((d, i), []).append(start)
+                for (d, i), found in hits.items():
+                    item_id, words = items[i]
+                    around = len(words) + INSERTED
+                    first, last = (min(found) - base[d]) * HALF, (max(found) - base[d] + 2) * HALF
+                    near = docs[d][max(0, first - around) : last + around]
+                    if len(set(zip(words, words[1:], words[2:])).intersection(zip(near, near[1:], near[2:]))) < least_threes(len(words)):
+                        continue
+                    if lcs(words, near) >= STRETCH * AGREEING * len(words) and (part := stretch(near, words)) >= STRETCH:
+                        out.append((ids[d], item_id, part, sum(w in near for w in answers[i]) / max(1, len(answers[i]))))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "part", "answered"])
 
     return run
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, part): documents that hold an item or a stretch of at least half of its words; part is that stretch's share.
+    """(doc_id, item_id, part, answered): documents that hold an item or a stretch of at least half of its words.
 
+    part is that stretch's share of the item, answered the share of the item's rarest words that stand with it.
     documents: doc_id, text; items: item_id, text. Null ids and texts give no rows, repeated rows count once, an item
     without words is in no document.
     """
     spark = documents.sparkSession
     texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    listed = sorted((r["item_id"], r["text"]) for r in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().toLocalIterator())
-    every = passages_of_items(listed)
-    out = spark.createDataFrame([], "doc_id bigint, item_id bigint, part double")
-    for at in range(0, len(every), ITEMS_PER_SCAN):
-        block = every[at : at + ITEMS_PER_SCAN]
-        vocabulary: dict[str, int] = {}
-        for _, words in block:
-            for w in words:
-                vocabulary.setdefault(w, len(vocabulary))
-        counted = texts.mapInPandas(_count(vocabulary), "one int, seen binary, n bigint").groupBy("one").applyInPandas(_total, "seen binary, n bigint").collect()
-        if not counted:
-            break
-        seen = np.frombuffer(counted[0]["seen"], dtype=np.int64)
-        idf = np.log((counted[0]["n"] + 1) / (seen + 1)) + 0.05
-        model = spark.sparkContext.broadcast((_spaces(block, dict(zip(vocabulary, idf))), block))
-        found = texts.mapInPandas(_search(model), "doc_id bigint, item_id bigint, part double")
-        out = out.unionByName(found)
-    return out.groupBy("doc_id", "item_id").agg(F.max("part").alias("part"))
+    listed = cut(without_stock(items))
+    blocks = max(1, -(-listed.count() // ITEMS_PER_BLOCK))
+    each = listed.select("item_id", "words", F.posexplode("words").alias("at", "word"))
+    bits = spark.sparkContext.broadcast(summed(each.select("word").distinct().mapInPandas(_word_slots, summed.KIND), (1 << SET_BITS) // 8, np.uint8, np.bitwise_or))
+    counted = cut(texts.mapInPandas(_count(bits), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    found = counted.where("word is null").first()
+    n = found["n"] if found else 0
+    known = each.join(counted.where("word is not null"), "word", "left").groupBy("item_id", "words").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))
+    known = known.select("item_id", "words", F.transform("c", lambda x: x["n"]).alias("counts"), F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block"))
+    fitted = cut(known.groupBy("block").applyInPandas(_fit(n), "block int, model binary"))
+    models = [spark.sparkContext.broadcast(bytes(r["model"])) for r in fitted.orderBy("block").toLocalIterator()]  # one at a time on the driver
+    kind = "doc_id bigint, item_id bigint, part double, answered double"
+    out = texts.mapInPandas(_search(models), kind) if models else spark.createDataFrame([], kind)
+    return out.groupBy("doc_id", "item_id").agg(F.max("part").alias("part"), F.max("answered").alias("answered"))

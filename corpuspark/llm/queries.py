@@ -89,7 +89,7 @@ def p7_report(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     found = leakage.leaks(documents, table(spark, sf_dir, "eval_items"))
     return found.join(documents.select("doc_id", "source"), "doc_id").groupBy("item_id").agg(
-        F.countDistinct("doc_id").alias("documents"), F.max("part").alias("longest"), F.array_sort(F.collect_set("source")).alias("sources")
+        F.countDistinct("doc_id").alias("documents"), F.max("part").alias("longest"), F.max("answered").alias("answered"), F.array_sort(F.collect_set("source")).alias("sources")
     )
 
 
