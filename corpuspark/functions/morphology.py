@@ -12,9 +12,21 @@ WESTERN = ("a", "p", "k", "t", "e", "z", "e", "ë", "t", "zh", "i", "l", "kh", "
 EASTERN = ("a", "b", "g", "d", "e", "z", "e", "ë", "t", "zh", "i", "l", "kh", "ts", "k", "h", "dz", "gh", "ch", "m", "y", "n", "sh", "o", "ch", "p", "j", "r", "s", "v", "t", "r", "ts", "v", "p", "k", "o", "f", "ev")
 VOWELS = "աեէըիոօ"
 HARD = "ղխծձճջչցռքփթ"
-# Case endings of the common declension, singular after the plural's -եր/-ներ as well.
-CASES = {"nominative": "", "genitive": "ի", "dative": "ի", "ablative": "էն", "instrumental": "ով"}
-PERSONS = {"present": ("եմ", "ես", "է", "ենք", "էք", "են"), "imperfect": ("էի", "էիր", "էր", "էինք", "էիք", "էին")}
+# Singular endings of the noun classes by case, endings after the plural's -ներ, and verb endings by class, tense and person.
+CASES = ("nominative", "accusative", "genitive_dative", "ablative", "instrumental")
+NOUN_CLASSES = {
+    "i_class": ("", "", "ի", "է", "ով"),
+    "u_class": ("", "", "ի", "է", "ով"),
+    "a_class": ("", "", "ան", "անէ", "անով"),
+    "o_class": ("", "", "որ", "որէ", "ով"),
+}
+PLURAL_ENDINGS = ("ներ", "ներ", "ների", "ներէ", "ներով")
+PERSONS = ("1sg", "2sg", "3sg", "1pl", "2pl", "3pl")
+VERB_CLASSES = {
+    "e_class": {"infinitive": "ել", "subjunctive": ("եմ", "ես", "է", "ենք", "եք", "են"), "past_aorist": ("եցի", "եցիր", "եց", "եցինք", "եցիք", "եցին"), "imperfect": ("եի", "եիր", "էր", "եինք", "եիք", "եին"), "imperative_sg": "է", "imperative_pl": "եք", "past_participle": "ել", "present_participle": "ուղ"},
+    "a_class": {"infinitive": "ալ", "subjunctive": ("ամ", "աս", "ա", "անք", "աք", "ան"), "past_aorist": ("ացի", "ացիր", "աց", "ացինք", "ացիք", "ացին"), "imperfect": ("աի", "աիր", "ար", "աինք", "աիք", "աին"), "imperative_sg": "ա", "imperative_pl": "աք", "past_participle": "ալ", "present_participle": "ացուղ"},
+}
+PARTICLES = {"present": "կը", "future": "պիտի", "conditional": "գա"}
 
 
 def _mapped(word: Column, table: dict[str, str]) -> Column:
@@ -56,11 +68,14 @@ def plural(word: Column) -> Column:
     return F.concat(word, F.when(one, F.lit("եր")).otherwise(F.lit("ներ")))
 
 
-def declined(word: Column) -> Column:
-    """Array of (number, case, form) of a noun of the common declension."""
+def declined(word: Column, noun_class: str = "i_class") -> Column:
+    """Array of (number, case, definite, form) of a noun of a class; the nominative has an indefinite form besides."""
     cells = []
-    for number, stem in (("singular", word), ("plural", plural(word))):
-        cells += [F.struct(F.lit(number).alias("number"), F.lit(c).alias("case"), F.concat(stem, F.lit(e)).alias("form")) for c, e in CASES.items()]
+    for number, endings in (("singular", NOUN_CLASSES[noun_class]), ("plural", PLURAL_ENDINGS)):
+        for case, ending in zip(CASES, endings):
+            form = F.concat(word, F.lit(ending))
+            kinds = [("bare", form), ("definite", definite(form))] + ([("indefinite", indefinite(form))] if number == "singular" and case == "nominative" else [])
+            cells += [F.struct(F.lit(number).alias("number"), F.lit(case).alias("case"), F.lit(kind).alias("kind"), x.alias("form")) for kind, x in kinds]
     return F.array(*cells)
 
 
@@ -69,15 +84,26 @@ def verb_class(infinitive: Column) -> Column:
     return F.when(infinitive.endswith("ել"), "e").when(infinitive.endswith("իլ"), "i").when(infinitive.endswith("ալ"), "a")
 
 
-def conjugated(infinitive: Column) -> Column:
-    """Array of (tense, person, form) of a regular verb of the e class; the present has its particle."""
-    root = F.substring(infinitive, F.lit(1), F.length(infinitive) - 2)
-    cells = []
-    for tense, endings in PERSONS.items():
-        for i, ending in enumerate(endings):
+def conjugated(infinitive: Column, name: str = "e_class", overrides: dict | None = None) -> Column:
+    """Array of (tense, person, form) of a verb of a class; person is null for imperatives and participles.
+
+    overrides, by infinitive, tense and person, holds the forms of irregular verbs.
+    """
+    table, cells = VERB_CLASSES[name], []
+    root = F.when(infinitive.endswith(table["infinitive"]), F.substring(infinitive, F.lit(1), F.length(infinitive) - 2)).otherwise(infinitive)
+
+    def cell(tense, person, form):
+        for verb, forms in (overrides or {}).items():
+            if own := forms.get(tense, {}).get(person):
+                form = F.when(infinitive == verb, own).otherwise(form)
+        cells.append(F.struct(F.lit(tense).alias("tense"), F.lit(person).cast("string").alias("person"), form.alias("form")))
+
+    for tense in ("subjunctive", "present", "future", "conditional", "past_aorist", "imperfect"):
+        for person, ending in zip(PERSONS, table["subjunctive" if tense in PARTICLES else tense]):
             form = F.concat(root, F.lit(ending))
-            particle = F.when(root.rlike(f"^[{VOWELS}]"), F.lit("կ՚")).otherwise(F.lit("կը "))
-            cells.append(F.struct(F.lit(tense).alias("tense"), F.lit(i % 3 + 1 + 3 * (i // 3)).alias("person"), F.concat(particle, form).alias("form")))
+            cell(tense, person, F.concat(F.lit(PARTICLES[tense] + " "), form) if tense in PARTICLES else form)
+    for tense in ("imperative_sg", "imperative_pl", "past_participle", "present_participle"):
+        cell(tense, None, F.concat(root, F.lit(table[tense])))
     return F.array(*cells)
 
 

@@ -110,18 +110,28 @@ def dedup_flags(spark, d):
     return dedup.first_by(rows, F.col("h"), F.col("doc_id")).select("doc_id", F.col("kept").alias("filtered"), (~F.col("kept")).alias("deduplicated"))
 
 
-@query()
-def near_duplicates(spark, d):
-    """Every document with text: whether it is kept, and the number of earlier or later near twins among different texts."""
-    return near_twins(_docs(spark, d))
-
-
 SHINGLES = r"""WITH w AS (SELECT DISTINCT document_id AS doc_id, regexp_extract_all(lower(text), '[\p{L}]+') AS w FROM document_records WHERE text IS NOT NULL),
 s AS (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w WHERE len(w) > 0),
 f AS (SELECT min(doc_id) AS doc_id, list_sort(s) AS s FROM s GROUP BY list_sort(s)), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM f),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, round(count(*) / (a.n + b.n - count(*)), 6) AS similarity FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n)"""
 
 
+DOCUMENT_SHINGLES = SHINGLES.replace("SELECT DISTINCT document_id AS doc_id", "SELECT doc_id").replace("document_records", "documents").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(f"""{DOCUMENT_SHINGLES},
+m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS first FROM s), h AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE text IS NOT NULL), z AS (SELECT first, count(DISTINCT h) AS texts FROM m JOIN h USING (doc_id) GROUP BY first),
+q AS (SELECT a, b FROM p WHERE similarity >= 0.8), k AS (SELECT b AS key, row_number() OVER (ORDER BY b) AS i, list(a) AS before FROM q GROUP BY b),
+r(i, dropped) AS (SELECT 0, []::BIGINT[] UNION ALL SELECT k.i, CASE WHEN len(list_filter(k.before, lambda x: NOT list_contains(r.dropped, x))) > 0 THEN list_append(r.dropped, k.key) ELSE r.dropped END FROM r JOIN k ON k.i = r.i + 1),
+g AS (SELECT arg_max(dropped, i) AS dropped FROM r), o AS (SELECT x AS first, sum(texts) AS near FROM (SELECT a AS x, b AS y FROM q UNION ALL SELECT b, a FROM q) JOIN z ON z.first = y GROUP BY x)
+SELECT h.doc_id, CASE WHEN m.first IS NULL THEN h.doc_id = min(h.doc_id) OVER (PARTITION BY h.h) ELSE h.doc_id = m.first AND NOT list_contains((SELECT dropped FROM g), m.first) END AS kept, CAST(coalesce(z.texts - 1 + coalesce(o.near, 0), 0) AS BIGINT) AS links
+FROM h LEFT JOIN m USING (doc_id) LEFT JOIN z ON z.first = m.first LEFT JOIN o ON o.first = m.first
+""")
+def near_duplicates(spark, d):
+    """Every document with text: whether it is kept, and the number of earlier or later near twins among different texts."""
+    return near_twins(_docs(spark, d))
+
+
 @query(f"{SHINGLES} SELECT a, b, similarity FROM p WHERE similarity >= 0.8")
 def near_duplicate_pairs(spark, d):
     """Pairs of different texts with five-word shingles in common, by representative."""

@@ -158,7 +158,16 @@ def unknown_words(spark, d):
     return c.where("n >= 5").join(lemmas, "word", "left_anti")
 
 
-@query()
+SHORTER = "list_distinct(list_concat([word], list_transform(range(1, length(word) + 1), lambda i: substring(word, 1, i - 1) || substring(word, i + 1))))"
+
+
+@query(f"""
+WITH t AS ({TOKENS}), c AS (SELECT word, count(*) AS n FROM t WHERE text IS NOT NULL GROUP BY word), o AS (SELECT word, unnest({SHORTER}) AS form FROM c WHERE n <= 1 AND length(word) >= 3),
+g AS (SELECT word AS correction, n, unnest({SHORTER}) AS form FROM c WHERE n >= 3 AND length(word) >= 3),
+p AS (SELECT DISTINCT word, correction, n FROM o JOIN g USING (form) WHERE word <> correction AND CASE WHEN length(word) = length(correction) THEN len(list_filter(range(1, length(word) + 1), lambda i: word[i] <> correction[i])) = 1
+ WHEN length(word) < length(correction) THEN form = word ELSE form = correction END)
+SELECT word, arg_min(correction, {{'a': -n, 'b': correction}}) AS correction, max(n) AS n FROM p GROUP BY word
+""")
 def spelling_corrections(spark, d):
     return correction.corrections(frequency.word_counts(_docs(spark, d), []))
 
@@ -193,17 +202,62 @@ def scan_garbage_lines(spark, d):
     return k.groupBy("text_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("garbage"))
 
 
-@query("""
-WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL AND pos IN ('noun', 'N.'))
-SELECT entry_id, c.case_name, w || c.ending AS form FROM l, (VALUES ('genitive', 'ի'), ('ablative', 'էն'), ('instrumental', 'ով'), ('nominative', ''), ('dative', 'ի')) c(case_name, ending)
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in r) + ")" for r in rows)
+
+
+ENDINGS = [(c, n, case, e) for c, ends in morphology.NOUN_CLASSES.items() for n, row in (("singular", ends), ("plural", morphology.PLURAL_ENDINGS)) for case, e in zip(morphology.CASES, row)]
+VOWEL = f"regexp_matches(f, '[{morphology.VOWELS}]$|ու$')"
+
+
+@query(f"""
+WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL AND pos IN ('noun', 'N.')), e(noun_class, number, case_name, ending) AS (VALUES {_values(ENDINGS)}),
+f AS (SELECT entry_id, noun_class, number, case_name, w || ending AS f FROM l, e)
+SELECT entry_id, noun_class, number, case_name, 'bare' AS kind, f AS form FROM f UNION ALL SELECT entry_id, noun_class, number, case_name, 'definite', f || CASE WHEN {VOWEL} THEN 'ն' ELSE 'ը' END FROM f
+UNION ALL SELECT entry_id, noun_class, number, case_name, 'indefinite', f || ' մը' FROM f WHERE number = 'singular' AND case_name = 'nominative'
 """)
 def declined_nouns(spark, d):
+    """All forms of every noun in each of the four classes."""
     rows = table(spark, d, "lexicon_entries").where("lemma is not null and pos in ('noun', 'N.')").select("entry_id", F.lower("lemma").alias("w")).distinct()
-    forms = rows.select("entry_id", F.explode(morphology.declined(F.col("w"))).alias("f")).where("f.number = 'singular'")
-    return forms.select("entry_id", F.col("f.case").alias("case_name"), "f.form")
+    classes = F.explode(F.array(*[F.struct(F.lit(c).alias("noun_class"), morphology.declined(F.col("w"), c).alias("forms")) for c in morphology.NOUN_CLASSES]))
+    forms = rows.select("entry_id", classes.alias("x")).select("entry_id", "x.noun_class", F.explode("x.forms").alias("f"))
+    return forms.select("entry_id", "noun_class", "f.number", F.col("f.case").alias("case_name"), "f.kind", "f.form")
 
 
-@query()
+TENSES = [
+    (c, tense, p, morphology.PARTICLES.get(tense, "") + (" " if tense in morphology.PARTICLES else ""), e)
+    for c, t in morphology.VERB_CLASSES.items()
+    for tense in ("subjunctive", "present", "future", "conditional", "past_aorist", "imperfect")
+    for p, e in zip(morphology.PERSONS, t["subjunctive" if tense in morphology.PARTICLES else tense])
+] + [(c, tense, None, "", t[tense]) for c, t in morphology.VERB_CLASSES.items() for tense in ("imperative_sg", "imperative_pl", "past_participle", "present_participle")]
+
+
+@query(f"""
+WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL), e(verb_class, tense, person, particle, ending) AS (VALUES {_values(TENSES)})
+SELECT entry_id, tense, person, particle || CASE WHEN suffix(w, CASE verb_class WHEN 'e_class' THEN 'ել' ELSE 'ալ' END) THEN left(w, length(w) - 2) ELSE w END || ending AS form
+FROM l JOIN e ON verb_class = CASE WHEN suffix(w, 'ալ') THEN 'a_class' ELSE 'e_class' END
+""")
+def conjugated_verbs(spark, d):
+    """All tenses and persons of every lemma taken as a verb of the class its ending shows."""
+    rows = table(spark, d, "lexicon_entries").where("lemma is not null").select("entry_id", F.lower("lemma").alias("w")).distinct()
+    w = F.col("w")
+    forms = rows.select("entry_id", F.explode(F.when(w.endswith("ալ"), morphology.conjugated(w, "a_class")).otherwise(morphology.conjugated(w, "e_class"))).alias("f"))
+    return forms.select("entry_id", "f.tense", "f.person", "f.form")
+
+
+def _latin(table: dict[str, str]) -> str:
+    out = "replace(w, 'ու', 'u')"
+    for a, b in table.items():
+        out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+@query(f"""
+WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL)
+SELECT entry_id, {_latin(dict(zip(morphology.LETTERS, morphology.WESTERN)))} AS western, {_latin(dict(zip(morphology.LETTERS, morphology.EASTERN)))} AS eastern,
+ least(5.0, greatest(1.0, 1.0 + 0.3 * length(regexp_replace(w, '[^{morphology.HARD}]', '', 'g'))))::DOUBLE AS difficulty,
+ CASE WHEN regexp_matches(w, '(ել|իլ|ալ)$') THEN 'verb' WHEN regexp_matches(w, '(ութիւն|ություն|ութեան)$') THEN 'noun' WHEN regexp_matches(w, '(ական|ային|եղէն)$') THEN 'adjective' ELSE 'noun' END AS word_class FROM l
+""")
 def lexicon_sounds(spark, d):
     w = F.lower("lemma")
     rows = table(spark, d, "lexicon_entries").where("lemma is not null").select("entry_id", w.alias("w")).distinct()

@@ -64,7 +64,11 @@ def foreign_fragments_removed(spark, d):
     return _docs(spark, d).select("doc_id", X.without_foreign(F.col("text")).alias("text"))
 
 
-@query()
+@query(r"""
+WITH f AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '\([^()]*[A-Za-zÀ-ɏ؀-ۿ][^()]*\)', '', 'g'), '«[^«»]*[A-Za-zÀ-ɏ؀-ۿ][^«»]*»', '', 'g'), '[A-Za-zÀ-ɏ؀-ۿ]+', '', 'g'), '\(\s*\)', '', 'g'), '«\s*»', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[\t\v\f\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'), '(?m) +$', '', 'g') AS t FROM f)
+SELECT doc_id, trim(array_to_string(list_filter(string_split(t, chr(10)), lambda x: trim(x, ' ') = '' OR regexp_matches(x, '[\p{L}\p{N}_]')), chr(10)), ' ') AS text FROM w
+""")
 def normalized_texts(spark, d):
     return _docs(spark, d).select("doc_id", X.normalized(F.col("text")).alias("text"))
 

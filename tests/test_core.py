@@ -140,9 +140,13 @@ def test_morphology(spark):
     t = F.col("t")
     assert one(spark, "տուն", morphology.definite(t), morphology.indefinite(t), morphology.plural(t))[:] == ("տունը", "տուն մը", "տուներ")
     assert one(spark, "կատու", morphology.definite(t), morphology.plural(t))[:] == ("կատուն", "կատուներ")
-    forms = {(x.number, x.case): x.form for x in one(spark, "տուն", morphology.declined(t))[0]}
-    assert forms["singular", "ablative"] == "տունէն" and forms["plural", "instrumental"] == "տուներով"
-    assert one(spark, "բերել", morphology.conjugated(t))[0][0].form == "կը բերեմ"
+    forms = {(x.number, x.case, x.kind): x.form for x in one(spark, "տուն", morphology.declined(t))[0]}
+    assert forms["singular", "ablative", "bare"] == "տունէ" and forms["plural", "instrumental", "definite"] == "տուններովը" and forms["singular", "nominative", "indefinite"] == "տուն մը"
+    assert {x.form for x in one(spark, "քոյր", morphology.declined(t, "o_class"))[0]} >= {"քոյրորէ", "քոյրով"}
+    verb = {(x.tense, x.person): x.form for x in one(spark, "բերել", morphology.conjugated(t))[0]}
+    assert verb["present", "1sg"] == "կը բերեմ" and verb["future", "3pl"] == "պիտի բերեն" and verb["past_aorist", "1sg"] == "բերեցի" and verb["imperative_pl", None] == "բերեք"
+    odd = {(x.tense, x.person): x.form for x in one(spark, "գալ", morphology.conjugated(t, "a_class", {"գալ": {"past_aorist": {"1sg": "եկայ"}}}))[0]}
+    assert odd["past_aorist", "1sg"] == "եկայ" and odd["present", "1sg"] == "կը գամ"
     assert one(spark, "պար", morphology.romanized(t), morphology.romanized(t, "eastern"))[:] == ("bar", "par")
     assert "տուն" in one(spark, "տուներէն", morphology.stems(t))[0]
     assert one(spark, "պար", morphology.difficulty(t))[0] == 1.0
