@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from corpuspark.llm.words import Numbers, lcs, number, summed, words_of
+from corpuspark.llm.words import MEMO_WORDS, lcs, number, summed, words_of
 from corpuspark.session import cut
 
 HALF = 12
@@ -35,7 +35,7 @@ AGREEING = 0.82
 #: Words that may stand between two parts of a stretch: one inserted sentence or line.
 INSERTED = 60
 #: Items of one block of spaces: what a task holds at a time.
-ITEMS_PER_BLOCK = 150
+ITEMS_PER_BLOCK = 300
 #: Bits of the set of the items' words, 16 MB whatever their number.
 SET_BITS = 27
 CHUNK_WORDS = 100_000
@@ -112,12 +112,20 @@ def _count(model):
     """(word, n): in how many documents of the task each word of the set occurs; null stands for all documents."""
 
     def run(batches):
-        bits, numbers, n = model.value, Numbers(), 0
+        bits, n, wanted = model.value, 0, {}
         counts: Counter = Counter()
         for pdf in batches:
             n += len(pdf)
+            if len(wanted) > MEMO_WORDS:
+                wanted.clear()
             for text in pdf["text"]:
-                counts.update(w for w in set(words_of(text)) if bits[(s := numbers[w] >> (64 - SET_BITS)) >> 3] >> (s & 7) & 1)
+                for w in set(words_of(text)):
+                    ok = wanted.get(w)
+                    if ok is None:
+                        s = number(w.encode("utf-8", "surrogatepass")) >> (64 - SET_BITS)
+                        ok = wanted[w] = bool(bits[s >> 3] >> (s & 7) & 1)
+                    if ok:
+                        counts[w] += 1
         if n:
             yield pd.DataFrame([*counts.items(), (None, n)], columns=["word", "n"])
 
