@@ -2,35 +2,34 @@
 
 from __future__ import annotations
 
-import difflib
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from corpuspark.operators.order import ranked
+
 
 def align(a: list[str], b: list[str], skip: float = 0.5) -> list[tuple[str, str]]:
-    """One-to-one alignment of least cost: 1 - similarity for a pair, `skip` for a sentence left out."""
-    n, m = len(a), len(b)
-    cost = [[0.0] * (m + 1) for _ in range(n + 1)]
-    step = [[""] * (m + 1) for _ in range(n + 1)]
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if not i and not j:
-                continue
-            options = []
-            if i and j:
-                options.append((cost[i - 1][j - 1] + 1 - difflib.SequenceMatcher(None, a[i - 1], b[j - 1]).ratio(), "both"))
-            if i:
-                options.append((cost[i - 1][j] + skip, "left"))
-            if j:
-                options.append((cost[i][j - 1] + skip, "right"))
-            cost[i][j], step[i][j] = min(options)
-    out, i, j = [], n, m
+    """One-to-one alignment of least cost by length: the difference in characters for a pair, `skip` times its length for a sentence left out.
+
+    Of equal costs a pair goes before leaving out a sentence of a, and that before one of b.
+    """
+    cost = np.zeros((len(a) + 1, len(b) + 1))
+    step = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int8)
+    left, right = np.array([len(x) for x in a], dtype=float), np.array([len(x) for x in b], dtype=float)
+    cost[1:, 0], cost[0, 1:] = np.cumsum(left) * skip, np.cumsum(right) * skip
+    step[1:, 0], step[0, 1:] = 1, 2
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            options = (cost[i - 1, j - 1] + abs(left[i - 1] - right[j - 1]), cost[i - 1, j] + left[i - 1] * skip, cost[i, j - 1] + right[j - 1] * skip)
+            step[i, j] = min(range(3), key=options.__getitem__)
+            cost[i, j] = options[step[i, j]]
+    out, i, j = [], len(a), len(b)
     while i or j:
-        if step[i][j] == "both":
-            out.append((a[i - 1], b[j - 1]))
+        if step[i, j] == 0:
             i, j = i - 1, j - 1
-        elif step[i][j] == "left":
+            out.append((a[i], b[j]))
+        elif step[i, j] == 1:
             i -= 1
         else:
             j -= 1
@@ -52,16 +51,16 @@ def aligned(pairs: DataFrame) -> DataFrame:
 
 
 def matched_by_length(left: DataFrame, right: DataFrame, key: str, length: str, width: int = 10) -> DataFrame:
-    """(left, right): rows of two tables paired by near length, each used at most once.
+    """(left, right, left_n, right_n): rows of two tables paired by near length, each used at most once.
 
-    Lengths are cut into bands of `width` and bands into buckets by hash, so no band, however full, is gathered; within a
-    bucket rows are paired in order of length. Greedy over a bounded pool, as sampling needs, not an optimal matching.
+    Lengths are cut into bands of `width`; within a band both sides are ranked by length and paired rank by rank, so of a
+    band the smaller side is used up. Ranks are made over range partitions: no band, however full, is gathered. Null
+    lengths have no partner.
     """
     sides = []
     for side, df in (("left", left), ("right", right)):
         rows = df.where(F.col(length).isNotNull()).select(F.col(key).alias(side), F.col(length).alias(f"{side}_n"), F.floor(F.col(length) / width).alias("band"))
-        sides.append(rows.withColumn("bucket", F.pmod(F.xxhash64(side), F.lit(64))))
-    from pyspark.sql.window import Window
-
-    ranked = [s.withColumn("rank", F.row_number().over(Window.partitionBy("band", "bucket").orderBy(f"{side}_n", side))) for side, s in zip(("left", "right"), sides)]
-    return ranked[0].join(ranked[1], ["band", "bucket", "rank"]).select("left", "right", "left_n", "right_n")
+        placed = ranked(rows, [], ["band", f"{side}_n", side])
+        firsts = placed.groupBy("band").agg(F.min("rank").alias("__first"))
+        sides.append(placed.join(firsts, "band").select(side, f"{side}_n", "band", (F.col("rank") - F.col("__first")).alias("place")))
+    return sides[0].join(sides[1], ["band", "place"]).select("left", "right", "left_n", "right_n")

@@ -8,8 +8,8 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window
 
 from corpuspark.functions import text as X
-from corpuspark.operators import classify, coverage, distance, frequency, order, records
-from corpuspark.plans.cards import _signed
+from corpuspark.operators import alignment, classify, coverage, distance, frequency, order, records
+from corpuspark.plans.cards import _ratio, _signed
 from corpuspark.plans.extras import FUNCTION_WORDS
 from corpuspark.plans.frequency import SIDES, TOKENS
 from corpuspark.plans.registry import query
@@ -467,3 +467,30 @@ def operation_telemetry(spark, d):
     t = F.col("operation_timestamp").cast("timestamp").cast("double")
     g = table(spark, d, "ingestion_operations").where("operation_timestamp is not null").groupBy("source_name")
     return g.agg(F.count(F.lit(1)).alias("operations"), F.count_if(F.col("status") != "success").alias("failed"), F.round((F.max(t) - F.min(t)) / F.nullif(F.count(F.lit(1)) - 1, F.lit(0)), 3).alias("mean_gap"))
+
+
+@query("""
+WITH r AS (SELECT doc_id, n_chars, lang, n_chars // 10 AS band, row_number() OVER (PARTITION BY lang, n_chars // 10 ORDER BY n_chars, doc_id) AS i FROM documents WHERE n_chars IS NOT NULL AND lang IN ('hyw', 'hye'))
+SELECT a.doc_id AS "left", b.doc_id AS "right", a.n_chars AS left_n, b.n_chars AS right_n FROM r a JOIN r b ON a.band = b.band AND a.i = b.i WHERE a.lang = 'hyw' AND b.lang = 'hye'
+""")
+def matched_lengths(spark, d):
+    """Documents of the two branches paired by near length, each once."""
+    docs = table(spark, d, "documents")
+    return alignment.matched_by_length(docs.where("lang = 'hyw'"), docs.where("lang = 'hye'"), "doc_id", "n_chars")
+
+
+@query()
+def aligned_sentences(spark, d):
+    """Sentences of matched documents aligned by length."""
+    docs = _docs(spark, d).select("doc_id", X.sentences(F.col("text"), "marks").alias("s"))
+    pairs = matched_lengths(spark, d).select(F.monotonically_increasing_id().alias("pair_id"), "left", "right")
+    sides = pairs.join(docs.select(F.col("doc_id").alias("left"), F.col("s").alias("a")), "left").join(docs.select(F.col("doc_id").alias("right"), F.col("s").alias("b")), "right")
+    return alignment.aligned(sides.select("pair_id", F.col("a").alias("left"), F.col("b").alias("right")))
+
+
+@query("SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '' AND {r} >= 0.5)) AS own, len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '' AND {r} < 0.5)) AS other FROM documents WHERE text IS NOT NULL".replace("{r}", _ratio("x")))
+def bilingual_lines(spark, d):
+    """Lines of either side of texts in two scripts."""
+    both = _docs(spark, d).select("doc_id", F.explode(F.array(X.bilingual(F.col("text")))).alias("b"))
+    count = lambda c: F.size(F.filter(F.split(c, "\n"), lambda x: F.trim(x) != "")).cast("bigint")
+    return both.select("doc_id", count("b.own").alias("own"), count("b.other").alias("other"))
