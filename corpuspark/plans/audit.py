@@ -177,6 +177,12 @@ def vector_neighbours(spark, d):
     return retrieval.within(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", "embedding", 1.15)
 
 
+@query()
+def vector_duplicates(spark, d):
+    """Vectors kept when earlier ones within a distance drop the later."""
+    return retrieval.kept_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", 0.9).withColumnRenamed("key", "vec_id")
+
+
 @query("SELECT source, count(*) AS documents, array_to_string(list_sort(list(doc_id))[1:3], ',') AS examples FROM documents WHERE n_chars IS NULL OR n_chars < 100 GROUP BY source")
 def short_documents(spark, d):
     short = _docs(spark, d).where("n_chars is null or n_chars < 100")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, morphology, text as X
-from corpuspark.operators import alignment, classify, dedup, distance, frequency, release
+from corpuspark.operators import alignment, classify, coverage, dedup, distance, frequency, records, release, retrieval
 from corpuspark.plans import audit
 from corpuspark.sources import readers
 from corpuspark.streaming import incremental
@@ -176,6 +176,55 @@ def test_readers(spark, tmp_path):
     assert [x.text.count("\n") + 1 for x in readers.grouped_lines(lines).orderBy("part").collect()] == [20, 20, 5]
 
 
+def test_more_readers(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<feed><entry><title>A</title><link rel='self' href='x'/><link href='http://a'/><published>2020-01-02T10:00:00Z</published></entry></feed>")
+    assert rows(readers.atom(spark, str(tmp_path / "a.xml")).selectExpr("title", "link", "cast(published as string)")) == [("A", "http://a", "2020-01-02")]
+    item = {"id": "i1", "isShownAt": "u", "sourceResource": {"title": ["T"], "creator": "C", "date": {"displayDate": "1900"}, "language": [{"name": "Armenian"}], "type": "text", "subject": [{"name": "History of art"}]}}
+    (tmp_path / "items.json").write_text(json.dumps(item) + "\n{broken\n")
+    got = readers.catalog_items(spark, str(tmp_path / "items.json")).collect()
+    assert [(x.item_id, x.title, x.creators, x.date, x.languages, x.category) for x in got] == [("i1", "T", ["C"], "1900", ["Armenian"], "history")]
+    (tmp_path / "s.xml").write_text("<r xmlns:oai_dc='o' xmlns:dc='d'><oai_dc:dc><dc:identifier>ark:1</dc:identifier><dc:title>T</dc:title><dc:language>arm</dc:language></oai_dc:dc></r>")
+    assert rows(readers.search_records(spark, str(tmp_path / "s.xml"))) == [("ark:1", "T", None, None, "arm")]
+    entries = [{"word": "տուն", "lang_code": "hy", "etymology_text": "old", "categories": ["Armenian terms inherited from Old Armenian", "Armenian terms inherited from Old Armenian", "Armenian terms borrowed from Persian"]}, {"word": "house", "lang_code": "en"}]
+    (tmp_path / "e.json").write_text("\n".join(map(json.dumps, entries)))
+    assert rows(readers.etymologies(spark, str(tmp_path / "e.json"))) == [("տուն", "old", ["inherited:Old Armenian", "borrowed:Persian"], 0.8)]
+    pairs = spark.createDataFrame([('[["a", "b"]]',), ('[{"western": "c", "eastern": "d", "confidence": 0.5}]',), ('{"pairs": [["e", "f"], ["g"]]}',)], "value string")
+    assert sorted((x.western, x.eastern) for x in readers.letter_pairs(pairs).collect()) == [("a", "b"), ("c", "d"), ("e", "f")]
+    (tmp_path / "r.jsonl").write_text("\n".join(json.dumps({"text": c * 120}) for c in "abc"))
+    first = readers.resumed_json_lines(spark, str(tmp_path / "r.jsonl"), most=1)
+    assert first.count() == 1 and readers.resumed_json_lines(spark, str(tmp_path / "r.jsonl"), first).count() == 2
+
+
+def test_vector_duplicates_against_every_pair(spark):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    v = r.standard_normal((150, 24))
+    v = np.concatenate((v, v[:60] + r.standard_normal((60, 24)) * 0.12))
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)] + [(999, None)], "id long, v array<double>")
+    want = {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if np.linalg.norm(v[i] - v[j]) <= 0.9}
+    got = {(x.a, x.b) for x in retrieval.near_vectors(df, "id", "v", 0.9).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want) and len(want) >= 55
+    kept = {x.key for x in retrieval.kept_vectors(df, "id", "v", 0.9).where("kept").collect()}
+    assert 150 <= len(kept) <= 160 and set(range(150)) <= kept
+    near = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.01]), (3, [0.0, 1.0])], "id long, v array<double>")
+    assert [(x.a, x.b) for x in retrieval.near_vectors(near, "id", "v", 0.01, angular=True).collect()] == [(1, 2)]
+
+
+def test_records_and_coverage(spark):
+    works = spark.createDataFrame([(1, "a", 1901, "book", True), (2, "b", 1902, "book", False), (3, None, None, None, False)], "work int, author string, year int, kind string, covered boolean").withColumn("words", F.lit(5))
+    found = coverage.gaps(works)
+    assert {(x.gap_type, x.name, x.priority) for x in found.collect()} == {("author", "b", "high")}
+    assert coverage.ranked_gaps(found, 5).count() == 1 and coverage.gaps(works.limit(0)).count() == 0
+    assert {(x.facet, x.value): (x.works, x.words) for x in coverage.inventory_summary(works).collect()}["all", "all"] == (3, 5)
+    profiles = spark.createDataFrame([("x", 1890, 1910, ["X Y"]), ("z", None, 1950, ["Z"])], "name string, first int, last int, variants array<string>")
+    assert [x.name for x in coverage.active_in(profiles, 1900, 1905).collect()] == ["x"] and [x.name for x in coverage.named(profiles, "y").collect()] == ["x"]
+    df = spark.createDataFrame([("", "fam", "xx", 2.0), ("t", None, None, 0.5)], "text string, source_family string, dialect string, wa_score double")
+    assert [x[0] for x in df.select(records.warnings(df)).collect()] == [["empty text", "unknown dialect: xx", "wa_score out of range"], ["empty source_family"]]
+    assert records.must_rebuild(None, {}, 1) and records.must_rebuild(records.signature({"a": 1}), {"a": 2}, 5) and not records.must_rebuild(records.signature({"a": 1, "b": 2}), {"b": 2, "a": 1}, 5)
+    assert one(spark, "x y", records.review_id(F.lit(""), F.col("t"), F.lit("b/c")))[0] == "x-y:b-c"
+
+
 def test_stream_equals_batch(spark, tmp_path):
     schema = "source string, text string"
     for i, data in enumerate([[("s", "բառ բառ")], [("s", "բառ նոր"), ("t", "նոր")]]):
