@@ -111,9 +111,14 @@ def sentences(text: Column, variant: str = "marks") -> Column:
     return F.filter(F.transform(F.split(text, pattern), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with the value made once however often it is used, also within lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingles(text: Column, k: int = 5) -> Column:
-    """Distinct runs of k characters; a shorter text is its own, an empty one has none."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(k)))
+    """Distinct runs of k characters; a shorter text is its own, an empty one has none. The characters are cut once, so long texts cost no more a run."""
+    runs = bound(F.split(text, ""), lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(c, i, k), "")))
     return F.when(text == "", F.array().cast("array<string>")).when(F.length(text) < k, F.array(text)).otherwise(F.array_distinct(runs))
 
 

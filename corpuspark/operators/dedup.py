@@ -57,10 +57,25 @@ def word_prints(df: DataFrame, key: str, text: str, profile: str = "any") -> Dat
     return tokens.select("key", word_shingles(F.col("words")).alias("set"))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _character_hashes(texts: pd.Series, k: pd.Series) -> pd.Series:
+    """Distinct 64-bit hashes of the runs of k characters of each text, over arrays of code points."""
+    import numpy as np
+
+    out = []
+    for text, n in zip(texts, k):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        h = np.zeros(max(1, len(codes) - n + 1), dtype=np.uint64)
+        for i in range(min(n, len(codes))):
+            h = (h ^ codes[i : i + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+        out.append(np.unique(h).view(np.int64))
+    return pd.Series(out)
+
+
 def character_prints(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
     """(key, set): hashes of the runs of k characters of each text; a shorter text is its own, an empty one has none."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.xxhash64(F.substring(F.col(text), i, F.lit(k))))
-    return df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("key"), F.array_distinct(runs).alias("set"))
+    return df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("key"), _character_hashes(F.col(text), F.lit(k)).alias("set"))
 
 
 def near_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", profile: str = "any", similarity: float = SIMILARITY) -> DataFrame:
