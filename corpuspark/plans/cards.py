@@ -9,11 +9,11 @@ from corpuspark.operators import classify, frequency
 from corpuspark.plans.frequency import TOKENS
 from corpuspark.plans.registry import query
 from corpuspark.plans.texts import CLASSIFIED, WORDS, _duck
-from corpuspark.session import broadcast_if_small, cut, table
+from corpuspark.session import broadcast_if_small, cut, spread, table
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").where("text is not null")
+    return spread(table(spark, d, "documents").where("text is not null"))
 
 
 def _with_words(spark, d, *others):

@@ -9,11 +9,11 @@ from corpuspark.functions import morphology, text as X
 from corpuspark.operators import correction, frequency, order
 from corpuspark.plans.registry import query
 from corpuspark.plans.frequency import TOKENS
-from corpuspark.session import broadcast_if_small, table
+from corpuspark.session import broadcast_if_small, spread, table
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").where("text is not null")
+    return spread(table(spark, d, "documents").where("text is not null"))
 
 
 def _or(c: str, other: str = "") -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuspark.operators import distance, frequency
 from corpuspark.plans.registry import query
-from corpuspark.session import table
+from corpuspark.session import spread, table
 
 TOKENS = "SELECT *, unnest(list_filter(regexp_extract_all(lower(text), '[Ա-Ֆա-ֆ]+'), lambda x: length(x) >= 2)) AS word FROM documents"
 WEIGHT = """CASE split_part(source, ':', 1) WHEN 'wikipedia' THEN 1.0 WHEN 'wikipedia_wa' THEN 1.0 WHEN 'wikipedia_ea' THEN 0.5 WHEN 'wikisource' THEN 1.0 WHEN 'newspaper' THEN 1.5
@@ -15,7 +15,7 @@ WEIGHT = """CASE split_part(source, ':', 1) WHEN 'wikipedia' THEN 1.0 WHEN 'wiki
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 @query(f"""

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from corpuspark.functions import metrics, text as X
 from corpuspark.operators import classify
 from corpuspark.plans.registry import query
-from corpuspark.session import table
+from corpuspark.session import spread, table
 
 WORDS = "list_filter(regexp_extract_all(lower(text), '[Ա-Ֆա-և]+'), lambda x: length(x) >= 2)"
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").where("text is not null")
+    return spread(table(spark, d, "documents").where("text is not null"))
 
 
 def _n(pattern: str, of: str = "text") -> str:

@@ -31,6 +31,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table read in few pieces spread over all cores before costly work; one of as many pieces as half the cores stays as it is.
+
+    For reads of files only: it looks at their planned pieces and runs nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < 2 * pieces <= cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with a short lineage, written to reliable storage so that a lost executor costs nothing."""
     checkpoint_dir(df.sparkSession)
