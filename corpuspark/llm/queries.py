@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuspark.llm import encoding_repair, language, leakage, main_content, mixing, scan_repair, site_lines, split_overlap, unicode_form
-from corpuspark.session import table
+from corpuspark.session import spread, table as read
+
+
+def table(spark, sf_dir, name):
+    """A table whose texts costly work waits for, spread over the cores if it is read in few pieces."""
+    return spread(read(spark, sf_dir, name)) if name in LARGE else read(spark, sf_dir, name)
+
+
+LARGE = ("documents", "document_records", "crawl_results", "newspaper_articles", "lexicon_entries")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

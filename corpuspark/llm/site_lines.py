@@ -58,7 +58,7 @@ def boilerplate(df: DataFrame, key: str = "article_id", source: str = "source_na
     blocks: (source, block, lines, documents, edges).
     Nulls in key, source or text give no rows; a row delivered twice counts once; an empty table gives empty results.
     """
-    lines = lines_of(df, key, source, text)
+    lines = cut(lines_of(df, key, source, text))  # split and hashed once, read twice
     nodes = lines.groupBy("source", "h1", "h2").agg(F.countDistinct("key").alias("documents")).where(F.col("documents") >= min_documents)
     nodes = cut(nodes.withColumn("node", F.xxhash64("source", "h1", "h2")))
     small = broadcast_if_small(nodes.select("source", "h1", "h2", "node"), BROADCAST_LINES)
