@@ -116,3 +116,29 @@ def stems(word: Column) -> Column:
 
 def word_class(word: Column) -> Column:
     return F.when(verb_class(word).isNotNull(), "verb").when(word.rlike("ութիւն$|ություն$|ութեան$"), "noun").when(word.rlike("ական$|ային$|եղէն$"), "adjective").otherwise("noun")
+
+
+# What makes a word hard to say, endings that count as affixes, and letters no vowel is written between.
+RARE_SOUNDS = {"ժ": 0.3, "ծ": 0.2, "ձ": 0.2, "ց": 0.2, "չ": 0.15, "թ": 0.15, "փ": 0.15, "ք": 0.15}
+AFFIXES = ("ագան", "ի", "է", "ներ")
+CONSONANTS = "բգդզթժլխծկհձղճմնշչպջռսվտրցւփքֆ"
+
+
+def noun_difficulty(word: Column, noun_class: str | None = None) -> Column:
+    """Difficulty of a noun: a base, its vowel nuclei, its class, and half of its rare sounds and its runs of consonants before a vowel."""
+    nuclei = F.greatest(F.lit(1), F.regexp_count(word, F.lit(f"ու|[{VOWELS}]")))
+    rare = F.least(F.lit(2.0), sum((w * F.regexp_count(word, F.lit(c)) for c, w in RARE_SOUNDS.items()), F.lit(0.0)))
+    runs = F.regexp_extract_all(word, F.lit(f"([{CONSONANTS}յ]{{2,}}+)(?=.)"), F.lit(1))
+    clusters = F.least(F.lit(1.5), F.aggregate(runs, F.lit(0.0), lambda a, x: a + 0.1 * F.length(x)))
+    return 1.0 + F.least(0.8 * nuclei, F.lit(3.0)) + (0.0 if noun_class in (None, "i_class") else 1.0) + 0.5 * rare + 0.5 * clusters
+
+
+def affix_score(word: Column) -> Column:
+    return sum((F.when(word.endswith(a) & (F.length(word) > len(a)), 0.3).otherwise(0.0) for a in AFFIXES), F.lit(0.0))
+
+
+def with_schwa(word: Column) -> Column:
+    """The unwritten vowel put in: before a leading ս with a stop, and between two consonants that no digraph ends."""
+    between = lambda x: F.regexp_replace(x, f"(?<=[{CONSONANTS}])(?<!ու)(?<!իւ)(?=[{CONSONANTS}])", "ը")
+    rest = between(F.substring(word, F.lit(3), F.length(word)))
+    return F.when(word.rlike("^ս[կպտք]"), F.concat(F.lit("ը"), F.substring(word, 1, 2), rest)).otherwise(between(word))

@@ -316,3 +316,40 @@ def first_tokens(text: Column, n: int) -> Column:
         lambda a: a["out"],
     )
     return F.when(F.size(sums) > 0, F.array_join(sums, " ")).otherwise(F.array_join(F.slice(F.split(F.trim(text), r"\s+"), 1, n), " "))
+
+
+# Titles before a name, and words that no name has.
+HONORIFICS = ("տէր", "տեր", "դոկտ", "տքթ", "դոկտոր", "վրդ", "mr", "mrs", "ms", "dr")
+NOT_NAMES = (
+    "այս", "այն", "այդ", "ասիկա", "անիկա", "ադիկա", "ամէն", "ամեն", "բոլոր", "շատ", "մէկ", "մեկ", "տղան", "տղաս", "հայրը", "մայրը", "եկեղեցին", "գիրքը", "վէպը", "վեպը", "պատմուածքը", "պատմվածքը", "բանաստեղծութիւնը", "բանաստեղծությունը",
+    "ուսուցիչը", "ուսուցիչներուն", "ժողովուրդը", "քաղաքը", "գիւղը", "գյուղը", "աշխարհը", "կեանքը", "կյանքը", "ժամանակը", "տունը", "կինը", "մարդը", "դուստրը", "որդին", "եղբայրը", "քոյրը", "քույրը", "մեր", "ձեր", "անոր", "անոնք", "մենք", "դուք", "ինք", "ինքն", "որոնք", "որոնց",
+)
+AROUND_NAMES = " \"'«»“”[]{}()<>.,;:!?։՝-"
+
+
+def plausible_name(name: Column) -> Column:
+    """Whether a text can be a person's name: up to four capitalised words of one script, titles aside, and at least two of them."""
+    clean = F.trim(F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"[\r\n\t]+", " "), F.lit(AROUND_NAMES)), r"\s+", " "))
+
+    def kinds(parts: Column) -> Column:
+        def kind(token: Column) -> Column:
+            bare = F.lower(F.regexp_replace(token, r"[^\p{L}\p{N}]+", ""))
+            own = F.trim(token, F.lit(AROUND_NAMES))
+            word = own.rlike(r"^(?:[Ա-Ֆ][^A-Za-z\d]*|[A-Z][^Ա-Ֆա-ֆ\d]*)$") & ~F.regexp_replace(own, "[A-Za-zԱ-Ֆա-ֆ]", "").rlike(r"\p{L}") & (F.length(own) > 1)
+            return (
+                F.when(bare == "", "bad").when(bare.isin(*HONORIFICS), "title").when(bare.isin(*NOT_NAMES), "bad")
+                .when(F.length(bare) == 1, F.when(token.endswith("."), "initial").otherwise("bad")).when(word, "word").otherwise("bad")
+            )
+
+        return F.transform(parts, kind)
+
+    found = kinds(F.split(clean, " "))
+    many = lambda k: F.size(F.filter(found, lambda x: x == k))
+    return F.length(clean).between(3, 40) & (F.size(found) <= 4) & (many("bad") == 0) & (many("word") >= 2)
+
+
+def page_language(armenian: Column, latin: Column, strict: float = 0.9, least: float = 0.35) -> Column:
+    """The recognition language of a page by its shares of two scripts: one that dominates, else the greater if it is enough, else both."""
+    return (
+        F.when(armenian >= strict, "hye").when(latin >= strict, "eng").when((latin > armenian) & (latin >= least), "eng").when((armenian > latin) & (armenian >= least), "hye").otherwise("hye+eng")
+    )

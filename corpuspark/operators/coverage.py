@@ -53,3 +53,14 @@ def named(profiles: DataFrame, name: str, fuzzy: bool = True) -> DataFrame:
     """Profiles one of whose variants has a name in it, or is it if not fuzzy; letter case doesn't count."""
     wanted = name.strip().lower()
     return profiles.where(F.exists("variants", lambda v: F.lower(v).contains(wanted) if fuzzy else F.lower(v) == wanted))
+
+
+# The years that generations of authors begin with.
+GENERATIONS = ((1870, "before 1870"), (1890, "1870 to 1889"), (1920, "1890 to 1919"), (1950, "1920 to 1949"), (1975, "1950 to 1974"))
+
+
+def generation(year: Column) -> Column:
+    out = F.when(year.isNull(), "unknown")
+    for end, name in GENERATIONS:
+        out = out.when(year < end, name)
+    return out.otherwise("from 1975")

@@ -7,8 +7,8 @@ import unicodedata
 from pyspark.sql import Column, functions as F
 from pyspark.sql.window import Window
 
-from corpuspark.functions import text as X
-from corpuspark.operators import alignment, classify, coverage, distance, frequency, order, records
+from corpuspark.functions import morphology, text as X
+from corpuspark.operators import alignment, classify, correction, coverage, distance, frequency, order, records
 from corpuspark.plans.cards import _ratio, _signed
 from corpuspark.plans.extras import FUNCTION_WORDS
 from corpuspark.plans.frequency import SIDES, TOKENS
@@ -494,3 +494,115 @@ def bilingual_lines(spark, d):
     both = _docs(spark, d).select("doc_id", F.explode(F.array(X.bilingual(F.col("text")))).alias("b"))
     count = lambda c: F.size(F.filter(F.split(c, "\n"), lambda x: F.trim(x) != "")).cast("bigint")
     return both.select("doc_id", count("b.own").alias("own"), count("b.other").alias("other"))
+
+
+C = morphology.CONSONANTS
+NUCLEI = f"greatest(1, len(regexp_extract_all(w, 'ու|[{morphology.VOWELS}]')))"
+RARE = " + ".join(f"{x} * length(regexp_replace(w, '[^{c}]', '', 'g'))" for c, x in morphology.RARE_SOUNDS.items())
+AFFIX = " + ".join(f"CASE WHEN suffix(w, '{a}') AND length(w) > {len(a)} THEN 0.3 ELSE 0.0 END" for a in morphology.AFFIXES)
+BETWEEN = f"array_to_string(list_transform(range(1, length({{r}}) + 1), lambda i: {{r}}[i] || CASE WHEN regexp_matches({{r}}[i], '[{C}]') AND regexp_matches({{r}}[i + 1], '[{C}]') AND NOT ({{r}}[i] = 'ւ' AND i > 1 AND {{r}}[i - 1] IN ('ո', 'ի')) THEN 'ը' ELSE '' END), '')"
+
+
+@query(f"""
+WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL)
+SELECT entry_id, round(1.0 + least(0.8 * {NUCLEI}, 3.0) + 0.5 * least(2.0, {RARE}) + 0.5 * least(1.5, coalesce(list_sum(list_transform(regexp_extract_all(w || '#', '([{C}յ]{{2,}})[^{C}յ#]', 1), lambda x: 0.1 * length(x))), 0.0)), 4) AS difficulty, round({AFFIX}, 4) AS affixes FROM l
+""")
+def word_difficulty(spark, d):
+    rows = table(spark, d, "lexicon_entries").where("lemma is not null").select("entry_id", F.lower("lemma").alias("w")).distinct()
+    return rows.select("entry_id", F.round(morphology.noun_difficulty(F.col("w")), 4).alias("difficulty"), F.round(morphology.affix_score(F.col("w")), 4).alias("affixes"))
+
+
+@query(f"""
+WITH l AS (SELECT DISTINCT entry_id, lower(lemma) AS w FROM lexicon_entries WHERE lemma IS NOT NULL)
+SELECT entry_id, CASE WHEN regexp_matches(w, '^ս[կպտք]') THEN 'ը' || left(w, 2) || {BETWEEN.format(r='substring(w, 3)')} ELSE {BETWEEN.format(r='w')} END AS spoken FROM l
+""")
+def spoken_lemmas(spark, d):
+    """Lemmas with the vowels that are said but not written."""
+    rows = table(spark, d, "lexicon_entries").where("lemma is not null").select("entry_id", F.lower("lemma").alias("w")).distinct()
+    return rows.select("entry_id", morphology.with_schwa(F.col("w")).alias("spoken"))
+
+
+@query(r"""
+WITH s AS (SELECT DISTINCT text_id, full_text AS t FROM archive_org_texts WHERE full_text IS NOT NULL),
+k AS (SELECT text_id, CASE WHEN length(regexp_replace(t, '[^\p{L}]', '', 'g')) > 0 THEN length(regexp_replace(t, '[^Ա-և]', '', 'g')) / length(regexp_replace(t, '[^\p{L}]', '', 'g')) ELSE 0.0 END AS a,
+ CASE WHEN length(regexp_replace(t, '[^\p{L}]', '', 'g')) > 0 THEN length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / length(regexp_replace(t, '[^\p{L}]', '', 'g')) ELSE 0.0 END AS b FROM s)
+SELECT text_id, CASE WHEN a >= 0.9 THEN 'hye' WHEN b >= 0.9 THEN 'eng' WHEN b > a AND b >= 0.35 THEN 'eng' WHEN a > b AND a >= 0.35 THEN 'hye' ELSE 'hye+eng' END AS language FROM k
+""".replace("\\\\", "\\"))
+def scan_languages(spark, d):
+    """The language each scan should be recognised in, by its scripts."""
+    rows = table(spark, d, "archive_org_texts").where("full_text is not null").select("text_id", F.col("full_text").alias("t")).distinct()
+    letters = F.regexp_count("t", F.lit(r"\p{L}"))
+    share = lambda p: X.share(F.regexp_count("t", F.lit(p)), letters)
+    return rows.select("text_id", X.page_language(share("[Ա-և]"), share("[A-Za-z]")).alias("language"))
+
+
+def _forms(t: str) -> str:
+    each = [f"CASE WHEN instr({t}, '{a}') > 0 THEN substring({t}, 1, instr({t}, '{a}') - 1) || '{b}' || substring({t}, instr({t}, '{a}') + 1) END" for pair in correction.CONFUSED for a, b in (pair, pair[::-1])]
+    return f"list_filter([{', '.join(each)}], lambda x: x IS NOT NULL)"
+
+
+@query(f"""
+WITH t AS (SELECT DISTINCT unnest(regexp_split_to_array(full_text, '[\\s]+')) AS token FROM archive_org_texts WHERE full_text IS NOT NULL), k AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[Ա-և]+')) AS word FROM documents WHERE text IS NOT NULL),
+o AS (SELECT token FROM t WHERE regexp_matches(token, '[԰-֏]') AND token NOT IN (SELECT word FROM k)), f AS (SELECT token, unnest({_forms('token')}) AS word FROM o)
+SELECT token, min(word) AS correction FROM f WHERE word IN (SELECT word FROM k) GROUP BY token HAVING count(*) = 1
+""".replace("\\\\", "\\"))
+def confusion_corrections(spark, d):
+    """Tokens of scans that are no word of the documents, and the one word that undoing a confusion makes of each."""
+    tokens = table(spark, d, "archive_org_texts").where("full_text is not null").select(F.explode(F.split("full_text", r"\s+")).alias("token"))
+    known = _docs(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit("[Ա-և]+"), F.lit(0))).alias("word")).distinct()
+    return correction.confusion_corrections(tokens, known)
+
+
+@query("""
+WITH p AS (SELECT author, min(try_cast(nullif(regexp_extract(publication_date, '(1[5-9]|20)[0-9]{2}'), '') AS INTEGER)) AS y FROM archive_org_texts WHERE author IS NOT NULL GROUP BY author)
+SELECT CASE WHEN y IS NULL THEN 'unknown' WHEN y < 1870 THEN 'before 1870' WHEN y < 1890 THEN '1870 to 1889' WHEN y < 1920 THEN '1890 to 1919' WHEN y < 1950 THEN '1920 to 1949' WHEN y < 1975 THEN '1950 to 1974' ELSE 'from 1975' END AS generation,
+ coalesce(CAST(y // 25 * 25 AS VARCHAR), 'unknown') AS quarter, count(*) AS authors FROM p GROUP BY ALL
+""")
+def author_generations(spark, d):
+    """Authors by generation and quarter of a century of their first text."""
+    year = F.nullif(F.regexp_extract("publication_date", r"(?:1[5-9]|20)\d{2}", 0), F.lit("")).cast("int")
+    p = table(spark, d, "archive_org_texts").where("author is not null").groupBy("author").agg(F.min(year).alias("y"))
+    quarter = F.coalesce((F.floor(F.col("y") / 25) * 25).cast("string"), F.lit("unknown"))
+    return p.groupBy(coverage.generation(F.col("y")).alias("generation"), quarter.alias("quarter")).agg(F.count(F.lit(1)).alias("authors"))
+
+
+@query(f"""
+WITH m AS (SELECT * FROM text_metadata), r AS (SELECT document_id, min(text) AS text, min(source_family) AS source_family FROM document_records WHERE text IS NOT NULL GROUP BY document_id),
+t AS (SELECT unnest(list_filter(regexp_extract_all(lower(text), '[Ա-Ֆա-ֆ]+'), lambda x: length(x) >= 2)) AS word, r.source_family, m.internal_language_branch AS branch, m.region, m.writing_category, regexp_extract(m.publication_date, '(19|20)[0-9]{{2}}') AS year FROM r JOIN m USING (document_id)),
+f AS (SELECT 'source' AS facet, source_family AS facet_value, word FROM t UNION ALL SELECT 'branch', branch, word FROM t UNION ALL SELECT 'region', region, word FROM t UNION ALL SELECT 'category', writing_category, word FROM t UNION ALL SELECT 'year', year, word FROM t)
+SELECT facet, facet_value, count(DISTINCT word) AS different, count(*) AS words FROM f WHERE facet_value IS NOT NULL AND facet_value <> '' GROUP BY ALL
+""")
+def record_facets(spark, d):
+    """Words of the records along five facets, by facet value."""
+    r = table(spark, d, "document_records").where("text is not null").groupBy("document_id").agg(F.min("text").alias("text"), F.min("source_family").alias("source_family"))
+    m = table(spark, d, "text_metadata").select("document_id", F.col("internal_language_branch").alias("branch"), "region", "writing_category", F.regexp_extract("publication_date", r"(19|20)[0-9]{2}", 0).alias("year"))
+    values = {"source": F.col("source_family"), "branch": F.col("branch"), "region": F.col("region"), "category": F.col("writing_category"), "year": F.col("year")}
+    words = frequency.facets(r.join(m, "document_id"), values)
+    return words.groupBy("facet", "facet_value").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("words"))
+
+
+EXPORTED = ("title", "source_url", "content_hash", "internal_language_code", "internal_language_branch", "split")
+METADATA = ("source_type", "source_language_code", "dialect_subcategory", "extraction_date", "publication_date", "region", "source_name", "content_type", "writing_category", "processor_version")
+
+
+@query(f"""
+WITH r AS (SELECT DISTINCT document_id, source_family, text, {', '.join(EXPORTED)} FROM document_records WHERE coalesce(text, '') <> '')
+SELECT r.document_id, coalesce(nullif(source_family, ''), 'unknown') AS source_family, r.text, {', '.join(f"coalesce(nullif(r.{c}, ''), '') AS {c}" for c in EXPORTED)}, {', '.join(f"coalesce(nullif(m.{c}, ''), '') AS {c}" for c in METADATA)},
+ length(r.text) AS char_count, len(regexp_extract_all(r.text, '\\S+')) AS word_count, coalesce(m.confidence_region, 0.0) AS confidence_region, m.document_id IS NOT NULL AS has_metadata FROM r LEFT JOIN text_metadata m USING (document_id)
+""".replace("\\\\", "\\"))
+def exported_records(spark, d):
+    """Records with text and their metadata as flat rows of 23 columns; blanks count as missing."""
+    r = table(spark, d, "document_records").where("coalesce(text, '') <> ''").select("document_id", "source_family", "text", *EXPORTED).distinct()
+    m = table(spark, d, "text_metadata").select("document_id", *METADATA, "confidence_region", F.lit(True).alias("has_metadata"))
+    rows = r.join(m, "document_id", "left")
+    blank = lambda c, other="": F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(other)).alias(c)
+    return rows.select(
+        "document_id", blank("source_family", "unknown"), "text", *[blank(c) for c in (*EXPORTED, *METADATA)], F.length("text").cast("bigint").alias("char_count"),
+        F.regexp_count("text", F.lit(r"\S+")).cast("bigint").alias("word_count"), F.coalesce("confidence_region", F.lit(0.0)).alias("confidence_region"), F.coalesce("has_metadata", F.lit(False)).alias("has_metadata"),
+    )
+
+
+@query()
+def plausible_authors(spark, d):
+    """Authors as written, and whether they can be names."""
+    return table(spark, d, "archive_org_texts").where("author is not null").select("author").distinct().select("author", X.plausible_name(F.col("author")).alias("plausible"))

@@ -196,14 +196,14 @@ def review_queue(spark, d):
 WITH c AS (SELECT lang, label FROM ({CLASSIFIED}) WHERE lang IN ('hyw', 'hye')),
 k AS (SELECT count(*) FILTER (lang = 'hyw' AND label = 'likely_western') AS tp, count(*) FILTER (lang = 'hye' AND label = 'likely_western') AS fp,
  count(*) FILTER (lang = 'hyw' AND label <> 'likely_western') AS fn, count(*) FILTER (lang = 'hye' AND label <> 'likely_western') AS tn FROM c)
-SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall FROM k
+SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM k
 """)
 def classifier_evaluation(spark, d):
     c = _classified(spark, d).where("lang in ('hyw', 'hye')")
     is_w, said = F.col("lang") == "hyw", F.col("label") == "likely_western"
     k = c.agg(F.count_if(is_w & said).alias("tp"), F.count_if(~is_w & said).alias("fp"), F.count_if(is_w & ~said).alias("fn"), F.count_if(~is_w & ~said).alias("tn"))
     part = lambda a, b: F.round(F.col(a) / F.nullif(F.col(a) + F.col(b), F.lit(0)), 6)
-    return k.select("tp", "fp", "fn", "tn", part("tp", "fp").alias("precision"), part("tp", "fn").alias("recall"))
+    return k.select("tp", "fp", "fn", "tn", part("tp", "fp").alias("precision"), part("tp", "fn").alias("recall"), F.round(2 * F.col("tp") / F.nullif(2 * F.col("tp") + F.col("fp") + F.col("fn"), F.lit(0)), 6).alias("f1"))
 
 
 RULE_ROWS = ", ".join(f"('{r.rule_id}', '{r.branch}', CAST({r.weight} AS DOUBLE), '{_duck(r.pattern)}')" for r in classify.RULES)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, morphology, text as X
-from corpuspark.operators import alignment, classify, coverage, dedup, distance, frequency, records, release, retrieval
+from corpuspark.operators import correction, alignment, classify, coverage, dedup, distance, frequency, records, release, retrieval
 from corpuspark.plans import audit
 from corpuspark.sources import readers
 from corpuspark.streaming import incremental
@@ -225,6 +225,19 @@ def test_records_and_coverage(spark):
     assert one(spark, "x y", records.review_id(F.lit(""), F.col("t"), F.lit("b/c")))[0] == "x-y:b-c"
 
 
+def test_names_languages_and_corrections(spark):
+    t = F.col("t")
+    names = {"Զարինէ Տափախատեան": True, "Dr. Jane Doe": True, "Jane": False, "այս Գիրքը": False, "J. Doe": False, "Anna Տափախատեան": True, "Annaա Doe": False, "Jane 2 Doe": False, "": False, "A B C D E": False}
+    assert {k: one(spark, k, X.plausible_name(t))[0] for k in names} == names
+    assert one(spark, None, X.plausible_name(t))[0] is False
+    assert [one(spark, "", X.page_language(F.lit(a), F.lit(b)))[0] for a, b in ((0.95, 0.0), (0.5, 0.4), (0.2, 0.5), (0.2, 0.2))] == ["hye", "hye", "eng", "hye+eng"]
+    words = spark.createDataFrame([("պահել",), ("հոն",)], "word string")
+    tokens = spark.createDataFrame([("պաճել",), ("պահել",), ("abc",), (None,), ("ճոն",)], "token string")
+    assert rows(correction.confusion_corrections(tokens, words)) == [("ճոն", "հոն"), ("պաճել", "պահել")]
+    assert correction.confusion_corrections(tokens.limit(0), words).count() == 0
+    assert [one(spark, w, morphology.with_schwa(t))[0] for w in ("սկիզբ", "գիրք", "բուն")] == ["ըսկիզըբ", "գիրըք", "բուն"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     schema = "source string, text string"
     for i, data in enumerate([[("s", "բառ բառ")], [("s", "բառ նոր"), ("t", "նոր")]]):
