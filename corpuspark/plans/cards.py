@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, text as X
-from corpuspark.operators import classify, frequency
+from corpuspark.operators import classify, clustering, frequency
 from corpuspark.plans.frequency import TOKENS
 from corpuspark.plans.registry import query
 from corpuspark.plans.texts import CLASSIFIED, WORDS, _duck
@@ -252,3 +252,16 @@ SELECT doc_id, 'hy' AS code, CASE label WHEN 'likely_western' THEN 'hye-w' WHEN
 def internal_tags(spark, d):
     c = classify.classified(_docs(spark, d).select("doc_id", "text"))
     return c.select("doc_id", classify.internal_tags(F.col("label")).alias("t"), classify.variant(F.col("label")).alias("corrector")).select("doc_id", "t.code", "t.branch", "corrector")
+
+
+@query()
+def text_clusters(spark, d):
+    """Density clusters of the texts by ten features of their cards, every text in one or in none."""
+    w, t = F.col("w"), F.col("text")
+    n = F.greatest(F.size(w), F.lit(1))
+    ends = lambda s: metrics.how_many(w, lambda x: F.endswith(x, F.lit(s))) / n
+    features = F.array(
+        metrics.ttr(w), metrics.sttr(w), F.log1p(F.size(w)), metrics.spelling_score(t), ends("եմ"), ends("ում"), ends("եան"), ends("ութիւն"),
+        metrics.how_many(w, lambda x: x.isin(*metrics.PRONOUNS)) / n, F.aggregate(w, F.lit(0.0), lambda a, x: a + F.length(x)) / n,
+    )
+    return clustering.clustered(_with_words(spark, d).select("doc_id", features.alias("f")), "doc_id", "f", dimensions=2)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuspark.functions import metrics, morphology, text as X
-from corpuspark.operators import correction, alignment, classify, coverage, dedup, distance, frequency, records, release, retrieval
+from corpuspark.operators import clustering, correction, alignment, classify, coverage, dedup, distance, frequency, records, release, retrieval
 from corpuspark.plans import audit
 from corpuspark.sources import readers
 from corpuspark.streaming import incremental
@@ -238,6 +238,18 @@ def test_names_languages_and_corrections(spark):
     assert [one(spark, w, morphology.with_schwa(t))[0] for w in ("սկիզբ", "գիրք", "բուն")] == ["ըսկիզըբ", "գիրըք", "բուն"]
 
 
+def test_clusters_of_every_row(spark):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    v = np.concatenate([r.normal(c, 0.1, (60, 3)) for c in (0, 4)] + [np.array([[20.0, -20.0, 9.0]])])
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)] + [(900, None)], "id long, f array<double>")
+    for rows_used in (500, 60):
+        got = {x.id: x.cluster for x in clustering.clustered(df, "id", "f", eps=0.3, least=4, rows=rows_used).collect()}
+        assert len(got) == 121 and got[120] == -1 and len({got[i] for i in range(60)}) == 1 and len({got[i] for i in range(60, 120)}) == 1 and got[0] != got[60]
+    assert clustering.clustered(df.limit(0), "id", "f").count() == 0
+
+
 def test_stream_equals_batch(spark, tmp_path):
     schema = "source string, text string"
     for i, data in enumerate([[("s", "բառ բառ")], [("s", "բառ նոր"), ("t", "նոր")]]):
