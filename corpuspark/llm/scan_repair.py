@@ -15,6 +15,7 @@ from __future__ import annotations
 import difflib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -141,7 +142,7 @@ class Likeness:
         done: dict[str, str] = {}
         for i, key in keys.items():
             if key not in done:
-                hashes = np.array([hash(x) & 0xFFFFFFFF for x in self._runs(key)], dtype=np.uint64)
+                hashes = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in self._runs(key)], dtype=np.uint64)
                 bands = list(enumerate(((hashes[:, None] * _FACTORS[None, :]) & np.uint64(0xFFFFFFFF)).min(axis=0).tolist()))
                 found = dict.fromkeys(x for band in bands for x in leads[band])
                 done[key] = next((x for x in found if self(key, x)), key)
@@ -159,7 +160,11 @@ class Likeness:
             for run in self._runs(x):
                 holders[run].append(x)
 
+        lengths = {n for x in heads for n in range(int(0.8 * len(x)), int(len(x) / 0.8) + 2)}
+
         def near(key: str) -> bool:
+            if len(key) not in lengths:
+                return False
             votes = Counter(x for run in self._runs(key) for x in holders.get(run, ()))
             return any(n >= 0.35 * min(len(self._runs(key)), len(self._runs(x))) and self(key, x) for x, n in votes.most_common())
 

@@ -68,7 +68,7 @@ class _Summed:
             return pd.DataFrame({"slice": [pdf["slice"].iat[0]], "task": [pdf["task"].iat[0]], "counts": [self.packed(total.astype(dtype))]})
 
         out = np.zeros((self.SLICES, size // self.SLICES), dtype=dtype)
-        for r in rows.groupBy("slice", "task").applyInPandas(run, self.KIND).groupBy("slice").applyInPandas(run, self.KIND).toLocalIterator():
+        for r in rows.groupBy("slice", "task").applyInPandas(run, self.KIND).groupBy("slice").applyInPandas(run, self.KIND).collect():  # of fixed size
             out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=dtype)
         return out.reshape(-1)
 
