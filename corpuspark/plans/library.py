@@ -13,6 +13,7 @@ from corpuspark.plans.cards import _ratio, _signed
 from corpuspark.plans.extras import FUNCTION_WORDS
 from corpuspark.plans.frequency import SIDES, TOKENS
 from corpuspark.plans.registry import query
+from corpuspark.plans.texts import CLASSIFIED
 from corpuspark.session import broadcast_if_small, cut, table
 
 
@@ -606,3 +607,50 @@ def exported_records(spark, d):
 def plausible_authors(spark, d):
     """Authors as written, and whether they can be names."""
     return table(spark, d, "archive_org_texts").where("author is not null").select("author").distinct().select("author", X.plausible_name(F.col("author")).alias("plausible"))
+
+
+@query("""
+WITH a AS (SELECT article_id, content, content_sha1, row_number() OVER (PARTITION BY content_sha1 ORDER BY article_id, scraped_timestamp) AS i FROM newspaper_articles)
+SELECT CASE WHEN coalesce(trim(content), '') = '' OR content_sha1 IS NULL THEN 'error' WHEN i > 1 THEN 'duplicate' ELSE 'inserted' END AS outcome, count(*) AS rows FROM a GROUP BY 1
+""")
+def insert_outcomes(spark, d):
+    """What becomes of articles put in one by one: without text they fail, with a hash already there they are skipped."""
+    a = table(spark, d, "newspaper_articles")
+    bad = (F.coalesce(F.trim("content"), F.lit("")) == "") | F.col("content_sha1").isNull()
+    each = a.where(F.col("content_sha1").isNotNull()).groupBy("content_sha1").agg(F.count(F.lit(1)).alias("n"), F.count_if(~bad).alias("good"), F.min_by(bad, F.struct("article_id", "scraped_timestamp")).alias("first_bad"))
+    # the first of a hash is in, the rest are duplicates; rows without text fail wherever they stand
+    split = each.agg(F.coalesce(F.sum(F.when(~F.col("first_bad"), 1).otherwise(0)), F.lit(0)).alias("inserted"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
+    total = split.crossJoin(a.agg(F.count_if(bad).alias("error")))
+    cells = F.array(*[F.struct(F.lit(k).alias("outcome"), v.cast("bigint").alias("rows")) for k, v in (("error", F.col("error")), ("inserted", F.col("inserted")), ("duplicate", F.col("good") - F.col("inserted")))])
+    return total.select(F.explode(cells).alias("x")).select("x.*").where("rows > 0")
+
+
+@query(f"""
+WITH c AS (SELECT * FROM ({CLASSIFIED}) WHERE western + eastern + classical <> 0),
+r AS (SELECT doc_id, label, confidence, CASE WHEN label = 'inconclusive' THEN 'inconclusive' WHEN confidence < 0.35 THEN 'low_confidence' WHEN abs(western - eastern) < 2.0 THEN 'small_margin' END AS reason FROM c)
+SELECT doc_id, reason, CASE reason WHEN 'inconclusive' THEN 1 WHEN 'low_confidence' THEN 2 ELSE 3 END AS priority FROM r WHERE reason IS NOT NULL ORDER BY priority, doc_id LIMIT 50
+""")
+def review_listing(spark, d):
+    """The first fifty texts to review, by reason, then by number."""
+    c = classify.classified(_docs(spark, d).select("doc_id", "text")).where("western + eastern + classical <> 0")
+    reason = F.when(F.col("label") == "inconclusive", "inconclusive").when(F.col("confidence") < 0.35, "low_confidence").when(F.abs(F.col("western") - F.col("eastern")) < 2.0, "small_margin")
+    priority = F.when(F.col("reason") == "inconclusive", 1).when(F.col("reason") == "low_confidence", 2).otherwise(3)
+    return c.select("doc_id", reason.alias("reason")).where("reason is not null").select("doc_id", "reason", priority.alias("priority")).orderBy("priority", "doc_id").limit(50)
+
+
+@query(f"""
+WITH t AS ({TOKENS}), c AS (SELECT lang, word, count(*) AS n FROM t WHERE lang IS NOT NULL GROUP BY ALL), p AS (SELECT lang, word, n, n / sum(n) OVER (PARTITION BY lang) AS p FROM c),
+k AS (SELECT a.lang AS first, b.lang AS second, sum(a.p * log2(2 * a.p / (a.p + b.p)) + b.p * log2(2 * b.p / (a.p + b.p))) AS s, sum(a.p) AS sa, sum(b.p) AS sb FROM p a JOIN p b ON a.word = b.word GROUP BY ALL),
+l AS (SELECT DISTINCT lang FROM c)
+SELECT x.lang AS first, y.lang AS second, round(greatest(0.0, (coalesce(s, 0) + 1 - coalesce(sa, 0) + 1 - coalesce(sb, 0)) / 2), 6) AS js FROM l x CROSS JOIN l y LEFT JOIN k ON k.first = x.lang AND k.second = y.lang
+""")
+def tag_distances(spark, d):
+    """Jensen-Shannon distance of the word shares of every ordered pair of tags, each with itself too; only words of both need to meet."""
+    c = cut(frequency.word_counts(_docs(spark, d).where("lang is not null"), ["lang"]))
+    p = c.join(F.broadcast(c.groupBy("lang").agg(F.sum("n").alias("all"))), "lang").select("lang", "word", (F.col("n") / F.col("all")).alias("p"))
+    a, b = p.select(F.col("lang").alias("first"), "word", "p"), p.select(F.col("lang").alias("second"), "word", F.col("p").alias("q"))
+    both = F.col("p") * F.log2(2 * F.col("p") / (F.col("p") + F.col("q"))) + F.col("q") * F.log2(2 * F.col("q") / (F.col("p") + F.col("q")))
+    shared = a.join(b, "word").groupBy("first", "second").agg(F.sum(both).alias("s"), F.sum("p").alias("sa"), F.sum("q").alias("sb"))
+    tags = cut(c.select("lang").distinct())
+    every = tags.select(F.col("lang").alias("first")).crossJoin(F.broadcast(tags.select(F.col("lang").alias("second")))).join(shared, ["first", "second"], "left").fillna(0.0)
+    return every.select("first", "second", F.round(F.greatest(F.lit(0.0), (F.col("s") + 2 - F.col("sa") - F.col("sb")) / 2), 6).alias("js"))

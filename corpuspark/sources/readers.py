@@ -66,6 +66,36 @@ def grouped_lines(texts: DataFrame, least: int = 30, size: int = 20) -> DataFram
     return texts.where(F.size(lines) > 0).select("path", F.posexplode(parts).alias("part", "text"))
 
 
+def zipped_lines(spark: SparkSession, path: str, least: int = 30, size: int = 20) -> DataFrame:
+    """(path, part, text): `size` consecutive lines of at least `least` characters per document, of the text files in zip archives.
+
+    An archive is opened where it is read and its lines leave it in groups, so no whole text is held.
+    """
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            for where, content in zip(pdf["path"], pdf["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for name in sorted(n for n in archive.namelist() if not n.endswith("/") and not n.upper().endswith(("README", "LICENSE", ".XML"))):
+                        out, lines = [], []
+                        with archive.open(name) as member:
+                            for line in io.TextIOWrapper(member, "utf-8", errors="replace"):
+                                if len(line := line.strip()) >= least:
+                                    lines.append(line)
+                                if len(lines) == size:
+                                    out.append((f"{where}#{name}", len(out), "\n".join(lines)))
+                                    lines = []
+                        out += [(f"{where}#{name}", len(out), "\n".join(lines))] if lines else []
+                        yield pd.DataFrame(out, columns=["path", "part", "text"]) if out else pd.DataFrame({"path": pd.Series(dtype=object), "part": pd.Series(dtype="int64"), "text": pd.Series(dtype=object)})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    return files.select("path", "content").mapInPandas(run, "path string, part bigint, text string")
+
+
 def binaries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 

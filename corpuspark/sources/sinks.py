@@ -39,3 +39,20 @@ def upsert_table(incoming: DataFrame, path: str, keys: list[str], version: int)
     stamped = incoming.withColumn("updated_at", F.current_timestamp())
     rows = upsert(spark.read.parquet(f"{path}/v={version - 1:06d}"), stamped, keys) if version else stamped
     rows.write.mode("overwrite").parquet(f"{path}/v={version:06d}")
+
+
+def write_dashboard(counts: DataFrame, path: str, title: str = "Corpus") -> None:
+    """A page with one row per source of (source, documents, latest), largest first, written as text; made of aggregated rows only."""
+    cell = lambda c: F.concat(F.lit("<td>"), F.replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</td>"))
+    rows = counts.orderBy(F.desc("documents"), "source").select(F.concat(F.lit("<tr>"), *[cell(c) for c in ("source", "documents", "latest")], F.lit("</tr>")).alias("row"))
+    body = rows.agg(F.array_join(F.collect_list("row"), "\n").alias("rows"))
+    page = F.concat(F.lit(f"<html><head><meta charset='utf-8'><title>{title}</title></head><body><table>\n<tr><th>source</th><th>documents</th><th>latest</th></tr>\n"), "rows", F.lit("\n</table></body></html>"))
+    body.select(page.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def with_updates(existing: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+    """`existing` with the fields that `updates` has and that aren't null there; keys not in `existing` are left out."""
+    fields = [c for c in updates.columns if c not in keys]
+    new = updates.groupBy(*keys).agg(*[F.max(c).alias(f"__{c}") for c in fields])
+    rows = existing.join(new, keys, "left")
+    return rows.select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in existing.columns])

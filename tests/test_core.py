@@ -250,6 +250,24 @@ def test_clusters_of_every_row(spark):
     assert clustering.clustered(df.limit(0), "id", "f").count() == 0
 
 
+def test_archives_pages_and_updates(spark, tmp_path):
+    import zipfile
+
+    from corpuspark.sources import sinks
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.txt", "\n".join(["y" * 30] * 45 + ["short"]))
+        z.writestr("empty.txt", "")
+        z.writestr("README", "z" * 50)
+    got = readers.zipped_lines(spark, str(tmp_path / "a.zip")).orderBy("part").collect()
+    assert [x.text.count("\n") + 1 for x in got] == [20, 20, 5] and all(x.path.endswith("a.zip#x.txt") for x in got)
+    sinks.write_dashboard(spark.createDataFrame([("a<b", 2, None), ("c", 5, "2020")], "source string, documents int, latest string"), str(tmp_path / "page"))
+    page = "\n".join(x.value for x in spark.read.text(str(tmp_path / "page")).collect())
+    assert "a&lt;b" in page and page.index("<td>c</td>") < page.index("a&lt;b")
+    old = spark.createDataFrame([(1, "x", "y"), (2, None, "z")], "id int, a string, b string")
+    assert rows(sinks.with_updates(old, spark.createDataFrame([(2, "new"), (3, "gone"), (1, None)], "id int, a string"), ["id"])) == [(1, "x", "y"), (2, "new", "z")]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     schema = "source string, text string"
     for i, data in enumerate([[("s", "բառ բառ")], [("s", "բառ նոր"), ("t", "նոր")]]):
