@@ -8,8 +8,14 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch that Python works on: words as objects take some ten times that.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables of a scale directory."""
+    """One of the input tables of a scale directory. Batches for Python are bounded by bytes unless the session sets its own bound."""
+    if spark.conf.get(BATCH_BYTES[0], None) in (None, "67108864b"):  # not set by the session
+        spark.conf.set(*BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
