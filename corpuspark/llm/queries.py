@@ -59,6 +59,14 @@ SELECT DISTINCT article_id, line_no FROM keyed JOIN often USING (source_name, k)
 """
 
 
+SQL["p1_clean"] = (
+    "WITH found AS (" + SQL["p1_found"] + r"""), d AS (SELECT DISTINCT article_id, content FROM newspaper_articles), g AS (SELECT article_id, list(line_no) AS gone FROM found GROUP BY article_id),
+k AS (SELECT d.article_id, gone, array_to_string(list_filter(string_split(content, chr(10)), lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), chr(10)) AS t FROM d LEFT JOIN g USING (article_id))
+SELECT article_id, regexp_replace(trim(regexp_replace(t, '\n[ \t]*(\n[ \t]*)+\n', chr(10) || chr(10), 'g'), ' '), '^\n+|\n+$', '', 'g') AS content, CAST(coalesce(len(gone), 0) AS INTEGER) AS removed FROM k
+"""
+)
+
+
 def _unified(spark, sf_dir):
     records = table(spark, sf_dir, "document_records").select(F.lit("document_records").alias("table_name"), F.col("document_id").alias("record_key"), "text")
     lemmas = table(spark, sf_dir, "lexicon_entries").select(F.lit("lexicon_entries").alias("table_name"), F.col("entry_id").alias("record_key"), F.col("lemma").alias("text"))
