@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpuspark.functions import text as X
+from corpuspark.functions.metrics import mean
 from corpuspark.plans.registry import query
 from corpuspark.operators.retrieval import nearest
 from corpuspark.session import broadcast_if_small, table
@@ -28,8 +29,8 @@ SELECT a.*, l.dialect_label AS dominant FROM a LEFT JOIN l ON a.domain = l.domai
 def crawl_audit(spark, d):
     p = _pages(spark, d)
     a = p.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("status_code") == 200).alias("fetched"), F.round(F.avg("armenian_char_ratio"), 4).alias("mean_ratio"),
-        F.round(F.avg("wa_score"), 4).alias("mean_score"), F.min("url").alias("first_url"),
+        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("status_code") == 200).alias("fetched"), mean(F.col("armenian_char_ratio"), 4).alias("mean_ratio"),
+        mean(F.col("wa_score"), 4).alias("mean_score"), F.min("url").alias("first_url"),
     )
     labels = p.where("dialect_label is not null").groupBy("domain", "dialect_label").agg(F.count(F.lit(1)).alias("n"))
     best = labels.groupBy("domain").agg(F.min_by("dialect_label", F.struct(-F.col("n"), F.col("dialect_label"))).alias("dominant"))

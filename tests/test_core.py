@@ -430,3 +430,37 @@ def test_ranks_and_running_sums_over_partitions(spark):
     assert got == {k: (x, total[k[0]]) for k, x in want.items()}
     ranks = {x.v: x["rank"] for x in order.ranked(df, ["n"], ["v"]).collect()}
     assert ranks == {v: i for i, (_, v) in enumerate(sorted((-n, v) for _, v, n in data), 1)}
+
+
+def test_crawl_audit_means_in_any_order(spark, tmp_path):
+    import math
+    import random
+
+    from corpuspark.plans.catalog import QUERIES, SQL
+
+    duckdb = pytest.importorskip("duckdb")
+    r = random.Random(5)
+    odd = {"ties": [0.00015, 0.00015], "none": [None, None], "nan": [math.nan, 0.5], "endless": [math.inf, 0.5], "huge": [1e300, 1e300], "below": [-0.0001, -0.0002], "tiny": [5e-324, 1e-20], "some": [None, 0.25]}
+    pairs = odd | {f"p{i}": [r.randrange(99999) / 10000 for _ in range(2)] for i in range(300)}  # two addends: SQL has one sum whatever the order
+    many = {f"m{i}": [r.randrange(99999) / 10000 for _ in range(16)] for i in range(300)}
+
+    def pages(domains):
+        return [(f"{d}/{i}", d, 200, "x", v, v, None, True) for d, values in domains.items() for i, v in enumerate(values)]
+
+    def audited(data, parts):
+        kind = "url string, domain string, status_code int, text string, armenian_char_ratio double, wa_score double, dialect_label string, robots_allowed boolean"
+        where = tmp_path / f"{len(data)}_{parts}"
+        spark.createDataFrame(data, kind).repartition(parts).write.parquet(str(where / "crawl_results.parquet"))
+        return where, {x.domain: (repr(x.mean_ratio), repr(x.mean_score)) for x in QUERIES["crawl_audit"](spark, str(where)).collect()}
+
+    where, got = audited(pages(pairs), 1)
+    con = duckdb.connect()
+    con.sql(f"create view crawl_results as select * from '{where}/crawl_results.parquet/*.parquet'")
+    want = con.sql(f"select domain, mean_ratio, mean_score from ({SQL['crawl_audit']})").fetchall()
+    assert got == {d: (repr(a), repr(b)) for d, a, b in want}
+    assert got["ties"][0] == "0.0001" and got["none"][0] == "None" and got["nan"][0] == "nan"
+    data = pages(many)
+    r.shuffle(data)
+    exact = {d: repr(math.floor(math.fsum(v) / len(v) * 1e4 + 0.5) / 1e4) for d, v in many.items()}
+    for parts in (1, 5):
+        assert audited(data, parts)[1] == {d: (x, x) for d, x in exact.items()}
