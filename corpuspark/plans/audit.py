@@ -141,8 +141,9 @@ def near_duplicate_pairs(spark, d):
 @query()
 def character_duplicates(spark, d):
     """Near duplicates by runs of five characters and 128 permutations: what is kept of the texts in order."""
-    prints = dedup.character_prints(spread(_docs(spark, d)), "doc_id", "text")
-    members, pairs = dedup.near_classes(prints, dedup.CHARACTER_SIMILARITY, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS)
+    docs = _docs(spark, d)
+    prints, again = dedup.character_prints(spread(docs), "doc_id", "text"), lambda keys: dedup.character_prints(dedup.chosen(docs, "doc_id", keys), "doc_id", "text")
+    members, pairs = dedup.near_classes(prints, dedup.CHARACTER_SIMILARITY, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS, again)
     members = cut(members)
     settled = dedup.keep_first(members.select(F.col("first").alias("key")), pairs.select("a", "b"))
     out = members.join(settled.withColumnRenamed("key", "first"), "first")
@@ -152,7 +153,7 @@ def character_duplicates(spark, d):
 def near_twins(documents):
     """(doc_id, kept, links). Texts of equal shingles are near twins of each other and of each other's twins; the first of them stands for all."""
     docs = documents.where("text is not null")
-    members, pairs = dedup.near_classes(dedup.word_prints(spread(docs), "doc_id", "text"))
+    members, pairs = dedup.near_classes(dedup.word_prints(spread(docs), "doc_id", "text"), again=lambda keys: dedup.word_prints(dedup.chosen(docs, "doc_id", keys), "doc_id", "text"))
     members, pairs = cut(members), cut(pairs.select("a", "b"))
     copies = cut(dedup.first_by(docs.select("doc_id", F.sha2("text", 256).alias("h")), F.col("h"), F.col("doc_id")))
     sizes = cut(copies.join(members, copies.doc_id == members.key).groupBy("first").agg(F.countDistinct("h").alias("texts")))

@@ -294,6 +294,56 @@ def test_character_profile_against_all_pairs(spark):
     assert [(x.a, x.b) for x in pairs.collect()] == [(0, 1)]
 
 
+def test_candidates_do_not_carry_their_texts(spark, tmp_path):
+    import random
+    import re
+
+    draw = random.Random(2)
+    part = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    form = part(1_500)  # more than half of the runs of any two texts, so they share buckets
+    texts = [form + part(800) for _ in range(200)]
+    texts += [texts[0][:-3] + "###", texts[1] + "#"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "texts"))
+    df = spark.read.parquet(str(tmp_path / "texts"))
+    classes = lambda: dedup.near_classes(dedup.character_prints(df, "doc_id", "text"), 0.85, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS)[1]
+    # an array is estimated at a few bytes, so a join that may broadcast the sets sends them to the driver
+    plan = classes()._jdf.queryExecution().executedPlan().toString()
+    assert not re.findall(r"BroadcastExchange .*\n.*set#.*", plan)
+    sc = spark.sparkContext._jsc.sc()
+
+    def written() -> int:
+        sc.listenerBus().waitUntilEmpty(30_000)
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    before = written()
+    assert sorted((x.a, x.b) for x in classes().collect()) == [(0, 200), (1, 201)]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert written() - before < 10 * sum(map(len, texts))
+
+
+def test_near_classes_in_full_buckets_and_many_cells(spark, monkeypatch):
+    import random
+
+    draw, letters = random.Random(3), "abcdefghijklmnopqrstuvwxyz"
+    texts = []
+    for _ in range(12):
+        base = "".join(draw.choice(letters) for _ in range(draw.choice((8, 60, 400))))
+        texts += [base, base + "x", base, *("".join(c if draw.random() > p else draw.choice(letters) for c in base) for p in (0.005, 0.01, 0.02, 0.04))]
+    sets = [frozenset(t[i : i + 5] for i in range(max(1, len(t) - 4))) for t in texts]
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    firsts = sorted({x: i for i, x in reversed(list(enumerate(sets)))}.values())
+    want = {(a, b): round(share(a, b), 6) for a in firsts for b in firsts if a < b and share(a, b) >= 0.85}
+    df = spark.createDataFrame([*enumerate(texts), (99, ""), (100, None)], "doc_id long, text string")
+    for bucket, shingles, keys in ((1_000, 2_000_000, 500_000), (2, 500, 3)):
+        for name, value in (("HOT_BUCKET", bucket), ("BLOCK_SHINGLES", shingles), ("BROADCAST_KEYS", keys)):
+            monkeypatch.setattr(dedup, name, value)
+        again = lambda keys: dedup.character_prints(dedup.chosen(df, "doc_id", keys), "doc_id", "text")
+        members, pairs = dedup.near_classes(dedup.character_prints(df, "doc_id", "text"), 0.85, dedup.CHARACTER_BANDS, dedup.CHARACTER_ROWS, again)
+        assert {x.key: x.first for x in members.collect()} == {i: sets.index(x) for i, x in enumerate(sets)}
+        assert {(x.a, x.b): x.similarity for x in pairs.collect()} == want and len(want) > 10
+
+
 def test_signed_score_and_sentences_of_a_grammar(spark):
     western = ["Ան կը խօսի հայերէն, հոն կ՚ապրի մէջ իւրաքանչիւր մանուկ", "մէջ իւրաքանչիւր բան մը", "կը խօսի հայերէն", "Ես կը սիրեմ հայերէն։", "Ես եւ ան կը խօսին միայն հայերէն։", "Ինքզինքս կը սիրեմ։"]
     df = spark.createDataFrame([(x,) for x in [*western, "մի խնձոր ունեմ"]], "text string")
